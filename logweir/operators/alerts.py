@@ -70,11 +70,9 @@ def actions(rows: DataFrame, autoscale: Column | None = None, carry: Sequence[st
     return rows.select(*carry, F.explode(F.array_compact(wanted)).alias("action"))
 
 
-def simple_actions(anomalies: DataFrame) -> DataFrame:
+def simple_actions(anomalies: DataFrame, autoscale_logs: int = SIMPLE_AUTOSCALE_LOGS) -> DataFrame:
     """The simple variant: dashboard always, autoscale above a log count."""
-    wanted = F.array(
-        F.lit(DASHBOARD), F.when(F.col("log_count") > SIMPLE_AUTOSCALE_LOGS, AUTOSCALE)
-    )
+    wanted = F.array(F.lit(DASHBOARD), F.when(F.col("log_count") > autoscale_logs, AUTOSCALE))
     return anomalies.select("window", "source_ip", F.explode(F.array_compact(wanted)).alias("action"))
 
 

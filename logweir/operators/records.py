@@ -16,6 +16,9 @@ from logweir.schema import LOG, LOG_FIELDS
 # Fixed values of the one-topic producer.
 SIMPLE_TOPIC = "network-logs"
 SIMPLE_KEY = "default"
+# Topics of results.
+METRICS_TOPIC = "processed-metrics"
+ALERTS_TOPIC = "network-alerts"
 
 # Microseconds and a zone in the text, whatever the session's zone is.
 WRITE_OPTIONS = {
@@ -65,6 +68,15 @@ def simple_records(raw: DataFrame, now: Column | datetime | None = None) -> Data
     )
 
 
+def result_records(rows: DataFrame, topic: str) -> DataFrame:
+    """Metrics or alerts in the shape of a queue sink, keyed like the logs."""
+    return rows.select(
+        F.lit(topic).alias("topic"),
+        network.partition_key(F.col("source_ip")).alias("key"),
+        encode(*rows.columns).alias("value"),
+    )
+
+
 def consumed_records(queue: DataFrame) -> DataFrame:
     """Records with their queue metadata; absent headers are an empty map."""
     empty = F.create_map().cast("map<string,binary>")

@@ -61,11 +61,22 @@ class WindowSpec:
         return None if self.duration % self.slide else self.duration // self.slide
 
 
-def configure(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
-    """Event times are UTC everywhere. Sizes belong to the submit command."""
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def configure(
+    spark: SparkSession, shuffle_partitions: int | None = None, rocksdb: bool = False
+) -> SparkSession:
+    """Event times are UTC everywhere. Sizes belong to the submit command.
+
+    Set ``shuffle_partitions`` before the first start of a stream: its checkpoint
+    keeps the number. ``rocksdb`` holds stream state on disk instead of the heap.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     if shuffle_partitions is not None:
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if rocksdb:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return spark
 
 
