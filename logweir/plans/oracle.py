@@ -130,7 +130,7 @@ METRICS = f"""{LOG}, spread as (
     from anomaly where is_anomaly)"""
 
 ALERTS = f"""{METRICS} select window_start, window_end, {KEYS}, log_count,
-    round(failure_rate, 6) as failure_rate, round(avg_response_time, 6) as avg_response_time, total_bytes_sent,
+    round(failure_rate, 9) as failure_rate, round(avg_response_time, 9) as avg_response_time, total_bytes_sent,
     unique_destinations, unique_ports, anomaly_score, anomaly_level, {Q.NOW_MICROS}::bigint as detected_at,
     high_volume_anomaly, high_latency_anomaly, high_failure_rate_anomaly, data_exfiltration_anomaly,
     port_scanning_anomaly, high_risk_anomaly, alert_id, alert_message from alert"""
@@ -139,7 +139,7 @@ SIMPLE = f"""with raw as ({_raw()}), spread as (
     select *, (epoch_us("timestamp") - epoch_us("timestamp") % 60000000) - k * 60000000 as window_start
     from raw, (select unnest([0, 1, 2, 3, 4]) as k) w),
  metric as (select window_start, window_start + 300000000 as window_end, source_ip, count(*) as log_count,
-    round(avg(response_time), 6) as avg_response_time, max(response_time) as max_response_time
+    round(avg(response_time), 9) as avg_response_time, max(response_time) as max_response_time
     from spread group by window_start, source_ip)"""
 
 _BROKEN = "(" + " or ".join(f"event_id % {n} = 0" for n in (71, 73, 79, 67, 61)) + ")"
@@ -185,7 +185,7 @@ ZSCORES = f"""{METRICS}, center as (select source_ip as k, avg(log_count) as mea
     case when deviation > 0 then (log_count - mean) / deviation end as zscore,
     case when mad > 0 then (log_count - middle) * 0.6745::double / mad end as modified_zscore
     from metric join center c on source_ip = c.k join spread_by s on s.k = c.k)
- select * replace (round(zscore, 6) as zscore, round(modified_zscore, 6) as modified_zscore),
+ select * replace (round(zscore, 9) as zscore, round(modified_zscore, 9) as modified_zscore),
     abs(zscore) > 3 as is_zscore_outlier, abs(modified_zscore) > 3.5::double as is_modified_zscore_outlier from z"""
 
 SEASONAL = f"""with raw as ({_raw(real_time=True)}), log as ({_enrich('raw')} where source_ip is not null),
@@ -195,8 +195,8 @@ SEASONAL = f"""with raw as ({_raw(real_time=True)}), log as ({_enrich('raw')} wh
     rows between 50 preceding and 49 following) as trend from hourly),
  seasoned as (select *, avg(log_count - trend) over (partition by traffic_direction, extract(hour from hour))
     as seasonal from trended)
- select traffic_direction, epoch_us(hour) as hour, log_count, round(trend, 6) as trend,
-    round(seasonal, 6) as seasonal, round(log_count - trend - seasonal, 6) as residual from seasoned"""
+ select traffic_direction, epoch_us(hour) as hour, log_count, round(trend, 9) as trend,
+    round(seasonal, 9) as seasonal, round(log_count - trend - seasonal, 9) as residual from seasoned"""
 
 _CLOSED = """window_end <= (select max(epoch_us("timestamp")) - {0} from {1})"""
 
@@ -254,10 +254,10 @@ def catalog() -> dict[str, str]:
             case when event_id % 5 = 0 then topic end as trace from sent""",
         "consumed_simple": f"""{LOG} select {_QUEUE}, epoch_us("timestamp") as "timestamp", source_ip, severity,
             message from log""",
-        "windowed_metrics": f"""{METRICS} select * replace (round(avg_response_time, 6) as avg_response_time,
-            round(avg_risk_score, 6) as avg_risk_score) from metric""",
+        "windowed_metrics": f"""{METRICS} select * replace (round(avg_response_time, 9) as avg_response_time,
+            round(avg_risk_score, 9) as avg_risk_score) from metric""",
         "derived_metrics": f"""{METRICS} select window_start, window_end, {KEYS},
-            round(failure_rate, 6) as failure_rate, round(bytes_per_second, 6) as bytes_per_second,
+            round(failure_rate, 9) as failure_rate, round(bytes_per_second, 9) as bytes_per_second,
             is_high_volume, is_high_latency, is_suspicious_failure_rate from derived""",
         "anomaly_flags": f"""{METRICS} select window_start, window_end, {KEYS}, high_volume_anomaly,
             high_latency_anomaly, high_failure_rate_anomaly, data_exfiltration_anomaly, port_scanning_anomaly,
@@ -327,9 +327,9 @@ def catalog() -> dict[str, str]:
             coalesce(regexp_matches(text,
                 '(^|[^0-9])[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}([^0-9]|$)'), false) as has_card
             from documents""",
-        "stream_metrics": f"""{METRICS} select * replace (round(avg_response_time, 6) as avg_response_time,
-            round(avg_risk_score, 6) as avg_risk_score, round(failure_rate, 6) as failure_rate,
-            round(bytes_per_second, 6) as bytes_per_second) from derived where {_CLOSED.format(120000000, 'log')}""",
+        "stream_metrics": f"""{METRICS} select * replace (round(avg_response_time, 9) as avg_response_time,
+            round(avg_risk_score, 9) as avg_risk_score, round(failure_rate, 9) as failure_rate,
+            round(bytes_per_second, 9) as bytes_per_second) from derived where {_CLOSED.format(120000000, 'log')}""",
         "stream_alerts": ALERTS,
         "stream_simple": f"""{SIMPLE} select * from metric where (log_count > 1000 or avg_response_time > 5000)
             and {_CLOSED.format(30000000, 'raw')}""",

@@ -31,6 +31,7 @@ SALT = "pepper"
 CONNECTION_ATTEMPTS = 50
 AUTOSCALE_LOGS = 1200
 PARTITIONS = 6
+DIGITS = 9
 
 
 def now() -> Column:
@@ -59,7 +60,7 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.round(n, 6) for n in names})
+    return df.withColumns({n: F.round(n, DIGITS) for n in names})
 
 
 # ---- ingest
