@@ -106,19 +106,24 @@ def _decode(queue: DataFrame, schema: T.StructType) -> Column:
     return F.from_json(F.col("value").cast("string"), schema, READ_OPTIONS)
 
 
+def fields(*names: str, schema: T.StructType = LOG) -> T.StructType:
+    """The part of a schema a reader needs; the event time is always in it."""
+    return T.StructType([f for f in schema.fields if f.name == "timestamp" or f.name in names])
+
+
 def parse(queue: DataFrame, schema: T.StructType = LOG) -> DataFrame:
-    """Queue records to typed logs. Rows without a readable event time are dropped."""
-    return (
-        queue.select(
-            "topic",
-            "partition",
-            "offset",
-            F.col("timestamp").alias("kafka_timestamp"),
-            _decode(queue, schema).alias("data"),
-        )
-        .select("topic", "partition", "offset", "kafka_timestamp", "data.*")
-        .filter(F.col("timestamp").isNotNull())
-    )
+    """Queue records to typed logs. Rows without a readable event time are dropped.
+
+    A plain projection would let the filter move below it and parse every record
+    twice, once to test it and once to keep it; ``inline`` holds the filter above.
+    """
+    return queue.select(
+        "topic",
+        "partition",
+        "offset",
+        F.col("timestamp").alias("kafka_timestamp"),
+        F.inline(F.array(_decode(queue, schema))),
+    ).filter(F.col("timestamp").isNotNull())
 
 
 def parse_rejects(queue: DataFrame, schema: T.StructType = LOG) -> DataFrame:

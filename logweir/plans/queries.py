@@ -393,7 +393,7 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
 def stream_metrics(spark, sf):
     """Events through the queue format into the metrics store: closed windows."""
     folder = work_folder(spark, "stream-metrics")
-    logs = records.parse(queue(S.raw_logs(event_stream(spark, sf))))
+    logs = records.parse(queue(S.raw_logs(event_stream(spark, sf))), stream.LOG_INPUT)
     measured = stream.log_metrics(logs)
     run.wait([sinks.metrics_sink(measured, f"{folder}/out", f"{folder}/checkpoint", available_now=True).start()])
     stored = spark.read.schema(measured.schema).parquet(f"{folder}/out")
@@ -404,7 +404,7 @@ def stream_metrics(spark, sf):
 def stream_alerts(spark, sf):
     """Events through the queue format into the alert store: last state per alert."""
     folder = work_folder(spark, "stream-alerts")
-    logs = records.parse(queue(S.raw_logs(event_stream(spark, sf))))
+    logs = records.parse(queue(S.raw_logs(event_stream(spark, sf))), stream.LOG_INPUT)
     found = run.alert_stream(logs, now=now())
     sink = sinks.alerts_sink(found, f"{folder}/out", f"{folder}/checkpoint", available_now=True)
     run.wait([sink.start()])

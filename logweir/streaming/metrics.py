@@ -35,9 +35,12 @@ from logweir.operators.metrics import (
     merged,
     partial,
 )
+from logweir.operators.records import fields
 from logweir.settings import Thresholds, WindowSpec
 
 SALTS = 64
+# The fields of a log the metrics read; a stream parses no others.
+LOG_INPUT = fields(*KEYS, *[m.column for m in MEASURES if m.column])
 
 
 def _value_rows(logs: DataFrame, values: Sequence[Measure], first: int) -> Column:

@@ -52,7 +52,7 @@ def start_streams(
     ``alert_mode="update"`` alerts while a window is open and again when it
     changes; ``"append"`` alerts once, when the window is closed.
     """
-    logs = records.parse(queue)
+    logs = records.parse(queue, M.LOG_INPUT)
     alerts = alert_stream(logs, spec, thresholds, alert_mode, approximate=approximate)
     writers = [sinks.alerts_sink(alerts, output, f"{checkpoint}/alerts", alert_mode, available_now)]
     if store_metrics:
