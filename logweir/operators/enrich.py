@@ -43,22 +43,34 @@ def _or_zero(raw: DataFrame, name: str, kind: str) -> Column:
     return F.when(_field(raw, name).isNull(), F.lit(0).cast(kind)).otherwise(_number(raw, name, kind))
 
 
-def reject_reason(raw: DataFrame) -> Column:
-    """Why a record cannot be sent, in the order the checks apply; NULL if it can."""
+# Types whose every value is a number of the wanted kind.
+SAFE = {"bigint": ("tinyint", "smallint", "int", "bigint"), "double": ("tinyint", "smallint", "int", "bigint", "float", "double")}
+NUMBERS = {"bytes_sent": "bigint", "bytes_received": "bigint", "response_time": "double"}
 
-    def bad(name: str, kind: str) -> Column:
-        return _field(raw, name).isNotNull() & _number(raw, name, kind).isNull()
 
-    return (
-        F.when(bad("bytes_sent", "bigint"), "bad_bytes_sent")
-        .when(bad("bytes_received", "bigint"), "bad_bytes_received")
-        .when(bad("response_time", "double"), "bad_response_time")
-        .when(_field(raw, "source_ip").isNull(), "missing_source_ip")
-    )
+def _unreadable(raw: DataFrame) -> dict[str, Column]:
+    """The numeric fields that can hold something else, and when they do."""
+    types = dict(raw.dtypes)
+    return {
+        name: _field(raw, name).isNotNull() & _number(raw, name, kind).isNull()
+        for name, kind in NUMBERS.items()
+        if name in types and types[name] not in SAFE[kind]
+    }
+
+
+def reject_reason(raw: DataFrame) -> Column:
+    """Why a record cannot be sent, in the order the checks apply; NULL if it can."""
+    checks = [(f"bad_{name}", bad) for name, bad in _unreadable(raw).items()]
+    checks.append(("missing_source_ip", _field(raw, "source_ip").isNull()))
+    return F.coalesce(*[F.when(failed, reason) for reason, failed in checks])
 
 
 def accepted(raw: DataFrame) -> DataFrame:
-    return raw.filter(reject_reason(raw).isNull())
+    """Rows without a reject reason, as plain conditions that a scan can apply."""
+    rows = raw.filter(_field(raw, "source_ip").isNotNull())
+    for bad in _unreadable(raw).values():
+        rows = rows.filter(~bad)
+    return rows
 
 
 def rejected(raw: DataFrame) -> DataFrame:

@@ -14,10 +14,11 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweir.operators.alerts import alert_id
+from logweir.settings import materialize
 
 # Send the small helpers below with the tasks: executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -87,6 +88,11 @@ def _path_length(points: np.ndarray, nodes: np.ndarray) -> np.ndarray:
         depth[rows] += 1
 
 
+def _draw(*columns: Column) -> Column:
+    """A number in [0, 1) that depends on the values only."""
+    return F.pmod(F.xxhash64(*columns), F.lit(2**31)) / F.lit(2.0**31)
+
+
 def grow_forest(
     rows: DataFrame,
     features: Sequence[str] = FEATURES,
@@ -96,18 +102,22 @@ def grow_forest(
 ) -> DataFrame:
     """One row per tree: (tree, size, nodes). ``rows`` needs an ``id`` column.
 
-    A row enters a tree when its hash with the tree's number is below the share
-    that gives the sample size, so a retried task draws the same sample.
+    Rows are drawn by hash, so a retried task draws the same sample.
     """
-    total = rows.count()
-    share = min(1.0, sample / max(total, 1))
-    draw = F.transform(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.when(
-            F.pmod(F.xxhash64(F.col("id"), t, F.lit(seed)), F.lit(2**31)) < F.lit(int(share * 2**31)), t
-        ),
-    )
-    drawn = rows.select("id", *features, F.explode(F.array_compact(draw)).alias("tree"))
+    total = max(rows.count(), 1)
+    wanted = trees * sample
+    if wanted <= total:
+        # One draw per row decides whether it is used and in which tree.
+        place = F.floor(_draw(F.col("id"), F.lit(seed)) / wanted * total * trees)
+        drawn = rows.select("id", *features, place.cast("int").alias("tree")).filter(F.col("tree") < trees)
+    else:
+        # Few rows: each tree draws for itself, so a row can be in several.
+        share = min(1.0, sample / total)
+        mine = F.transform(
+            F.sequence(F.lit(0), F.lit(trees - 1)),
+            lambda tree: F.when(_draw(F.col("id"), tree, F.lit(seed)) < share, tree),
+        )
+        drawn = rows.select("id", *features, F.explode(F.array_compact(mine)).alias("tree"))
 
     def grow(part: pd.DataFrame) -> pd.DataFrame:
         tree = int(part["tree"].iloc[0])
@@ -129,7 +139,8 @@ def isolation_scores(
 ) -> DataFrame:
     """Metrics with ``isolation_score`` and ``is_isolated`` for the top share.
 
-    ``metrics`` is read several times: pass a stored table.
+    ``metrics`` is read several times: pass a stored table. The scored rows are
+    stored as well, since both the cut and the result need them.
     """
     keyed = metrics.withColumn("window_start", F.col("window.start"))
     named = keyed.withColumn(
@@ -154,6 +165,6 @@ def isolation_scores(
             yield pd.Series(np.power(2.0, -depth / max(len(grown), 1)))
 
     values = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features]
-    scored = named.withColumn("isolation_score", score(*values))
+    scored = materialize(named.withColumn("isolation_score", score(*values)), "isolation-scores")
     cut = scored.agg(F.percentile_approx("isolation_score", 1 - contamination, 10000).alias("cut")).first()["cut"]
     return scored.withColumn("is_isolated", F.col("isolation_score") > F.lit(cut)).drop("id")

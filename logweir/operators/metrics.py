@@ -116,9 +116,14 @@ def finished(keys: Sequence[str], measures: Sequence[Measure]) -> list[Column]:
     return out
 
 
-def _floor(number: Column, step: int) -> Column:
+def inputs(keys: Sequence[str], measures: Sequence[Measure]) -> list[str]:
+    """The columns a set of measures reads."""
+    return list(dict.fromkeys([*keys, *[m.column for m in measures if m.column is not None]]))
+
+
+def _step(number: str, step: int) -> Column:
     """Index of the step a number falls into, also before the epoch."""
-    return ((number - F.pmod(number, F.lit(step))) / step).cast("bigint")
+    return F.expr(f"({number} - pmod({number}, {step})) div {step}")
 
 
 def _by_window(logs: DataFrame, spec: WindowSpec, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
@@ -133,8 +138,8 @@ def _by_pane(logs: DataFrame, spec: WindowSpec, keys: Sequence[str], measures: S
     # A stretch holds `starts` window starts and, behind them, the panes those
     # windows still reach: together the 64 bits of a long.
     starts = BITS - k + 1
-    pane = _floor(F.unix_micros("timestamp"), spec.slide * MICROS)
-    rows = logs.filter(F.col("timestamp").isNotNull()).withColumn("pane", pane)
+    pane = _step("unix_micros(timestamp)", spec.slide * MICROS)
+    rows = logs.filter(F.col("timestamp").isNotNull()).select(pane.alias("pane"), *inputs(keys, measures))
 
     # kind 0: the additive measures of the row, grouped by pane.
     # kind i: the row's i-th distinct value, grouped by stretch. A pane near the
@@ -146,21 +151,19 @@ def _by_pane(logs: DataFrame, spec: WindowSpec, keys: Sequence[str], measures: S
             fields.append(value.alias(f"value{i}"))
         return F.struct(*fields)
 
-    stretch, previous = _floor(F.col("pane"), starts), _floor(F.col("pane") - (k - 1), starts)
     parts = F.array(part(0, F.col("pane"), F.lit(0)))
-    for i, m in enumerate(values, 1):
-        here = part(i, stretch, (F.col("pane") - stretch * starts).cast("int"))
-        there = part(i, previous, (F.col("pane") - previous * starts).cast("int"))
-        present = F.col(m.column).isNotNull()
-        parts = F.concat(
-            parts,
-            F.when(present & (stretch == previous), F.array(here))
-            .when(present, F.array(here, there))
-            .otherwise(F.array().cast(f"array<{_struct_type(logs, values)}>")),
-        )
+    if values:
+        stretch, previous = F.col("stretch"), F.col("previous")
+        rows = rows.withColumns({"stretch": _step("pane", starts), "previous": _step(f"(pane - {k - 1})", starts)})
+        offset, before = (F.col("pane") - x * starts for x in (stretch, previous))
+        empty = F.array().cast(f"array<{_part_type(logs, values)}>")
+        for i, m in enumerate(values, 1):
+            here, there = part(i, stretch, offset.cast("int")), part(i, previous, before.cast("int"))
+            present = F.col(m.column).isNotNull()
+            found = F.when(present & (stretch == previous), F.array(here)).when(present, F.array(here, there))
+            parts = F.concat(parts, found.otherwise(empty))
+    spread = rows.select("*", F.inline(parts))
     names = [f"value{i}" for i in range(1, len(values) + 1)]
-    exploded = rows.withColumn("part", F.explode(parts)) if values else rows.withColumn("part", part(0, F.col("pane"), F.lit(0)))
-    spread = exploded.select("*", "part.*").drop("part")
     bits = F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")
     packed = spread.groupBy(*keys, "kind", "slot", *names).agg(*partial(measures, F.col("kind") == 0), bits)
 
@@ -189,7 +192,7 @@ def _by_pane(logs: DataFrame, spec: WindowSpec, keys: Sequence[str], measures: S
     )
 
 
-def _struct_type(logs: DataFrame, values: Sequence[Measure]) -> str:
+def _part_type(logs: DataFrame, values: Sequence[Measure]) -> str:
     fields = ["kind:int", "slot:bigint", "bit:int"]
     fields += [f"value{i}:{logs.schema[m.column].dataType.simpleString()}" for i, m in enumerate(values, 1)]
     return f"struct<{','.join(fields)}>"

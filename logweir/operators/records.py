@@ -132,7 +132,8 @@ def parse_rejects(queue: DataFrame, schema: T.StructType = LOG) -> DataFrame:
     The reasons are worked out after the filter, for the dropped rows only.
     """
     value = F.col("value").cast("string")
-    dropped = queue.filter(_decode(queue, schema)["timestamp"].isNull()).withColumn("value", value)
+    time = _decode(queue, fields(schema=schema))["timestamp"]
+    dropped = queue.filter(time.isNull()).withColumn("value", value)
     json = F.try_parse_json("value")
     reason = (
         F.when(F.col("value").isNull(), "null_value")

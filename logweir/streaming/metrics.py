@@ -32,6 +32,7 @@ from logweir.operators.metrics import (
     derive,
     distinct,
     finished,
+    inputs,
     merged,
     partial,
 )
@@ -40,7 +41,7 @@ from logweir.settings import Thresholds, WindowSpec
 
 SALTS = 64
 # The fields of a log the metrics read; a stream parses no others.
-LOG_INPUT = fields(*KEYS, *[m.column for m in MEASURES if m.column])
+LOG_INPUT = fields(*inputs(KEYS, MEASURES))
 
 
 def _value_rows(logs: DataFrame, values: Sequence[Measure], first: int) -> Column:
@@ -74,8 +75,7 @@ def window_metrics(
     """
     window = F.window("timestamp", f"{spec.duration} seconds", f"{spec.slide} seconds").alias("window")
     late = f"{spec.watermark} seconds"
-    inputs = dict.fromkeys(m.column for m in measures if m.column is not None)
-    rows = logs.withWatermark("timestamp", late).select(window, *keys, *[c for c in inputs if c not in keys])
+    rows = logs.withWatermark("timestamp", late).select(window, *inputs(keys, measures))
     values = distinct(measures)
     names = [f"value{i}" for i in range(1, len(values) + 1)]
     grouping = ["window", *keys]

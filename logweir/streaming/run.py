@@ -30,11 +30,6 @@ def alert_stream(
     return sinks.observe_alerts(A.alerts(found))
 
 
-def simple_alert_stream(queue: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFrame:
-    """The one-topic variant: parsed simple records to anomalous windows."""
-    return anomaly.simple_anomalies(M.simple_metrics(records.parse(queue, SIMPLE_LOG)), thresholds)
-
-
 def start_streams(
     queue: DataFrame,
     checkpoint: str,
@@ -50,21 +45,55 @@ def start_streams(
     """Start the alert query and, as asked, the metrics and console queries.
 
     ``alert_mode="update"`` alerts while a window is open and again when it
-    changes; ``"append"`` alerts once, when the window is closed.
+    changes; metrics are stored when it is closed, so they need a query and state
+    of their own. ``"append"`` alerts once, when the window is closed, and one
+    query stores both.
     """
     logs = records.parse(queue, M.LOG_INPUT)
     alerts = alert_stream(logs, spec, thresholds, alert_mode, approximate=approximate)
-    writers = [sinks.alerts_sink(alerts, output, f"{checkpoint}/alerts", alert_mode, available_now)]
-    if store_metrics:
-        measured = M.log_metrics(logs, spec, thresholds, "append", approximate)
-        writers.append(
-            sinks.metrics_sink(measured, f"{output}/metrics", f"{checkpoint}/metrics", available_now)
-        )
+    if alert_mode == "append" and store_metrics:
+
+        def alert(metrics: DataFrame) -> DataFrame:
+            return A.alerts(anomaly.detect(metrics, thresholds))
+
+        measured = M.log_metrics(sinks.observe_logs(logs), spec, thresholds, "append", approximate)
+        found = sinks.observe_anomalies(anomaly.detect(measured, thresholds)).select(measured.columns)
+        write = sinks.metrics_and_alerts_writer(output, alert)
+        writers = [
+            sinks.batch_sink(found, write, f"{checkpoint}/both", "both", "append", available_now=available_now)
+        ]
+    else:
+        writers = [sinks.alerts_sink(alerts, output, f"{checkpoint}/alerts", alert_mode, available_now)]
+        if store_metrics:
+            measured = M.log_metrics(logs, spec, thresholds, "append", approximate)
+            writers.append(
+                sinks.metrics_sink(measured, f"{output}/metrics", f"{checkpoint}/metrics", available_now)
+            )
     if console:
         writers.append(sinks.console_sink(alerts, f"{checkpoint}/console", alert_mode, available_now))
     return [writer.start() for writer in writers]
 
 
+def simple_alert_stream(queue: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFrame:
+    """The one-topic variant: parsed simple records to anomalous windows."""
+    return anomaly.simple_anomalies(M.simple_metrics(records.parse(queue, SIMPLE_LOG)), thresholds)
+
+
+def start_simple_stream(
+    queue: DataFrame,
+    checkpoint: str,
+    output: str,
+    thresholds: Thresholds = Thresholds(),
+    available_now: bool = False,
+) -> StreamingQuery:
+    """The one-topic variant with its actions, each closed window once."""
+    write = sinks.alert_writer(output, A.simple_actions)
+    found = simple_alert_stream(queue, thresholds)
+    return sinks.batch_sink(
+        found, write, checkpoint, "simple", "append", sinks.SIMPLE_TRIGGER, available_now
+    ).start()
+
+
 def wait(queries: Iterable[StreamingQuery]) -> None:
     """Until all queries have ended; the first failure of any of them is raised at once."""
     waiting = list(queries)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
@@ -21,20 +21,37 @@ def triggered(writer: DataStreamWriter, interval: str, available_now: bool) -> D
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
 
 
-def alert_writer(path: str, autoscale: Column | None = None) -> Callable[[DataFrame, int], None]:
+Writer = Callable[[DataFrame, int], None]
+
+
+def _store(batch: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    """A batch's rows in its own folder, read back. A batch that is run again
+    replaces its folder and so adds nothing."""
+    path = f"{folder}/batch_id={batch_id}"
+    batch.write.mode("overwrite").parquet(path)
+    return batch.sparkSession.read.schema(batch.schema).parquet(path)
+
+
+def alert_writer(path: str, act: Callable[[DataFrame], DataFrame] = A.actions) -> Writer:
     """A batch function for alerts and their actions.
 
-    Each batch overwrites its own ``batch_id`` folder, so a batch that is run
-    again adds nothing. Actions are made from the stored rows: the stream's plan
-    runs once per batch, and no row passes the driver.
+    Actions are made from the stored rows: the stream's plan runs once per batch,
+    and no row passes the driver.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{path}/alerts/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(folder)
-        stored = batch.sparkSession.read.schema(batch.schema).parquet(folder)
-        todo = A.actions(stored, autoscale)
-        todo.write.mode("overwrite").parquet(f"{path}/actions/batch_id={batch_id}")
+        stored = _store(batch, f"{path}/alerts", batch_id)
+        _store(act(stored), f"{path}/actions", batch_id)
+
+    return write
+
+
+def metrics_and_alerts_writer(path: str, alert: Callable[[DataFrame], DataFrame]) -> Writer:
+    """A batch function for metrics and the alerts that follow from them."""
+    write_alerts = alert_writer(path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_alerts(alert(_store(batch, f"{path}/metrics", batch_id)), batch_id)
 
     return write
 
@@ -52,8 +69,20 @@ def latest_alerts(spark: SparkSession, path: str) -> DataFrame:
 def alerts_sink(
     alerts: DataFrame, path: str, checkpoint: str, mode: str = "update", available_now: bool = False
 ) -> DataStreamWriter:
-    writer = alerts.writeStream.queryName("alerts").outputMode(mode).foreachBatch(alert_writer(path))
-    return triggered(writer.option("checkpointLocation", checkpoint), ALERT_TRIGGER, available_now)
+    return batch_sink(alerts, alert_writer(path), checkpoint, "alerts", mode, available_now=available_now)
+
+
+def batch_sink(
+    df: DataFrame,
+    write: Writer,
+    checkpoint: str,
+    name: str,
+    mode: str,
+    interval: str = ALERT_TRIGGER,
+    available_now: bool = False,
+) -> DataStreamWriter:
+    writer = df.writeStream.queryName(name).outputMode(mode).foreachBatch(write)
+    return triggered(writer.option("checkpointLocation", checkpoint), interval, available_now)
 
 
 def metrics_sink(

@@ -268,3 +268,20 @@ def test_broker_options():
     assert read["kafka.fetch.max.bytes"] == "52428800"
     write = queue.write_options("a:1", {"kafka.batch.size": "64000", "kafka.acks": "1"})
     assert (write["kafka.batch.size"], write["kafka.acks"], write["kafka.retries"]) == ("64000", "1", "5")
+
+
+def test_cut_values_are_parsed_or_rejected(spark):
+    """Every prefix of a record, and the record: one or the other, whatever fields are read."""
+    value = records.producer_records(raw(spark, SAMPLE), now=NOW).first().value
+    df = queue_rows(spark, *[value[:n] for n in range(len(value) + 1)])
+    kept = [r.offset for r in records.parse(df).collect()]
+    assert kept == [len(value)]
+    assert [r.offset for r in records.parse(df, records.fields("severity")).collect()] == kept
+    assert records.parse_rejects(df).count() == len(value)
+
+
+def test_accepted_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    raw(spark, SAMPLE).write.parquet(path)
+    plan = E.logs(spark.read.parquet(path), now=NOW)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(source_ip)]" in plan

@@ -198,21 +198,26 @@ def test_alerts_survive_restart_and_retry(spark, tmp_path):
 def test_start_streams(spark, files, tmp_path):
     folder, logs = files
     source = queue.file_stream(spark, folder)
-    started = run.start_streams(
+    windows = closed(metrics.log_metrics(logs), logs)
+    alerts = anomaly.detect(windows).filter("is_anomaly").count()
+
+    # Alerts of closed windows share one query with the metrics.
+    both = run.start_streams(
         source, str(tmp_path / "cp"), str(tmp_path / "out"), console=True, alert_mode="append", available_now=True
     )
-    assert len(started) == 3
-    run.wait(started)
-    run.stop(started)
-    assert sinks.stored_alerts(spark, str(tmp_path / "out")).count() == closed(
-        anomaly.detect(metrics.log_metrics(logs)).filter("is_anomaly"), logs
-    ).count()
-    assert spark.read.parquet(str(tmp_path / "out/metrics")).count() == closed(metrics.log_metrics(logs), logs).count()
-    only = run.start_streams(
-        source, str(tmp_path / "cp2"), str(tmp_path / "out2"), store_metrics=False, available_now=True
-    )
-    run.wait(only)
-    assert len(only) == 1
+    assert [q.name for q in both] == ["both", "console"]
+    run.wait(both)
+    run.stop(both)
+    assert sinks.stored_alerts(spark, str(tmp_path / "out")).count() == alerts > 0
+    stored = spark.read.parquet(str(tmp_path / "out/metrics")).select(*windows.columns)
+    assert rows_of(stored) == rows_of(windows)
+
+    # Early alerts have a query of their own.
+    two = run.start_streams(source, str(tmp_path / "cp2"), str(tmp_path / "out2"), available_now=True)
+    assert [q.name for q in two] == ["alerts", "metrics"]
+    run.wait(two)
+    assert sinks.stored_alerts(spark, str(tmp_path / "out2")).count() >= alerts
+    assert rows_of(spark.read.parquet(str(tmp_path / "out2/metrics"))) == rows_of(windows)
 
 
 def test_wait_raises_the_failure_of_any_query(spark, files, tmp_path):
@@ -236,10 +241,12 @@ def test_simple_alert_stream(spark, tmp_path):
         for i, (s, src, t) in enumerate([(0, "slow", 6000.0), (0, "fast", 10.0), (3600, "fast", 10.0)])
     ]
     add_file(str(tmp_path / "q"), 0, spark.createDataFrame(rows, QUEUE))
-    found = run.simple_alert_stream(queue.file_stream(spark, str(tmp_path / "q")))
-    once(sinks.metrics_sink(found, str(tmp_path / "out"), str(tmp_path / "cp")))
-    out = spark.read.parquet(str(tmp_path / "out")).collect()
+    source = queue.file_stream(spark, str(tmp_path / "q"))
+    run.wait([run.start_simple_stream(source, str(tmp_path / "cp"), str(tmp_path / "out"), available_now=True)])
+    out = sinks.stored_alerts(spark, str(tmp_path / "out")).collect()
     assert len(out) == 5 and {r.source_ip for r in out} == {"slow"}
+    actions = spark.read.parquet(str(tmp_path / "out/actions"))
+    assert {r.action for r in actions.collect()} == {"dashboard"} and actions.count() == 5
 
 
 def test_counters(spark, tmp_path):
