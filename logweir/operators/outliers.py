@@ -7,32 +7,50 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logweir.settings import materialize
+
 # Fixed values.
 Z_THRESHOLD = 3.0
 MODIFIED_Z_THRESHOLD = 3.5
 MODIFIED_Z_FACTOR = 0.6745
 TREND_ROWS = 100
+# The sketch errs by a ten-thousandth of the ranks; the bracket is ten times as wide.
+ACCURACY = 10_000
+BRACKET = 0.001
+
 
+def _bracket(value: str) -> Column:
+    """Two values between which the median lies, from a sketch of fixed size."""
+    shares = [0.5 - BRACKET, 0.5 + BRACKET]
+    return F.percentile_approx(value, shares, ACCURACY).alias("bracket")
 
-def _median(histogram: DataFrame, key: str, value: str, weight: str, name: str) -> DataFrame:
-    """Exact median per key of a (key, value, weight) histogram.
 
-    The running weight is a sorted window over the distinct values of a key; it
-    streams and spills, no value list is held.
+def _median(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """Exact median per key of rows that carry the key's ``bracket``.
+
+    Values outside the bracket only count, as one row on either side, so of a key
+    that owns a third of all rows a five-hundredth part is sorted in one place.
     """
-    ordered = Window.partitionBy(key).orderBy(value)
-    whole = Window.partitionBy(key)
-    upto, total = F.col("upto"), F.col("total")
-    low, high = F.floor((total + 1) / 2), F.floor((total + 2) / 2)
+    low, high = F.col("bracket")[0], F.col("bracket")[1]
+    clipped = (
+        F.when(F.col(value) < low, float("-inf")).when(F.col(value) > high, float("inf")).otherwise(F.col(value))
+    )
+    ordered = Window.partitionBy(key).orderBy("clipped")
+    upto, n, total = F.col("upto"), F.col("n"), F.col("total")
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((upto >= rank) & (upto - F.col(weight) < rank), F.col(value)))
+        return F.max(F.when((upto >= rank) & (upto - n < rank), F.col("clipped")))
 
+    middle = (at(F.floor((total + 1) / 2)) + at(F.floor((total + 2) / 2))) / 2
+    missed = F.raise_error(F.lit("the median lies outside its bracket")).cast("double")
     return (
-        histogram.withColumn("upto", F.sum(weight).over(ordered))
-        .withColumn("total", F.sum(weight).over(whole))
+        rows.groupBy(key, clipped.alias("clipped"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("upto", F.sum("n").over(ordered))
+        .withColumn("total", F.sum("n").over(Window.partitionBy(key)))
         .groupBy(key)
-        .agg(((at(low) + at(high)) / 2).alias(name))
+        .agg(middle.alias(name))
+        .withColumn(name, F.when(F.abs(name) < float("inf"), F.col(name)).otherwise(missed))
     )
 
 
@@ -45,36 +63,25 @@ def zscores(
 ) -> DataFrame:
     """Standard and median-based z-scores of a metric within each key.
 
-    Zero spread gives NULL. Statistics come from a histogram of the metric, one
-    row per key and distinct value. ``metrics`` is used twice: pass a stored table.
+    Zero spread gives NULL. ``metrics`` is read several times: pass a stored table.
     """
     # A NULL key is a group of its own; the prefix keeps it apart from any text.
     name = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("-")).alias("k")
-    value = F.col(metric).cast("double").alias("value")
-    histogram = (
-        metrics.select(name, value)
-        .filter(F.col("value").isNotNull())
-        .groupBy("k", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    total = F.sum("n")
-    center = histogram.groupBy("k").agg((F.sum(F.col("value") * F.col("n")) / total).alias("mean")).join(
-        _median(histogram, "k", "value", "n", "median"), "k"
+    rows = metrics.select(name, F.col(metric).cast("double").alias("value")).filter(
+        F.col("value").isNotNull() & ~F.isnan("value")
     )
-    centered = histogram.join(center, "k")
-    spread = centered.groupBy("k").agg(
-        F.sqrt(
-            F.try_divide(
-                F.sum(F.pow(F.col("value") - F.col("mean"), F.lit(2)) * F.col("n")),
-                total - 1,
-            )
-        ).alias("deviation")
+    moments = rows.groupBy("k").agg(
+        F.avg("value").alias("mean"), F.stddev("value").alias("deviation"), _bracket("value")
     )
-    distances = (
-        centered.groupBy("k", F.abs(F.col("value") - F.col("median")).alias("distance"))
-        .agg(total.alias("n"))
+    middle = _median(rows.join(moments.select("k", "bracket"), "k"), "k", "value", "median")
+    # One row per key, read by three branches below.
+    center = materialize(moments.drop("bracket").join(middle, "k"), "zscore-center")
+    distances = rows.join(center.select("k", "median"), "k").select(
+        "k", F.abs(F.col("value") - F.col("median")).alias("distance")
     )
-    stats = center.join(spread, "k").join(_median(distances, "k", "distance", "n", "mad"), "k")
+    brackets = distances.groupBy("k").agg(_bracket("distance"))
+    spread = _median(distances.join(brackets, "k"), "k", "distance", "mad")
+    stats = center.join(spread, "k")
 
     def over(numerator: Column, scale: Column) -> Column:
         return F.when(scale > 0, numerator / scale)

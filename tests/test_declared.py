@@ -113,31 +113,54 @@ def test_lookups_with_and_without_broadcast(spark, threshold):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_zscores_equal_statistics(spark):
-    rng = random.Random(5)
-    groups = {
-        "odd": [rng.randrange(50) for _ in range(21)],
-        "even": [rng.randrange(50) for _ in range(30)] + [900],
-        None: [1, 2, 3, 100],
-        "": [5, 6, 9],
-        "flat": [4, 4, 4],
-        "one": [7],
-    }
-    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "source_ip string, log_count bigint")
-    rows = outliers.zscores(df).collect()
+def check_zscores(spark, groups):
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "source_ip string, x double")
+    rows = outliers.zscores(df.repartition(5), "x").collect()
     assert len(rows) == sum(map(len, groups.values()))
+    stats = {}
+    for k, values in groups.items():
+        middle = statistics.median(values)
+        stats[k] = (
+            statistics.mean(values),
+            statistics.stdev(values) if len(values) > 1 else 0,
+            middle,
+            statistics.median(abs(v - middle) for v in values),
+        )
     for r in rows:
-        values = groups[r.source_ip]
-        deviation = statistics.stdev(values) if len(values) > 1 else 0
-        mad = statistics.median(abs(v - statistics.median(values)) for v in values)
-        z = (r.log_count - statistics.mean(values)) / deviation if deviation else None
-        m = 0.6745 * (r.log_count - statistics.median(values)) / mad if mad else None
-        assert r.zscore == (None if z is None else pytest.approx(z))
-        assert r.modified_zscore == (None if m is None else pytest.approx(m))
+        mean, deviation, middle, mad = stats[r.source_ip]
+        z = (r.x - mean) / deviation if deviation else None
+        m = 0.6745 * (r.x - middle) / mad if mad else None
+        assert r.zscore == (None if z is None else pytest.approx(z, abs=1e-9))
+        assert r.modified_zscore == (None if m is None else pytest.approx(m, abs=1e-9))
         assert r.is_zscore_outlier == (None if z is None else abs(z) > 3)
         assert r.is_modified_zscore_outlier == (None if m is None else abs(m) > 3.5)
 
 
+def test_zscores_equal_statistics(spark):
+    rng = random.Random(5)
+    check_zscores(
+        spark,
+        {
+            "odd": [float(rng.randrange(50)) for _ in range(21)],
+            "even": [float(rng.randrange(50)) for _ in range(30)] + [900.0],
+            None: [1.0, 2.0, 3.0, 100.0],
+            "": [5.0, 6.0, 9.0],
+            "flat": [4.0, 4.0, 4.0],
+            "one": [7.0],
+            "two": [1.0, 2.0],
+        },
+    )
+
+
+def test_zscores_of_a_hot_key_with_distinct_values(spark):
+    """Far more values than the sketch keeps, half of the rows in one key."""
+    rng = random.Random(6)
+    groups = {"hot": [rng.lognormvariate(0, 3) for _ in range(40001)]}
+    for i in range(200):
+        groups[f"s{i}"] = [rng.gauss(i, 1) for _ in range(200)]
+    check_zscores(spark, groups)
+
+
 def test_season_is_found(spark):
     rows = [
         (START.replace(hour=0) + timedelta(hours=h, minutes=m), "internal")
