@@ -44,7 +44,8 @@ def _or_zero(raw: DataFrame, name: str, kind: str) -> Column:
 
 
 # Types whose every value is a number of the wanted kind.
-SAFE = {"bigint": ("tinyint", "smallint", "int", "bigint"), "double": ("tinyint", "smallint", "int", "bigint", "float", "double")}
+WHOLE = ("tinyint", "smallint", "int", "bigint")
+SAFE = {"bigint": WHOLE, "double": (*WHOLE, "float", "double")}
 NUMBERS = {"bytes_sent": "bigint", "bytes_received": "bigint", "response_time": "double"}
 
 

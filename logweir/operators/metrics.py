@@ -141,29 +141,11 @@ def _by_pane(logs: DataFrame, spec: WindowSpec, keys: Sequence[str], measures: S
     pane = _step("unix_micros(timestamp)", spec.slide * MICROS)
     rows = logs.filter(F.col("timestamp").isNotNull()).select(pane.alias("pane"), *inputs(keys, measures))
 
-    # kind 0: the additive measures of the row, grouped by pane.
-    # kind i: the row's i-th distinct value, grouped by stretch. A pane near the
-    # start of a stretch is also seen by the last windows of the stretch before.
-    def part(kind: int, slot: Column, bit: Column) -> Column:
-        fields = [F.lit(kind).alias("kind"), slot.alias("slot"), bit.alias("bit")]
-        for i, m in enumerate(values, 1):
-            value = F.col(m.column) if i == kind else F.lit(None).cast(logs.schema[m.column].dataType)
-            fields.append(value.alias(f"value{i}"))
-        return F.struct(*fields)
-
-    parts = F.array(part(0, F.col("pane"), F.lit(0)))
-    if values:
-        stretch, previous = F.col("stretch"), F.col("previous")
-        rows = rows.withColumns({"stretch": _step("pane", starts), "previous": _step(f"(pane - {k - 1})", starts)})
-        offset, before = (F.col("pane") - x * starts for x in (stretch, previous))
-        empty = F.array().cast(f"array<{_part_type(logs, values)}>")
-        for i, m in enumerate(values, 1):
-            here, there = part(i, stretch, offset.cast("int")), part(i, previous, before.cast("int"))
-            present = F.col(m.column).isNotNull()
-            found = F.when(present & (stretch == previous), F.array(here)).when(present, F.array(here, there))
-            parts = F.concat(parts, found.otherwise(empty))
-    spread = rows.select("*", F.inline(parts))
     names = [f"value{i}" for i in range(1, len(values) + 1)]
+    if values:
+        spread = _spread(rows, values, k, starts)
+    else:
+        spread = rows.select("*", F.lit(0).alias("kind"), F.col("pane").alias("slot"), F.lit(0).alias("bit"))
     bits = F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")
     packed = spread.groupBy(*keys, "kind", "slot", *names).agg(*partial(measures, F.col("kind") == 0), bits)
 
@@ -192,10 +174,33 @@ def _by_pane(logs: DataFrame, spec: WindowSpec, keys: Sequence[str], measures: S
     )
 
 
-def _part_type(logs: DataFrame, values: Sequence[Measure]) -> str:
-    fields = ["kind:int", "slot:bigint", "bit:int"]
-    fields += [f"value{i}:{logs.schema[m.column].dataType.simpleString()}" for i, m in enumerate(values, 1)]
-    return f"struct<{','.join(fields)}>"
+def _spread(rows: DataFrame, values: Sequence[Measure], k: int, starts: int) -> DataFrame:
+    """Each row once per purpose, told apart by ``kind``.
+
+    Kind 0 carries the additive measures and goes to its pane. Kind i carries the
+    row's i-th distinct value and goes to its stretch; a pane near the start of a
+    stretch is also seen by the last windows of the stretch before.
+    """
+    types = {m.column: rows.schema[m.column].dataType for m in values}
+
+    def part(kind: int, slot: Column, bit: Column) -> Column:
+        fields = [F.lit(kind).alias("kind"), slot.alias("slot"), bit.cast("int").alias("bit")]
+        for i, m in enumerate(values, 1):
+            value = F.col(m.column) if i == kind else F.lit(None).cast(types[m.column])
+            fields.append(value.alias(f"value{i}"))
+        return F.struct(*fields)
+
+    kinds = ", ".join(f"value{i}: {types[m.column].simpleString()}" for i, m in enumerate(values, 1))
+    nothing = F.array().cast(f"array<struct<kind: int, slot: bigint, bit: int, {kinds}>>")
+    pane, stretch, previous = F.col("pane"), F.col("stretch"), F.col("previous")
+    parts = F.array(part(0, pane, F.lit(0)))
+    for i, m in enumerate(values, 1):
+        here, there = (part(i, slot, pane - slot * starts) for slot in (stretch, previous))
+        present = F.col(m.column).isNotNull()
+        found = F.when(present & (stretch == previous), F.array(here)).when(present, F.array(here, there))
+        parts = F.concat(parts, found.otherwise(nothing))
+    slots = {"stretch": _step("pane", starts), "previous": _step(f"(pane - {k - 1})", starts)}
+    return rows.withColumns(slots).select("*", F.inline(parts))
 
 
 def window_metrics(

@@ -57,7 +57,8 @@ def kafka_stream(
 ) -> DataFrame:
     """Unbounded scan of the topics."""
     rate = {"startingOffsets": starting, "maxOffsetsPerTrigger": str(max_offsets)}
-    return spark.readStream.format("kafka").options(**read_options(servers, topics, {**rate, **(options or {})})).load()
+    settings = read_options(servers, topics, {**rate, **(options or {})})
+    return spark.readStream.format("kafka").options(**settings).load()
 
 
 def kafka_batch(
@@ -65,7 +66,8 @@ def kafka_batch(
 ) -> DataFrame:
     """Bounded scan: everything in the topics now."""
     bounds = {"startingOffsets": "earliest", "endingOffsets": "latest"}
-    return spark.read.format("kafka").options(**read_options(servers, topics, {**bounds, **(options or {})})).load()
+    settings = read_options(servers, topics, {**bounds, **(options or {})})
+    return spark.read.format("kafka").options(**settings).load()
 
 
 def write_kafka(records: DataFrame, servers: str, options: Mapping[str, str] | None = None) -> None:
