@@ -81,11 +81,12 @@ def configure(
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the shared folder that ``spark.checkpoint.dir`` names.
+    """A fresh folder under the shared folder that ``spark.checkpoint.dir`` names,
+    or the one set on the context.
 
-    Only a local session without that setting gets a temporary folder.
+    Only a local session without either gets a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")

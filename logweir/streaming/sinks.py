@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
 from logweir.operators import alerts as A
+from logweir.operators.quality import PARTITIONS, with_partitions
 
 # Trigger intervals.
 ALERT_TRIGGER = "30 seconds"
@@ -86,10 +87,17 @@ def batch_sink(
 
 
 def metrics_sink(
-    metrics: DataFrame, path: str, checkpoint: str, available_now: bool = False
+    metrics: DataFrame,
+    path: str,
+    checkpoint: str,
+    available_now: bool = False,
+    partitioned: bool = False,
 ) -> DataStreamWriter:
-    """Closed windows to Parquet, each exactly once."""
-    writer = metrics.writeStream.queryName("metrics").outputMode("append").format("parquet").option("path", path)
+    """Closed windows to Parquet, each exactly once; ``partitioned`` by the hour they start in."""
+    rows = with_partitions(metrics, F.col("window.start")) if partitioned else metrics
+    writer = rows.writeStream.queryName("metrics").outputMode("append").format("parquet").option("path", path)
+    if partitioned:
+        writer = writer.partitionBy(*PARTITIONS)
     return triggered(writer.option("checkpointLocation", checkpoint), METRICS_TRIGGER, available_now)
 
 

@@ -130,10 +130,12 @@ def test_late_logs_are_cut_per_window(spark, tmp_path):
     of 00:16:30 only for those that end by then."""
 
     def start(logs):
-        once(sinks.metrics_sink(stream.window_metrics(logs), str(tmp_path / "out"), str(tmp_path / "cp")))
+        measured = stream.window_metrics(logs)
+        once(sinks.metrics_sink(measured, str(tmp_path / "out"), str(tmp_path / "cp"), partitioned=True))
 
     late_runs(spark, str(tmp_path / "q"), start)
     out = spark.read.parquet(str(tmp_path / "out"))
+    assert {(r.year, r.month, r.day, r.hour) for r in out.collect()} == {(2024, 1, 14, 23), (2024, 1, 15, 0)}
     assert minutes(out, "log_count", "unique_ports") == [(m, 1, 1) for m in (-4, -3, -2, -1, 0, 14)]
 
 
