@@ -41,14 +41,13 @@ def locate(addresses: DataFrame, ranges: DataFrame) -> DataFrame:
     to the driver) and joins on equality.
     """
     bits = F.substring_index("cidr", "/", -1).try_cast("int")
-    networks = (
+    known = (
         ranges.select(ipv4_number(F.substring_index("cidr", "/", 1)).alias("number"), bits.alias("bits"), "location")
         .filter(F.col("number").isNotNull() & F.col("bits").between(0, 32))
         .withColumn("network", F.expr("shiftright(number, 32 - bits)"))
-        .groupBy("bits", "network")
-        .agg(F.min("location").alias("location"))
     )
-    lengths = sorted(row.bits for row in networks.select("bits").distinct().collect())
+    networks = known.groupBy("bits", "network").agg(F.min("location").alias("location"))
+    lengths = sorted(row.bits for row in known.select("bits").distinct().collect())
     if not lengths:
         return addresses.select("source_ip", F.lit(None).cast("string").alias("location")).limit(0)
     number = ipv4_number(F.col("source_ip"))

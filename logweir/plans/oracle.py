@@ -308,6 +308,12 @@ def catalog() -> dict[str, str]:
         ),
         "retention": _raw_select('event_id, epoch_us("timestamp") as "timestamp"', real_time=True)
         + " where \"timestamp\" >= timestamp '2024-04-14 12:00:00' - interval 90 day",
+        "stored_retention": _raw_select(
+            'event_id, epoch_us("timestamp") as "timestamp", year("timestamp")::int as year, '
+            'month("timestamp")::int as month, day("timestamp")::int as day, hour("timestamp")::int as hour',
+            real_time=True,
+        )
+        + " where \"timestamp\" >= timestamp '2024-04-14 12:00:00' - interval 90 day",
         "zscore_outliers": ZSCORES,
         "seasonal_residual": SEASONAL,
         "asset_join": f"""with raw as ({_raw()}), asset as ({ASSETS})

@@ -20,6 +20,7 @@ from logweir.operators import anomaly, forest, ingest, lookup, metrics, outliers
 from logweir.operators import enrich as E
 from logweir.settings import Thresholds, configure, materialize, work_folder
 from logweir.sources import events as S
+from logweir.sources import store
 from logweir.streaming import metrics as stream
 from logweir.streaming import run, sinks
 
@@ -299,6 +300,14 @@ def retention(spark, sf):
     return flat(rows.select("event_id", "timestamp"))
 
 
+def stored_retention(spark, sf):
+    """The same from a store partitioned by hour, which skips older folders."""
+    path = work_folder(spark, "log-store")
+    store.write_logs(E.enrich(raw_logs(spark, sf, real_time=True), now=now(), carry=("event_id",)), path)
+    kept = quality.retained(spark.read.parquet(path), AS_OF)
+    return flat(kept.select("event_id", "timestamp", *quality.PARTITIONS))
+
+
 def zscore_outliers(spark, sf):
     stored = materialize(metrics.window_metrics(enriched(spark, sf)), "metrics")
     rows = outliers.zscores(stored).select(
@@ -454,6 +463,7 @@ ALL = (
     failed_attempts,
     partition_columns,
     retention,
+    stored_retention,
     zscore_outliers,
     seasonal_residual,
     isolation_forest,

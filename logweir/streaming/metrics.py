@@ -7,9 +7,10 @@ state row per distinct value, spread over all state partitions:
 * append: two chained aggregations. The first groups by window, key and value,
   and combines on the map side; the second counts its rows. Spark allows the
   chain in append mode only.
-* update: values pass two deduplications, first within their input partition,
-  so that the copies of one hot value do not meet in a single task, then overall.
-  What passes is counted together with the other measures in one aggregation.
+* update: values pass two deduplications, first among the records of the same
+  salt, so that the copies of one hot value do not meet in a single task, then
+  overall. What passes is counted together with the other measures in one
+  aggregation. A deduplication has no map-side step, hence the salt.
 
 Panes, which the batch form uses, are no option here: a late log must still count
 in those of its five windows that are open, but its pane may be closed.
@@ -18,6 +19,7 @@ in those of its five windows that are open, but its pane may be closed.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +41,8 @@ from logweir.operators.metrics import (
 from logweir.operators.records import fields
 from logweir.settings import Thresholds, WindowSpec
 
+# More salts spread a hot value over more tasks and keep more state for it: one
+# row per salt in which it occurs.
 SALTS = 64
 # The fields of a log the metrics read; a stream parses no others.
 LOG_INPUT = fields(*inputs(KEYS, MEASURES))
@@ -57,6 +61,16 @@ def _value_rows(logs: DataFrame, values: Sequence[Measure], first: int) -> Colum
     return F.array(*[part(kind) for kind in range(first, len(values) + 1)])
 
 
+def _salt(logs: DataFrame, salts: int) -> Column:
+    """Set by the record's place in the queue, so a task that runs again agrees. One
+    partition may hold all records of a hot source; its offsets still spread them."""
+    if "offset" in logs.columns:
+        place = F.xxhash64(*[c for c in ("topic", "partition", "offset") if c in logs.columns])
+    else:
+        place = F.spark_partition_id()
+    return F.pmod(place, F.lit(salts)).cast("int").alias("salt")
+
+
 def _counted(values: Sequence[Measure]) -> list[Column]:
     return [F.count_if(F.col(f"value{i}").isNotNull()).alias(m.name) for i, m in enumerate(values, 1)]
 
@@ -68,6 +82,7 @@ def window_metrics(
     measures: Sequence[Measure] = MEASURES,
     mode: str = "append",
     approximate: bool = False,
+    salts: int = SALTS,
 ) -> DataFrame:
     """The batch measures on a stream, for a sink in the given output mode.
 
@@ -75,22 +90,26 @@ def window_metrics(
     """
     window = F.window("timestamp", f"{spec.duration} seconds", f"{spec.slide} seconds").alias("window")
     late = f"{spec.watermark} seconds"
-    rows = logs.withWatermark("timestamp", late).select(window, *inputs(keys, measures))
+    marked = logs.withWatermark("timestamp", late)
+    rows = marked.select(window, *inputs(keys, measures))
     values = distinct(measures)
     names = [f"value{i}" for i in range(1, len(values) + 1)]
     grouping = ["window", *keys]
+    used = reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in names], F.col("kind") == 0)
 
     if approximate or not values:
         sketched = [F.approx_count_distinct(F.col(m.column)).alias(m.name) for m in values]
         grouped = rows.groupBy(*grouping).agg(*partial(measures), *sketched)
     elif mode == "append":
-        spread = rows.select("*", F.inline(_value_rows(logs, values, 0)))
+        spread = rows.select("*", F.inline(_value_rows(logs, values, 0))).filter(used)
         once = spread.groupBy(*grouping, "kind", *names).agg(*partial(measures, F.col("kind") == 0))
         grouped = once.groupBy(*grouping).agg(*merged(measures), *_counted(values))
     else:
-        salt = F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("salt")
-        seen = rows.select(*grouping, salt, F.inline(_value_rows(logs, values, 1))).filter(
-            F.coalesce(*[F.col(n).cast("string") for n in names]).isNotNull()
+        needed = [*keys, *[m.column for m in values]]
+        seen = (
+            marked.select(window, *dict.fromkeys(needed), _salt(logs, salts))
+            .select(*grouping, "salt", F.inline(_value_rows(logs, values, 1)))
+            .filter(used)
         )
         unique = (
             seen.dropDuplicates([*grouping, "kind", *names, "salt"])
