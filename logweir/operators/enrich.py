@@ -90,6 +90,7 @@ def enrich(
     now: Column | datetime | None = None,
     hostname: str | None = None,
     carry: Sequence[str] = (),
+    risky_ports: Sequence[int] = network.RISKY_PORTS,
 ) -> DataFrame:
     """Defaults, normalisation, metadata and derived fields in one projection.
 
@@ -128,7 +129,7 @@ def enrich(
         "data_version": F.lit(DATA_VERSION),
         "is_internal_ip": network.is_internal_ip(source),
         "traffic_direction": network.traffic_direction(source, destination),
-        "risk_score": network.risk_score(port, source, sent, status),
+        "risk_score": network.risk_score(port, source, sent, status, risky_ports),
     }
     return raw.select(
         *carry, *[columns[field.name].cast(field.dataType).alias(field.name) for field in LOG.fields]

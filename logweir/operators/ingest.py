@@ -3,22 +3,27 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from logweir.functions import network
 from logweir.operators import enrich as E
 from logweir.operators import records
 
 
-def _checked(raw: DataFrame, now: Column | datetime | None, hostname: str | None) -> DataFrame:
+def _checked(
+    raw: DataFrame,
+    now: Column | datetime | None,
+    hostname: str | None,
+    topics: Mapping[str, str] = network.TOPICS,
+) -> DataFrame:
     """Every raw row as a queue record with its reject reason: one projection."""
     marked = raw.withColumn("reject_reason", E.reject_reason(raw))
-    return records.to_records(
-        E.enrich(marked, now=now, hostname=hostname, carry=("reject_reason",)), carry=("reject_reason",)
-    )
+    enriched = E.enrich(marked, now=now, hostname=hostname, carry=("reject_reason",))
+    return records.to_records(enriched, topics, carry=("reject_reason",))
 
 
 def _counts() -> dict[str, Column]:
@@ -38,9 +43,14 @@ def summary(raw: DataFrame, now: Column | datetime | None = None, hostname: str
     return counts.withColumn("success_rate", rate)
 
 
-def by_topic(raw: DataFrame, now: Column | datetime | None = None, hostname: str | None = None) -> DataFrame:
+def by_topic(
+    raw: DataFrame,
+    now: Column | datetime | None = None,
+    hostname: str | None = None,
+    topics: Mapping[str, str] = network.TOPICS,
+) -> DataFrame:
     """Accepted records and bytes per topic."""
-    sent = records.producer_records(raw, now=now, hostname=hostname)
+    sent = records.producer_records(raw, now=now, hostname=hostname, topics=topics)
     return sent.groupBy("topic").agg(
         F.count(F.lit(1)).alias("success"), F.sum(F.octet_length("value")).alias("bytes_sent")
     )
@@ -51,13 +61,14 @@ def send_batch(
     write: Callable[[DataFrame], None],
     now: Column | datetime | None = None,
     hostname: str | None = None,
+    topics: Mapping[str, str] = network.TOPICS,
 ) -> dict[str, float]:
     """Write the accepted records with ``write`` in one job and count on the way.
 
     ``write`` gets a (topic, key, value) frame and must run exactly one action.
     """
     seen = Observation()
-    checked = _checked(raw, now, hostname).observe(seen, *[c.alias(n) for n, c in _counts().items()])
+    checked = _checked(raw, now, hostname, topics).observe(seen, *[c.alias(n) for n, c in _counts().items()])
     start = time.monotonic()
     write(checked.filter(F.col("reject_reason").isNull()).drop("reject_reason"))
     elapsed = time.monotonic() - start

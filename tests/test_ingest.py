@@ -285,3 +285,14 @@ def test_accepted_reaches_the_scan(spark, tmp_path):
     raw(spark, SAMPLE).write.parquet(path)
     plan = E.logs(spark.read.parquet(path), now=NOW)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(source_ip)]" in plan
+
+
+def test_topics_and_ports_are_parameters(spark, tmp_path):
+    rows = raw(spark, {**SAMPLE, "severity": "audit", "destination_port": 8080})
+    topics = {"AUDIT": "audit-logs"}
+    assert ingest.by_topic(rows, topics=topics).first().topic == "audit-logs"
+    path = str(tmp_path / "q")
+    ingest.send_batch(rows, lambda df: queue.write_files(df, path), topics=topics)
+    assert spark.read.parquet(path).first().topic == "audit-logs"
+    assert E.enrich(rows).first().risk_score == 0.0
+    assert E.enrich(rows, risky_ports=(8080,)).first().risk_score == 0.3
