@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import dataclass
 
@@ -81,16 +80,15 @@ def configure(
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the shared folder that ``spark.checkpoint.dir`` names,
-    or the one set on the context.
-
-    Only a local session without either gets a temporary folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """A fresh folder that every executor can reach: under ``spark.checkpoint.dir``, else
+    under the checkpoint folder of the context, else under the warehouse."""
+    base = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir", None)
+    )
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="logweir-")
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

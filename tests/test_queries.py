@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry_file
+from logweir.plans import oracle, queries
 from tests import compare
 
-QUERIES, SQL = entry_file.queries(), entry_file.oracle_sql()
+QUERIES, SQL = queries.catalog(), oracle.catalog()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,8 @@ def con(sf):
 def test_only_the_forest_has_no_sql():
     assert set(QUERIES) - set(SQL) == {"isolation_forest"}
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_file.queries())
+    assert set(SQL) <= set(entry_file.oracle_sql())
 
 
 def test_entry_gives_alerts(spark):

@@ -8,29 +8,40 @@ from logweir.settings import configure, materialize, work_folder
 class Session:
     """As much of a session as the work folder looks at."""
 
-    def __init__(self, master, setting=None, context_folder=None):
-        self.master, self.setting, self.context_folder = master, setting, context_folder
+    def __init__(self, setting=None, context_folder=None, warehouse=None):
+        self.settings = {"spark.checkpoint.dir": setting, "spark.sql.warehouse.dir": warehouse}
+        self.context_folder = context_folder
         self.conf = self.sparkContext = self
 
     def get(self, name, default):
-        assert name == "spark.checkpoint.dir"
-        return self.setting or default
+        return self.settings[name] or default
 
     def getCheckpointDir(self):
         return self.context_folder
 
 
 def test_shared_folder_comes_from_the_session():
-    first = work_folder(Session("yarn", "hdfs://shared/work/"), "x")
+    first = work_folder(Session("hdfs://shared/work/"), "x")
     assert first.startswith("hdfs://shared/work/x-")
-    assert first != work_folder(Session("yarn", "hdfs://shared/work/"), "x")
-    assert work_folder(Session("yarn", None, "hdfs://other"), "x").startswith("hdfs://other/x-")
+    assert first != work_folder(Session("hdfs://shared/work/"), "x")
+    assert work_folder(Session(None, "hdfs://other"), "x").startswith("hdfs://other/x-")
 
 
-def test_no_temporary_folder_on_a_cluster():
+def test_warehouse_is_the_last_resort():
+    assert work_folder(Session(warehouse="hdfs://house"), "x").startswith("hdfs://house/x-")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        work_folder(Session("yarn"), "x")
-    assert work_folder(Session("local[2]"), "x")
+        work_folder(Session(), "x")
+
+
+def test_session_without_a_checkpoint_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.unset("spark.checkpoint.dir")
+    try:
+        if not spark.conf.get("spark.checkpoint.dir", None):
+            base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
+            assert work_folder(spark, "x").startswith(base)
+    finally:
+        spark.conf.set("spark.checkpoint.dir", shared)
 
 
 def test_materialized_table_is_read_back(spark):
