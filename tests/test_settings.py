@@ -33,17 +33,6 @@ def test_warehouse_is_the_last_resort():
         work_folder(Session(), "x")
 
 
-def test_session_without_a_checkpoint_folder(spark):
-    shared = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.unset("spark.checkpoint.dir")
-    try:
-        if not spark.conf.get("spark.checkpoint.dir", None):
-            base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
-            assert work_folder(spark, "x").startswith(base)
-    finally:
-        spark.conf.set("spark.checkpoint.dir", shared)
-
-
 def test_materialized_table_is_read_back(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     df = spark.range(10).selectExpr("id", "struct(id as a) as s")
