@@ -2,21 +2,64 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logweir.llm import mixing
+from logweir.llm import decontaminate, lines, mixing, quality, records, simhash
 from logweir.llm.common import table
 
+#: Environment variable with a tokenizers file; else the public package's file is taken.
+TOKENIZER = "LOGWEIR_TOKENIZER"
+
+
+def tokenizer_path() -> str:
+    if TOKENIZER in os.environ:
+        return os.environ[TOKENIZER]
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.drop_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", "n_lines", "n_dropped")
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(table(spark, sf_dir, "documents"))
+
+
+def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.token_records(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+OPERATORS = (
+    op1_quality,
+    op4_mixing,
+    op6_decontaminate,
+    op7_lines,
+    op8_simhash,
+    op10_token_records,
+)
+
+
 def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_mixing,)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_catalog() -> dict[str, str]:
-    return {}
+    return {"op7_lines": lines.SQL}
