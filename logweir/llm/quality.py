@@ -9,8 +9,8 @@ Inputs are what a text looks like: shapes of its words, kinds of characters, rep
 are taken from whole texts, in one pass. The two training samples are bounded (``POSITIVES``,
 ``UNLABELLED``); they are the rows with the smallest hashes, so reruns agree.
 
-Defined results: a null text is an empty one and gets a score like any other; without any
-positive all scores are 0.5; repeated rows get the same score; an empty table gives no rows;
+Defined results: a null text is an empty one and gets a score like any other; without
+positives (under four) all scores are 0.5; repeated rows get the same score; an empty table gives no rows;
 a null id counts as not held out, but is never learnt from.
 """
 
@@ -36,6 +36,8 @@ HIDDEN = 24
 STEPS = 1500
 BATCH = 512
 THRESHOLD = 0.3
+#: Times the class prior is estimated anew.
+ROUNDS = 2
 FOLDS = 5
 
 _CLASSES = bytearray(range(256))
@@ -153,22 +155,29 @@ def train(positives: np.ndarray, unlabelled: np.ndarray, prior: float | None, se
     return model
 
 
+def _ratio(model: Scorer, positives: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The least ratio of the samples' masses above a cut; cuts lie in the positives' lower tail."""
+    p, u = np.sort(model.score(positives)), np.sort(model.score(unlabelled))
+    cuts = np.quantile(p, [0.0, 0.001, 0.002, 0.004, 0.008, 0.016, 0.03, 0.06, 0.12, 0.25, 0.5])
+    above_p = 1 - np.searchsorted(p, cuts) / len(p)
+    above_u = 1 - np.searchsorted(u, cuts) / len(u)
+    return float(np.clip((above_u / above_p).min(), 0.02, 0.98))
+
+
 def class_prior(positives: np.ndarray, unlabelled: np.ndarray, seed: int = 1) -> float:
-    """Share of positives among the unlabelled: where a classifier of the two samples is least
-    like a positive's lower part, the ratio of their masses above a cut bounds the share.
+    """Share of positives among the unlabelled.
 
-    One half of each sample trains the classifier, the other half gives the ratio.
+    Above any cut of any score, unlabelled text has at least the share's part of the positives'
+    mass, so the ratio of the two masses bounds the share from above; it is tight where few
+    bad texts lie above the cut. One half of each sample trains the scores, first those that
+    tell the samples apart, then those of the risk at the bound so far; the other half gives
+    the ratio.
     """
-    model = train(positives[::2], unlabelled[::2], None, seed)
-    p, u = np.sort(model.score(positives[1::2])), np.sort(model.score(unlabelled[1::2]))
-    if not len(p) or not len(u):
-        return 0.5
-    cuts = np.quantile(p, np.linspace(0.02, 0.9, 45))
-    above_p = 1 - np.searchsorted(p, cuts) / len(p)
-    above_u = 1 - np.searchsorted(u, cuts) / len(u)
-    slack = 1.0 / np.sqrt(len(p)) + 1.0 / np.sqrt(len(u))
-    ratio = (above_u + 0.5 * slack) / np.maximum(above_p, 1e-9)
-    return float(np.clip(ratio.min(), 0.05, 0.95))
+    trained, seen = (positives[::2], unlabelled[::2]), (positives[1::2], unlabelled[1::2])
+    prior = _ratio(train(*trained, None, seed), *seen)
+    for _ in range(ROUNDS):
+        prior = min(prior, _ratio(train(*trained, prior, seed), *seen))
+    return prior
 
 
 def fold(doc_id: str = "doc_id", folds: int = FOLDS) -> Column:
@@ -202,7 +211,7 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 1) -> Scorer | None:
     trusted = labels.where(mine & (F.col("quality") == 1))
     p = _matrix(docs, _sample(trusted, POSITIVES, seed))
     u = _matrix(docs, _sample(docs.where(mine), UNLABELLED, seed + 1))
-    if len(p) < 2 or len(u) < 2:
+    if len(p) < 4 or len(u) < 4:
         return None
     return train(p, u, class_prior(p, u, seed), seed)
 
