@@ -37,10 +37,10 @@ from logweir.llm.common import materialize, utf8, work_folder
 
 END = 0
 #: A shard is read whole by one task.
-SHARD_RECORDS = 8192
+SHARD_RECORDS = 4096
 #: Words that stay known to a worker, and bytes of text that it encodes at once.
 KNOWN = 1_000_000
-HELD_BYTES = 8 << 20
+HELD_BYTES = 3 << 20
 #: New words that are encoded as one text.
 JOINED = 50
 FRAME = struct.Struct("<QI")
@@ -84,7 +84,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.starts, self.counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.starts, self.counts = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)
         self.ids = np.zeros(0, dtype=self.kind)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -101,8 +101,8 @@ class Encoder:
             counts.append(np.diff(at, prepend=0))
         new, base, slot = np.concatenate(counts), len(self.ids), len(self.known)
         self.known.update(zip(words, range(slot, slot + len(words)), strict=True))
-        self.starts = np.concatenate([self.starts, base + np.cumsum(new) - new])
-        self.counts = np.concatenate([self.counts, new])
+        self.starts = np.concatenate([self.starts, (base + np.cumsum(new) - new).astype(np.int32)])
+        self.counts = np.concatenate([self.counts, new.astype(np.int32)])
         self.ids = np.concatenate([self.ids, *encoded])
 
     def _clean(self, texts: pa.Array) -> list[np.ndarray]:
@@ -110,26 +110,27 @@ class Encoder:
             self._forget()
         split = pc.split_pattern(texts, " ")
         first = split.offsets.to_numpy()[:-1] - split.offsets[0].as_py()
-        words = split.flatten()
-        coded = words.dictionary_encode()
+        coded = split.flatten().dictionary_encode()
         distinct, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        # First words have no space before them.
-        used = np.zeros(len(distinct), dtype=bool)
+        # First words have nothing before them.
         later = np.ones(len(code), dtype=bool)
         later[first] = False
+        used = np.zeros(len(distinct), dtype=bool)
         used[code[later]] = True
         known = self.known
         new = [w for w, u in zip(distinct, used.tolist(), strict=True) if u and w not in known]
         if new:
             self._learn(new)
-        slot = np.array([known[w] if u else 0 for w, u in zip(distinct, used.tolist(), strict=True)])
-        start, count = np.zeros(len(code), dtype=np.int64), np.zeros(len(code), dtype=np.int64)
-        start[later], count[later] = self.starts[slot[code[later]]], self.counts[slot[code[later]]]
+        slot = np.array([known[w] if u else 0 for w, u in zip(distinct, used.tolist(), strict=True)], dtype=np.int32)
+        of = slot[code]
+        start = self.starts[of] if len(known) else np.zeros(len(code), dtype=np.int32)
+        count = self.counts[of] if len(known) else np.zeros(len(code), dtype=np.int32)
         heads = self._encode([distinct[c] for c in code[first].tolist()])
-        head_counts = np.array([len(h) for h in heads])
+        head_counts = np.array([len(h) for h in heads], dtype=np.int32)
         start[first], count[first] = len(self.ids) + np.cumsum(head_counts) - head_counts, head_counts
-        ends = np.cumsum(count)
-        at = np.arange(ends[-1]) + np.repeat(start - (ends - count), count)
+        ends = np.cumsum(count, dtype=np.int64)
+        shift = (start - (ends - count)).astype(np.int32)
+        at = np.arange(ends[-1], dtype=np.int32) + np.repeat(shift, count)
         ids = np.concatenate([self.ids, *heads])[at]
         return np.split(ids, ends[first[1:] - 1])
 
