@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logweir.llm import decontaminate, language, lines, mixing, quality, records, simhash
+from logweir.llm import decontaminate, language, lines, mixing, quality, records, simhash, vectors
 from logweir.llm.common import table
 
 #: Environment variable with a tokenizers file; else the public package's file is taken.
@@ -47,6 +47,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.token_records(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -58,6 +62,7 @@ OPERATORS = (
     op6_decontaminate,
     op7_lines,
     op8_simhash,
+    op9_vectors,
     op10_token_records,
 )
 
