@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logweir.llm import decontaminate, language, lines, mixing, quality, records, simhash, vectors
+from logweir.llm import decontaminate, extract, language, lines, mixing, quality, records, simhash, vectors
 from logweir.llm.common import table
 
 #: Environment variable with a tokenizers file; else the public package's file is taken.
@@ -26,6 +26,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.scores(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OPERATORS = (
     op1_quality,
+    op2_extract,
     op3_language,
     op4_mixing,
     op6_decontaminate,
