@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logweir.llm import decontaminate, extract, language, lines, mixing, quality, records, simhash, vectors
+from logweir.llm import decontaminate, extract, language, lines, mixing, quality, records, repeats, simhash, vectors
 from logweir.llm.common import table
 
 #: Environment variable with a tokenizers file; else the public package's file is taken.
@@ -38,6 +38,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removal_digests(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -64,6 +68,7 @@ OPERATORS = (
     op2_extract,
     op3_language,
     op4_mixing,
+    op5_repeats,
     op6_decontaminate,
     op7_lines,
     op8_simhash,
