@@ -39,8 +39,8 @@ END = 0
 #: A shard is read whole by one task.
 SHARD_RECORDS = 4096
 #: Words that stay known to a worker, and bytes of text that it encodes at once.
-KNOWN = 1_000_000
-HELD_BYTES = 3 << 20
+KNOWN = 500_000
+HELD_BYTES = 5 << 20
 #: New words that are encoded as one text.
 JOINED = 50
 FRAME = struct.Struct("<QI")
@@ -48,9 +48,13 @@ HEAD = struct.Struct("<qBI")
 CHECK = struct.Struct("<I")
 NULL_ID, WIDE = 1, 2
 
-#: White space beside a space, or a space at an edge.
-_SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-ODD_SPACE = f"{_SPACE} | {_SPACE}|^ | $"
+#: White space that is not one space, one line feed or two between other characters.
+_OTHER = r"\t\f\r\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+ODD_SPACE = f"[{_OTHER}]| [ \\n]|\\n |\\n\\n\\n|^[ \\n]|[ \\n]$"
+#: Marks that end a word; behind a letter or digit (of alphabets that every version of Unicode
+#: knows) they are a token of their own.
+MARKS = ".,!?;:$#%&*"
+MARKED = rf"[0-9A-Za-z\x{{c0}}-\x{{d6}}\x{{d8}}-\x{{f6}}\x{{f8}}-\x{{24f}}\x{{410}}-\x{{44f}}\x{{4e00}}-\x{{9fa5}}][{MARKS}]+$"
 
 
 def masked(data: bytes) -> int:
@@ -61,10 +65,11 @@ def masked(data: bytes) -> int:
 class Encoder:
     """Ids of texts by a tokenizers file of the byte-level kind.
 
-    Such a vocabulary never joins a word and the single space behind it, so the ids of a text
-    are those of its first word and of each " word" after it. Each distinct word is encoded
-    once and remembered, up to a bound. Texts with other white space beside a space are
-    encoded whole.
+    Such a vocabulary never joins a word with the single space or line feed behind it, nor a
+    letter with the marks that end its word. So the ids of a text are those of its first word
+    and of each word after it with what stands before, and a marked word's are its stem's and
+    its marks'. Each distinct word is encoded once and remembered, up to a bound. Texts with
+    other white space are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -83,8 +88,8 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.starts, self.counts = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)
+        self.known: dict[str, int] = {"": 0}
+        self.starts, self.counts = np.zeros(1, dtype=np.int32), np.zeros(1, dtype=np.int32)
         self.ids = np.zeros(0, dtype=self.kind)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -92,45 +97,64 @@ class Encoder:
         return [np.array(f.ids, dtype=self.kind) for f in found]
 
     def _learn(self, words: list[str]) -> None:
-        groups = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
-        encoded = self._encode(["".join([" " + w for w in g]) for g in groups])
+        """Encode words as they stand in a text: behind a space, or from a line feed on."""
+        groups = [[w if w[:1] == "\n" else " " + w for w in words[i : i + JOINED]] for i in range(0, len(words), JOINED)]
+        encoded = self._encode(["".join(g) for g in groups])
         counts = []
         for group, ids in zip(groups, encoded, strict=True):
-            ends = np.cumsum([len(w.encode()) + 1 for w in group])
-            at = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
-            counts.append(np.diff(at, prepend=0))
-        new, base, slot = np.concatenate(counts), len(self.ids), len(self.known)
+            ends = np.cumsum([len(w.encode()) for w in group])
+            counts.append(np.diff(np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1, prepend=0))
+        self._add(words, np.concatenate(encoded), np.concatenate(counts))
+
+    def _add(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        slot, base = len(self.known), len(self.ids)
         self.known.update(zip(words, range(slot, slot + len(words)), strict=True))
-        self.starts = np.concatenate([self.starts, (base + np.cumsum(new) - new).astype(np.int32)])
-        self.counts = np.concatenate([self.counts, new.astype(np.int32)])
-        self.ids = np.concatenate([self.ids, *encoded])
+        self.starts = np.concatenate([self.starts, (base + np.cumsum(counts) - counts).astype(np.int32)])
+        self.counts = np.concatenate([self.counts, counts.astype(np.int32)])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _slots(self, words: pa.Array) -> np.ndarray:
+        """(stem, marks) slots of distinct words."""
+        marked = pc.match_substring_regex(words, MARKED)
+        stems = pc.if_else(marked, pc.utf8_rtrim(words, characters=MARKS), words).dictionary_encode()
+        stem, known = stems.dictionary.to_pylist(), self.known
+        new = [w for w in stem if w not in known]
+        if new:
+            self._learn(new)
+        slots = np.zeros((len(words), 2), dtype=np.int32)
+        slots[:, 0] = np.array([known[w] for w in stem], dtype=np.int32)[stems.indices.to_numpy()]
+        at = np.flatnonzero(marked.to_numpy(zero_copy_only=False))
+        if len(at):
+            full = words.take(pa.array(at)).to_pylist()
+            stem_of = stems.indices.to_numpy()[at].tolist()
+            # A space before the marks keeps them apart from words; "" holds no ids.
+            marks = [" " + w[len(stem[k]) :] for w, k in zip(full, stem_of, strict=True)]
+            new = [m for m in dict.fromkeys(marks) if m not in known]
+            if new:
+                ids = self._encode([m[1:] for m in new])
+                self._add(new, np.concatenate(ids), np.array([len(x) for x in ids]))
+            slots[at, 1] = [known[m] for m in marks]
+        return slots
 
     def _clean(self, texts: pa.Array) -> list[np.ndarray]:
         if len(self.known) > KNOWN:
             self._forget()
-        split = pc.split_pattern(texts, " ")
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         first = split.offsets.to_numpy()[:-1] - split.offsets[0].as_py()
         coded = split.flatten().dictionary_encode()
-        distinct, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        code = coded.indices.to_numpy()
+        slots = self._slots(coded.dictionary)
         # First words have nothing before them.
-        later = np.ones(len(code), dtype=bool)
-        later[first] = False
-        used = np.zeros(len(distinct), dtype=bool)
-        used[code[later]] = True
-        known = self.known
-        new = [w for w, u in zip(distinct, used.tolist(), strict=True) if u and w not in known]
-        if new:
-            self._learn(new)
-        slot = np.array([known[w] if u else 0 for w, u in zip(distinct, used.tolist(), strict=True)], dtype=np.int32)
-        of = slot[code]
-        start = self.starts[of] if len(known) else np.zeros(len(code), dtype=np.int32)
-        count = self.counts[of] if len(known) else np.zeros(len(code), dtype=np.int32)
-        heads = self._encode([distinct[c] for c in code[first].tolist()])
+        heads = self._encode(coded.dictionary.take(pa.array(code[first])).to_pylist())
+        counts = self.counts[slots][code]
+        starts = self.starts[slots][code]
         head_counts = np.array([len(h) for h in heads], dtype=np.int32)
-        start[first], count[first] = len(self.ids) + np.cumsum(head_counts) - head_counts, head_counts
-        ends = np.cumsum(count, dtype=np.int64)
-        shift = (start - (ends - count)).astype(np.int32)
-        at = np.arange(ends[-1], dtype=np.int32) + np.repeat(shift, count)
+        starts[first, 0], counts[first, 0] = len(self.ids) + np.cumsum(head_counts) - head_counts, head_counts
+        counts[first, 1] = 0
+        ends = np.cumsum(counts.sum(axis=1), dtype=np.int64)
+        flat = counts.ravel()
+        shift = (starts.ravel() - (np.cumsum(flat, dtype=np.int64) - flat)).astype(np.int32)
+        at = np.arange(ends[-1], dtype=np.int32) + np.repeat(shift, flat)
         ids = np.concatenate([self.ids, *heads])[at]
         return np.split(ids, ends[first[1:] - 1])
 
