@@ -197,7 +197,8 @@ def _matrix(docs: DataFrame, chosen: DataFrame) -> np.ndarray:
             rows = [features(b.as_py()).tobytes() for b in batch["body"]]
             yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "x": pa.array(rows, pa.binary())})
 
-    rows = docs.join(chosen, F.col("doc_id") == F.col("sampled")).select(
+    # The sample's size has a bound, so texts need no shuffle to meet it.
+    rows = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("sampled")).select(
         F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("body")
     )
     found = sorted(rows.mapInArrow(taken, "doc_id long, x binary").collect(), key=lambda r: (r["doc_id"], bytes(r["x"])))
