@@ -33,6 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logweir.llm.common import materialize
 from logweir.llm.components import components
@@ -41,11 +42,13 @@ from logweir.llm.simhash import forest
 COSINE = 0.9
 WIDTH = 8
 #: Vectors of a chunk of a cell, and visitors that are compared at once.
-CHUNK = 8192
-SLICE = 512
+CHUNK = 32_768
+SLICE = 256
 #: Candidates that are verified at once.
 HELD_PAIRS = 20_000
 SLACK = 1e-5
+#: What a row is in a cell.
+HOME, GUEST, BOTH = range(3)
 
 
 class Space:
@@ -88,14 +91,13 @@ def space(dim: int, cosine: float) -> Space:
     return Space(dim, cosine)
 
 
-def unit(vectors: np.ndarray) -> np.ndarray:
+def units(values: pa.Array, kind: str) -> np.ndarray:
+    """Unit vectors in double precision from the bytes of equally long vectors."""
+    vectors = np.frombuffer(b"".join(values.to_pylist()), dtype=kind).astype(np.float64).reshape(len(values), -1)
+    vectors = vectors / np.abs(vectors).max(axis=1, initial=0, keepdims=True)  # for very large or small components
     return vectors / np.sqrt(np.einsum("nd,nd->n", vectors, vectors))[:, None]
 
 
-def _unpacked(values: pa.Array) -> np.ndarray:
-    return np.stack([np.frombuffer(v.as_py(), dtype=np.float64) for v in values])
-
-
 def _keyed(vectors: DataFrame) -> DataFrame:
     """vec_id, embedding, key; the key is null for rows that link with nothing."""
     finite = F.forall(
@@ -109,21 +111,17 @@ def _keyed(vectors: DataFrame) -> DataFrame:
     return materialize(rows.withColumn("key", key), "vector-keys")
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors of unit length as bytes. Very large or small components are scaled first."""
-    for batch in batches:
-        out = []
-        for v in batch["embedding"]:
-            x = np.array(v.as_py(), dtype=np.float64)
-            x = x / np.abs(x).max()
-            out.append((x / np.sqrt(x @ x)).tobytes())
-        size = pa.array([len(x) // 8 for x in out], pa.int32())
-        yield pa.RecordBatch.from_arrays(
-            [batch["node"], batch["times"], size, pa.array(out, pa.binary())], names=["node", "times", "dim", "unit"]
-        )
+def _packed(kind: str):
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [np.array(v.as_py(), dtype=kind) for v in batch["embedding"]]
+            size, data = pa.array([len(x) for x in out], pa.int32()), pa.array([x.tobytes() for x in out], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch["node"], batch["times"], size, data], names=["node", "times", "dim", "vector"])
 
+    return pack
 
-def _spread(batch: pa.RecordBatch, cosine: float) -> Iterator[tuple[int, int, np.ndarray, tuple[int, int], np.ndarray]]:
+
+def _spread(batch: pa.RecordBatch, cosine: float, kind: str) -> Iterator[tuple[int, int, np.ndarray, tuple[int, int], np.ndarray]]:
     """(dim, block, rows, cell, whether the cell is the row's home) for each cell."""
     dims = batch["dim"].to_numpy()
     for dim in np.unique(dims).tolist():
@@ -131,7 +129,7 @@ def _spread(batch: pa.RecordBatch, cosine: float) -> Iterator[tuple[int, int, np
         if not len(at):
             continue
         own = space(dim, cosine)
-        rotated = own.rotated(_unpacked(batch["unit"].take(pa.array(at))))
+        rotated = own.rotated(units(batch["vector"].take(pa.array(at)), kind))
         for b in range(len(own)):
             home, low, high = own.cells(rotated, b)
             spans = [range(low[:, k].min(), high[:, k].max() + 1) for k in (0, 1)]
@@ -190,22 +188,27 @@ def _links(
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, chunk: int = CHUNK) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
     keyed = _keyed(vectors)
+    # Single precision is kept as it is; everything else travels in double precision.
+    single = vectors.schema["embedding"].dataType.elementType == T.FloatType()
+    kind = "<f4" if single else "<f8"
     grouped = keyed.where("key is not null").groupBy("key").agg(
         F.min("vec_id").alias("node"), F.count("*").alias("times"), F.first("embedding").alias("embedding")
     )
     nodes = materialize(grouped.select("key", "node", "times"), "vector-nodes")
-    units = grouped.select("node", "times", "embedding").mapInArrow(_packed, "node long, times long, dim int, unit binary")
-    units = materialize(units, "vector-units")
+    packed = grouped.select("node", "times", "embedding").mapInArrow(
+        _packed(kind), "node long, times long, dim int, vector binary"
+    )
+    packed = materialize(packed, "vector-bytes")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(d, b, *cell, int(home.sum()), len(rows)) for d, b, rows, cell, home in _spread(batch, cosine)]
+            found = [(d, b, *cell, int(home.sum()), len(rows)) for d, b, rows, cell, home in _spread(batch, cosine, kind)]
             if found:
                 columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=["dim", "b", "x", "y", "homes", "guests"])
 
     place = ["dim", "b", "x", "y"]
-    cells = units.mapInArrow(counted, ", ".join(f"{c} long" for c in [*place, "homes", "guests"]))
+    cells = packed.mapInArrow(counted, ", ".join(f"{c} long" for c in [*place, "homes", "guests"]))
     sizes = cells.groupBy(*place).agg(F.sum("homes").alias("homes"), F.sum("guests").alias("guests")).collect()
     chunks = {tuple(r[c] for c in place): (-(-r["homes"] // chunk), -(-r["guests"] // chunk)) for r in sizes}
 
@@ -213,41 +216,40 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, chunk: int = CHUNK)
         for batch in batches:
             ids = batch["node"].to_numpy().astype(np.uint64)
             mixed = ((ids * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
-            for dim, b, rows, cell, home in _spread(batch, cosine):
+            for dim, b, rows, cell, home in _spread(batch, cosine, kind):
                 of_homes, of_guests = chunks[dim, b, *cell]
                 if not of_homes:
                     continue
-                for is_home, chosen, own_chunks, other_chunks in (
-                    (True, rows[home], of_homes, of_guests),
-                    (False, rows, of_guests, of_homes),
-                ):
+                roles = [(HOME, rows[home], of_homes, of_guests), (GUEST, rows, of_guests, of_homes)]
+                if of_homes == of_guests == 1:
+                    roles = [(BOTH, rows[home], 1, 1), (GUEST, rows[~home], 1, 1)]
+                for role, chosen, own_chunks, other_chunks in roles:
                     if not len(chosen):
                         continue
                     taken = batch.take(pa.array(chosen))
                     n, at = len(chosen), mixed[chosen] % own_chunks
                     for other in range(other_chunks):
                         fixed = [np.full(n, v, dtype=np.int64) for v in (dim, b, *cell)]
-                        meets = [at, np.full(n, other)] if is_home else [np.full(n, other), at]
-                        arrays = [*fixed, *meets, np.full(n, is_home)]
+                        meets = [np.full(n, other), at] if role == GUEST else [at, np.full(n, other)]
+                        arrays = [*fixed, *meets, np.full(n, role)]
                         yield pa.RecordBatch.from_arrays(
-                            [*map(pa.array, arrays), taken["node"], taken["times"], taken["unit"]], names=spread_names
+                            [*map(pa.array, arrays), taken["node"], taken["times"], taken["vector"]], names=spread_names
                         )
 
-    spread_names = [*place, "i", "j", "home", "node", "times", "unit"]
-    schema = ", ".join(f"{c} long" for c in [*place, "i", "j"]) + ", home boolean, node long, times long, unit binary"
+    spread_names = [*place, "i", "j", "role", "node", "times", "vector"]
+    schema = ", ".join(f"{c} long" for c in [*place, "i", "j"]) + ", role long, node long, times long, vector binary"
 
     def linked(rows: pa.Table) -> pa.Table:
         b, dim = rows["b"][0].as_py(), rows["dim"][0].as_py()
         sides = []
-        for side in (rows["home"], pc.invert(rows["home"])):
-            mine = rows.filter(side)
-            empty = np.zeros((0, dim))
-            data = _unpacked(mine["unit"]) if len(mine) else empty
+        for side in ((HOME, BOTH), (GUEST, BOTH)):
+            mine = rows.filter(pc.is_in(rows["role"], pa.array(side, pa.int64())))
+            data = units(mine["vector"], kind) if len(mine) else np.zeros((0, dim))
             sides.append((mine["node"].to_numpy(), mine["times"].to_numpy(), data))
         node, links, root = _links(space(dim, cosine), b, sides[0], sides[1], cosine)
         return pa.table({"a": node, "links": links, "b": root})
 
-    met = units.mapInArrow(dealt, schema).groupBy(*place, "i", "j").applyInArrow(linked, "a long, links long, b long")
+    met = packed.mapInArrow(dealt, schema).groupBy(*place, "i", "j").applyInArrow(linked, "a long, links long, b long")
     found = materialize(met, "vector-links")
     links = found.groupBy("a").agg(F.sum("links").alias("links"))
     joined = nodes.join(links, F.col("node") == F.col("a"), "left").drop("a")
