@@ -32,6 +32,8 @@ WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
 #: Hash bins of a size class: a cut is exact to one bin.
 BINS = 1024
+#: Rows of the cuts table that are sent to all tasks at most.
+SENT_CUTS = 50_000
 STEPS = 100
 TOLERANCE = 1e-12
 
@@ -103,6 +105,7 @@ class Mix:
     """The solved mix: a row for each source and size class."""
 
     cuts: DataFrame  # source, source_size, target, whole, size_class, cut
+    rows: int
     most: int
 
 
@@ -167,6 +170,7 @@ def solve(
             [(r["source"], *about[r["source"]], r["size_class"], r["cut"]) for r in found],
             "source string, source_size long, target double, whole int, size_class int, cut int",
         ),
+        len(found),
         most,
     )
 
@@ -176,6 +180,8 @@ def copies(docs: DataFrame, mix: Mix, words: Column, seed: int = 4, key: str = "
     made = ["size", "source_size", "target", "copies"]
     kept = own_columns(docs, made)
     cuts = mix.cuts.select(*[F.col(c).alias(f"__{c}") for c in mix.cuts.columns])
+    # With few sources texts need no shuffle to meet the cuts; with very many Spark joins by source.
+    cuts = F.broadcast(cuts) if mix.rows <= SENT_CUTS else cuts
     rows = docs.select(*kept, words.alias("__words")).withColumn("__bin", _bin(key, seed))
     joined = rows.join(
         cuts,
