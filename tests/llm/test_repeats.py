@@ -1,0 +1,121 @@
+"""Substring dedup: the interval tree on small strings, spans against all windows."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from logweir.llm import intervals, repeats
+
+SCHEMA = "doc_id long, text string, n_bytes string"
+
+
+def brute(data, length=repeats.LENGTH):
+    first = {}
+    for i, t, *_ in data:
+        b = (t or "").encode()
+        for k in range(len(b) - length + 1) if i is not None else ():
+            first[b[k : k + length]] = min(first.get(b[k : k + length], i), i)
+    rows = []
+    for i, t, *_ in data:
+        b = (t or "").encode()
+        covered = bytearray(len(b))
+        for k in range(len(b) - length + 1) if i is not None else ():
+            if first[b[k : k + length]] < i:
+                covered[k : k + length] = b"\1" * length
+        kept = bytes(x for x, c in zip(b, covered, strict=True) if not c)
+        spans = sum(1 for k in range(len(b)) if covered[k] and not (k and covered[k - 1]))
+        rows.append((i, len(b), sum(covered), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(rows, key=str)
+
+
+def data():
+    rng = random.Random(3)
+    base = ["".join(rng.choice("abcdé ") for _ in range(400)) for _ in range(6)]
+    rows = []
+    for k in range(140):
+        text, at = rng.choice(base), rng.randrange(0, 300)
+        made = list(
+            rng.choice(base)[: rng.randrange(0, 150)]
+            + text[at : at + rng.randrange(30, 200)]
+            + "".join(rng.choice("xyz") for _ in range(rng.randrange(0, 60)))
+        )
+        for _ in range(rng.randrange(0, 3)):
+            if made:
+                made[rng.randrange(len(made))] = "q"
+        rows.append((k * 3 % 97 if k % 7 else k, "".join(made), "x"))
+    rows += [(500 + i, "Of " * i, "x") for i in range(0, 60, 3)]
+    rows += [(None, rows[0][1], "x"), (None, None, "x"), (7, "", "x"), (8, None, "x"), (900, rows[0][1], "x")]
+    rows += [(901, rows[0][1], "x"), (901, rows[0][1], "x"), (-5, "ab" * 200, "x"), (902, "ab" * 100 + "c" + "ab" * 60, "x")]
+    return [*rows, (903, "long" * 3000 + rows[1][1], "x"), (904, "long" * 2000, "x")]
+
+
+@pytest.mark.parametrize(("hot", "group", "bucket"), [(256, 4 << 20, 8 << 20), (256, 3000, 4000), (0, 4000, 5000)])
+def test_spans_of_all_windows(spark, hot, group, bucket):
+    """In one group and in many, and with every shared anchor taken as a hot one."""
+    rows = data()
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = repeats.removal_digests(docs, hot=hot, group_bytes=group, bucket_bytes=bucket)
+    assert found.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert sorted(map(tuple, found.collect()), key=str) == brute(rows)
+
+
+def test_documents_of_the_tables(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    want = brute([tuple(r) for r in docs.select("doc_id", "text").collect()])
+    assert sum(r[2] > 0 for r in want) > 20
+    assert sorted(map(tuple, repeats.removal_digests(docs, group_bytes=100_000).collect()), key=str) == want
+
+
+def test_texts_that_stay(spark):
+    docs = spark.createDataFrame([(1, "x" + "ab" * 40), (2, "y" + "ab" * 40 + "z")], "doc_id long, text string")
+    assert sorted(r["text"] for r in repeats.remove_repeats(docs).collect()) == ["x" + "ab" * 40, "yz"]
+    assert repeats.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_groups_have_all_their_occurrences(spark):
+    rng = random.Random(8)
+    shared = "".join(rng.choice("abcdefgh ") for _ in range(120))
+    texts = {i: "".join(rng.choice("uvwxyz") for _ in range(30 + i)) + shared + "".join(rng.choice("uvwxyz") for _ in range(25)) for i in range(5)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = repeats.repeat_groups(docs, group_bytes=200).collect()
+    assert found
+    for r in found:
+        strings = {texts[m["doc_id"]][m["start"] : m["start"] + r["size"]] for m in r["members"]}
+        assert len(strings) == 1 and r["size"] >= repeats.LENGTH and strings.pop() in shared
+        assert {m["doc_id"] for m in r["members"]} == set(texts)
+
+
+def test_maximal_repeats_of_small_strings():
+    rng = random.Random(1)
+
+    def drawn(n):
+        return bytes(rng.choice(b"ab") for _ in range(rng.randint(0, n)))
+
+    for _ in range(500):
+        n, least = rng.randint(2, 7), rng.randint(1, 6)
+        left, right = [drawn(4) for _ in range(n)], [b"x" + drawn(5) for _ in range(n)]
+        got = set()
+        for before, after, places in intervals.maximal_repeats(left, right, least):
+            same = (left[places[0]][:before], right[places[0]][:after])
+            want = [p for p in range(n) if len(left[p]) >= before and len(right[p]) >= after]
+            assert sorted(places) == [p for p in want if (left[p][:before], right[p][:after]) == same]
+            got |= {(i, j, before, after) for i in places for j in places if i < j}
+        for i in range(n):
+            for j in range(i + 1, n):
+                pair = intervals.common(left[i], left[j]), intervals.common(right[i], right[j])
+                assert sum(pair) < least or (i, j, *pair) in got
+
+
+def test_anchor_of_each_window():
+    rng = np.random.default_rng(2)
+    for text in (rng.integers(97, 99, 300).astype(np.uint8).tobytes(), b"ab" * 100, b"a" * 130):
+        _, place, lo, hi = repeats.anchors(text, np.array([120, len(text)]), 20, 6)
+        covered = [w for a, b in zip(lo.tolist(), hi.tolist(), strict=True) for w in range(a, b + 1)]
+        assert covered == [w for w in range(len(text) - 19) if w + 20 <= 120 or w >= 120]
+        of = {w: p - w for p, a, b in zip(place.tolist(), lo.tolist(), hi.tolist(), strict=True) for w in range(a, b + 1)}
+        by_window = {}
+        for w, offset in of.items():
+            assert 0 <= offset <= 14
+            assert by_window.setdefault(text[w : w + 20], offset) == offset
