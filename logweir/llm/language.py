@@ -19,12 +19,12 @@ c, N, V are 0; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,13 +41,63 @@ DICTIONARY = 400_000
 ROUNDS = 3
 RATE = 0.01
 FOLDS, HELD_OUT = 7, 2
-#: Distinct words that a task counts before it passes them on; groups that sum weights.
-HELD_WORDS = 300_000
+#: Bytes of text that a task counts, and that it looks up at once; groups that sum weights.
+COUNTED_BYTES = 16 << 20
+HELD_BYTES = 4 << 20
 SUMS = 256
 
 
-def tokens(text: bytes) -> list[bytes]:
-    return [*text.lower().split(), END]
+@dataclass
+class Words:
+    """Words of some texts: distinct ones, the number of each in order, and each text's number."""
+
+    distinct: list[bytes]
+    code: np.ndarray
+    text: np.ndarray
+    texts: int
+
+    @property
+    def lengths(self) -> np.ndarray:
+        return np.bincount(self.text, minlength=self.texts)
+
+
+def words_of(bodies: pa.Array) -> Words:
+    """Lower-cased words (A-Z only) between ASCII white space."""
+    try:
+        split = pc.ascii_split_whitespace(pc.ascii_lower(bodies.cast(pa.string())))
+    except pa.ArrowInvalid:  # bytes that are not UTF-8
+        split = pa.array([b.lower().split() for b in bodies.to_pylist()], pa.list_(pa.binary()))
+    words = split.flatten()
+    text = np.repeat(np.arange(len(bodies)), np.diff(split.offsets.to_numpy()))
+    real = pc.greater(pc.binary_length(words), 0)
+    if not pc.all(real).as_py():  # at the edges of a text
+        text = text[real.to_numpy(zero_copy_only=False)]
+        words = words.filter(real)
+    coded = words.dictionary_encode()
+    return Words(coded.dictionary.cast(pa.binary()).to_pylist(), coded.indices.to_numpy(), text, len(bodies))
+
+
+def _parts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``size`` bytes of text."""
+
+    def joined() -> Iterator[pa.RecordBatch]:
+        return iter(pa.Table.from_batches(held).combine_chunks().to_batches())
+
+    held, have = [], 0
+    for batch in batches:
+        start = 0
+        ends = np.cumsum(pc.binary_length(batch["body"]).to_numpy(zero_copy_only=False).astype(np.int64))
+        while start < len(batch):
+            done = ends[start - 1] if start else 0
+            stop = min(max(int(np.searchsorted(ends, done + size - have, side="right")), start + 1), len(batch))
+            held.append(batch.slice(start, stop - start))
+            have += int(ends[stop - 1] - done)
+            start = stop
+            if have >= size:
+                yield from joined()
+                held, have = [], 0
+    if sum(map(len, held)):
+        yield from joined()
 
 
 def is_held_out(doc_id: str = "doc_id") -> Column:
@@ -59,21 +109,13 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """``texts`` (body) -> word, n."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict(
-                {"word": pa.array(list(found), pa.binary()), "n": pa.array(list(found.values()), pa.int64())}
+        for part in _parts(batches, COUNTED_BYTES):
+            found = words_of(part["body"])
+            times = np.bincount(found.code, minlength=len(found.distinct))
+            yield pa.RecordBatch.from_pydict(
+                {"word": pa.array([END, *found.distinct], pa.binary()), "n": pa.array(np.r_[found.texts, times])}
             )
 
-        found: Counter[bytes] = Counter()
-        for batch in batches:
-            for body in batch["body"]:
-                found.update(tokens(body.as_py()))
-                if len(found) > HELD_WORDS:
-                    yield flush()
-                    found = Counter()
-        if found:
-            yield flush()
-
     return texts.mapInArrow(counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -100,10 +142,9 @@ class Lexicon:
     def tail_id(self, word: bytes) -> int:
         return self.vocabulary.head + self.endings.get(word[-ENDING:], self.vocabulary.tail - 1)
 
-    def slots(self, text: bytes) -> tuple[list[bytes], np.ndarray]:
-        words = tokens(text)
+    def slots(self, words: list[bytes]) -> np.ndarray:
         get = self.slot.get
-        return words, np.array([get(w, -1) for w in words])
+        return np.array([get(w, -1) for w in words], dtype=np.int64)
 
     def ids_of(self, words: list[bytes], slots: np.ndarray) -> np.ndarray:
         out = self.ids[slots]
@@ -111,6 +152,11 @@ class Lexicon:
             out[i] = self.tail_id(words[i])
         return out
 
+    def sequences(self, found: Words, ids: np.ndarray) -> list[np.ndarray]:
+        """Each text's ids with the end."""
+        each = np.split(ids[found.code], np.cumsum(found.lengths)[:-1])
+        return [np.append(x, np.int32(0)) for x in each]
+
 
 def _ending(word: str = "word") -> Column:
     size = F.octet_length(word)
@@ -167,7 +213,10 @@ def learn(texts: DataFrame, known: Lexicon, rounds: int = ROUNDS) -> dict[str, n
         def learnt(batches: Iterator[pa.RecordBatch], weights=weights, rate=rate) -> Iterator[pa.RecordBatch]:
             own = shared.value
             learner = recurrent.Learner(own.vocabulary, weights, rate)
-            learner.learn(own.ids_of(*own.slots(body.as_py())) for batch in batches for body in batch["body"])
+            for part in _parts(batches, HELD_BYTES):
+                found = words_of(part["body"])
+                learner.take(own.sequences(found, own.ids_of(found.distinct, own.slots(found.distinct))))
+            learner.finish()
             if learner.learnt:
                 summed = (recurrent.flat(learner.weights) * np.float32(learner.learnt)).tobytes()
                 yield pa.RecordBatch.from_pydict(
@@ -216,42 +265,40 @@ def scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         head = own.vocabulary.head
         log_count = np.log10(own.counts + 1.0)
 
-        def flush() -> pa.RecordBatch:
-            score = recurrent.score(own.vocabulary, network, held) / np.log(10)
-            own_columns = list(zip(*facts, strict=True))
-            own_columns[6] = np.asarray(own_columns[6]) + score
-            rare = own_columns.pop()
-            own_columns += [[list(r) for r in rare], [list(r.values()) for r in rare]]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(own_columns, kinds, strict=True)], names=names)
-
-        held, facts, size = [], [], 0
-        for batch in batches:
-            for row, doc_id, out, body in zip(
-                batch["row"].to_pylist(), batch["doc_id"].to_pylist(), batch["held_out"].to_pylist(), batch["body"], strict=True
-            ):
-                words, slots = own.slots(body.as_py())
-                ids = own.ids_of(words, slots)
-                inside = slots >= 0
-                tail = ids >= head
-                # Counts of the words in the dictionary; the others' are added below.
-                logs = log_count[slots[inside]]
-                seen = int((own.counts[slots[inside]] > 0).sum())
-                within = float(log_count[slots[inside & tail]].sum() - log_z[ids[tail] - head].sum())
-                rare = Counter(words[i] for i in np.flatnonzero(~inside).tolist())
-                held.append(ids)
-                facts.append((row, doc_id, out, len(words), seen, float(logs.sum()), within, rare))
-                size += len(ids)
-                if size > recurrent.HELD_SCORE:
-                    yield flush()
-                    held, facts, size = [], [], 0
-        if held:
-            yield flush()
+        end_log, end_seen = log_count[0], int(own.counts[0] > 0)
+        for part in _parts(batches, HELD_BYTES):
+            found = words_of(part["body"])
+            slots = own.slots(found.distinct)
+            ids = own.ids_of(found.distinct, slots)
+            inside = slots >= 0
+            log = np.where(inside, log_count[slots], 0.0)
+            # A tail word's share of its class; the rarest words' counts are added below.
+            share = np.where(ids >= head, log - log_z[np.maximum(ids - head, 0)], 0.0)
+
+            def by_text(values: np.ndarray, found: Words = found) -> np.ndarray:
+                return np.bincount(found.text, values[found.code], found.texts)
+
+            score = recurrent.score(own.vocabulary, network, own.sequences(found, ids)) / np.log(10)
+            seen = by_text((inside & (own.counts[slots] > 0)).astype(float)).astype(np.int64) + end_seen
+            at = np.flatnonzero(~inside[found.code])
+            pairs, times = np.unique(found.text[at] * len(found.distinct) + found.code[at], return_counts=True)
+            of, word = np.divmod(pairs, max(len(found.distinct), 1))
+            cuts = np.searchsorted(of, np.arange(found.texts + 1)).astype(np.int32)
+            rare = pa.array([found.distinct[w] for w in word.tolist()], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(part[c] for c in ("row", "doc_id", "held_out")),
+                    pa.array(found.lengths + 1),
+                    pa.array(seen),
+                    pa.array(by_text(log) + end_log),
+                    pa.array(score + by_text(share)),
+                    pa.ListArray.from_arrays(pa.array(cuts), rare),
+                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(times)),
+                ],
+                names=names,
+            )
 
     names = ["row", "doc_id", "held_out", "n_tokens", "seen", "logs", "score", "words", "times"]
-    kinds = [
-        *(pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()),
-        *(pa.list_(pa.binary()), pa.list_(pa.int64())),
-    ]
     schema = (
         "row long, doc_id long, held_out boolean, n_tokens long, seen long, logs double, score double, "
         "words array<binary>, times array<long>"

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweir.llm.common import materialize, own_columns
+from logweir.llm.common import materialize
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
@@ -176,38 +176,34 @@ def solve(
 
 
 def copies(docs: DataFrame, mix: Mix, words: Column, seed: int = 4, key: str = "doc_id") -> DataFrame:
-    """Each row of ``docs`` with its source's size and target and its number of copies."""
-    made = ["size", "source_size", "target", "copies"]
-    kept = own_columns(docs, made)
+    """Each row of ``docs`` with __size, __source_size, __target and __copies."""
     cuts = mix.cuts.select(*[F.col(c).alias(f"__{c}") for c in mix.cuts.columns])
     # With few sources texts need no shuffle to meet the cuts; with very many Spark joins by source.
     cuts = F.broadcast(cuts) if mix.rows <= SENT_CUTS else cuts
-    rows = docs.select(*kept, words.alias("__words")).withColumn("__bin", _bin(key, seed))
+    rows = docs.withColumn("__size", words).withColumn("__bin", _bin(key, seed))
     joined = rows.join(
-        cuts,
-        F.col("source").eqNullSafe(F.col("__source")) & (_size_class(F.col("__words")) == F.col("__size_class")),
+        cuts, F.col("source").eqNullSafe(F.col("__source")) & (_size_class(F.col("__size")) == F.col("__size_class"))
     )
     number = F.least(F.col("__whole") + (F.col("__bin") < F.col("__cut")).cast("int"), F.lit(mix.most))
-    return joined.select(
-        *kept,
-        F.col("__words").alias("size"),
-        F.col("__source_size").alias("source_size"),
-        F.col("__target").alias("target"),
-        number.alias("copies"),
-    )
+    return joined.withColumn("__copies", number)
 
 
 def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MAX_COPIES) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies of every document."""
     sized = materialize(docs.select("doc_id", "source", size().alias("size")), "mix-sizes")
     found = copies(sized, solve(sized, weights, most), F.col("size"))
-    taken = (F.col("size") * F.col("copies")).alias("taken")
-    return found.select("doc_id", "size", "source_size", "target", taken, "copies")
+    return found.select(
+        "doc_id",
+        "size",
+        F.col("__source_size").alias("source_size"),
+        F.col("__target").alias("target"),
+        (F.col("size") * F.col("__copies")).alias("taken"),
+        F.col("__copies").alias("copies"),
+    )
 
 
 def mix_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MAX_COPIES) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
     mix = solve(materialize(docs.select("doc_id", "source", size().alias("size")), "mix-sizes"), weights, most)
-    counted = copies(docs.withColumn("__text_size", size()), mix, F.col("__text_size"))
-    again = counted.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
-    return again.select(*docs.columns)
+    again = F.explode(F.array_repeat(F.lit(0), F.col("__copies")))
+    return copies(docs, mix, size()).withColumn("__copy", again).select(*docs.columns)

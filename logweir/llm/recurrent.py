@@ -13,7 +13,7 @@ to window and set to zero where a text begins; gradients stop at a window's star
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,9 +25,8 @@ LANES = 384
 WINDOW = 16
 #: Longest piece of a text that is learnt from one zero state; scores never cut a text.
 PIECE = 1024
-#: Ids that a worker packs into lanes at once.
+#: Ids that a worker packs into lanes at once to learn.
 HELD_LEARN = 400_000
-HELD_SCORE = 1_500_000
 
 
 @dataclass(frozen=True)
@@ -142,8 +141,8 @@ def score(vocabulary: Vocabulary, weights: dict[str, np.ndarray], texts: list[np
     gates = weights["emb"] @ weights["in"] + weights["in_bias"]
     target, previous, text, begin = lanes_of(texts, LANES)
     h = np.zeros((target.shape[1], STATE), dtype=np.float32)
-    for start in range(0, len(target), WINDOW * 4):
-        part = slice(start, start + WINDOW * 4)
+    for start in range(0, len(target), WINDOW):
+        part = slice(start, start + WINDOW)
         live = int((target[start] >= 0).sum())  # lanes are sorted by length
         t, p, x, b = (m[part, :live] for m in (target, previous, text, begin))
         h = h[:live]
@@ -225,6 +224,7 @@ class Learner:
 
     def __init__(self, vocabulary: Vocabulary, weights: dict[str, np.ndarray], rate: float):
         self.vocabulary, self.rate, self.steps, self.learnt = vocabulary, rate, 0, 0
+        self.held: list[np.ndarray] = []
         self.weights = {k: v.copy() for k, v in weights.items()}
         self.first = {k: np.zeros_like(v) for k, v in weights.items()}
         self.second = {k: np.zeros_like(v) for k, v in weights.items()}
@@ -241,17 +241,16 @@ class Learner:
             self.second[k] += np.float32(0.01) * (g * g - self.second[k])
             self.weights[k] -= np.float32(rate / fix1) * self.first[k] / (np.sqrt(self.second[k] / np.float32(fix2)) + np.float32(1e-6))
 
-    def learn(self, texts: Iterable[np.ndarray]) -> None:
-        held, size = [], 0
+    def take(self, texts: list[np.ndarray]) -> None:
         for text in texts:
-            for at in range(0, len(text), PIECE):
-                held.append(text[at : at + PIECE])
-            size += len(text)
-            if size >= HELD_LEARN:
-                self._learn(held)
-                held, size = [], 0
-        if held:
-            self._learn(held)
+            self.held += [text[at : at + PIECE] for at in range(0, len(text), PIECE)]
+        if sum(map(len, self.held)) >= HELD_LEARN:
+            self.finish()
+
+    def finish(self) -> None:
+        if self.held:
+            self._learn(self.held)
+            self.held = []
 
     def _learn(self, pieces: list[np.ndarray]) -> None:
         target, previous, _, begin = lanes_of(pieces, LANES)
