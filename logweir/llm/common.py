@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +17,26 @@ __all__ = ["materialize", "own_columns", "prepare", "table", "utf8", "work_folde
 BATCH_ROWS = 500
 
 
+_sent: set[str] = set()
+
+
+def send_package(spark: SparkSession) -> None:
+    """Let Spark hand this package to the executors, which need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _sent:
+        return
+    package = Path(__file__).resolve().parent.parent
+    path = Path(tempfile.mkdtemp(prefix="logweir-")) / "logweir-package.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(path))
+    _sent.add(context.applicationId)
+
+
 def prepare(spark: SparkSession) -> None:
-    """Session settings of the corpus queries: UTC and small Arrow batches."""
+    """Settings of the corpus queries: UTC and small Arrow batches; code for the executors."""
+    send_package(spark)
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
