@@ -23,13 +23,40 @@ DEFAULT_CHANNELS = ("log",)
 
 
 def alert_id(*keys: Column) -> Column:
-    """Hash of window start and keys: the same alert keeps its id over retries."""
-    start = F.unix_micros(F.col("window_start")).cast("string")
-    return F.sha2(F.concat_ws(":", start, *[F.coalesce(k, F.lit("-")) for k in keys]), 256)
-
+    """Hash of window start and keys: the same alert keeps its id over retries.
 
-def alerts(anomalies: DataFrame) -> DataFrame:
-    """One row per anomalous window and key. A NULL source makes the message NULL."""
+    The prefix keeps a NULL key apart from any text.
+    """
+    start = F.unix_micros(F.col("window_start")).cast("string")
+    return F.sha2(F.concat_ws(":", start, *[F.coalesce(F.concat(F.lit("="), k), F.lit("-")) for k in keys]), 256)
+
+
+# The columns of an alert in their order; id and message follow.
+WINDOW_START, WINDOW_END = "window_start", "window_end"
+COLUMNS = (
+    WINDOW_START,
+    WINDOW_END,
+    "source_ip",
+    "traffic_direction",
+    "severity",
+    "log_count",
+    "failure_rate",
+    "avg_response_time",
+    "total_bytes_sent",
+    "unique_destinations",
+    "unique_ports",
+    "anomaly_score",
+    "anomaly_level",
+    "detected_at",
+    *FLAGS,
+)
+
+
+def verdicts(anomalies: DataFrame) -> DataFrame:
+    """One row per window and key in the form of an alert, with ``is_anomaly``.
+
+    A NULL source makes the message NULL, and a NULL verdict counts as none.
+    """
     message = F.concat(
         F.lit("Network anomaly detected from "),
         F.col("source_ip"),
@@ -38,30 +65,25 @@ def alerts(anomalies: DataFrame) -> DataFrame:
         F.lit(" - Score: "),
         F.col("anomaly_score").cast("string"),
     )
-    return (
-        anomalies.filter("is_anomaly")
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            "source_ip",
-            "traffic_direction",
-            "severity",
-            "log_count",
-            "failure_rate",
-            "avg_response_time",
-            "total_bytes_sent",
-            "unique_destinations",
-            "unique_ports",
-            "anomaly_score",
-            "anomaly_level",
-            "detected_at",
-            *FLAGS,
-        )
-        .withColumn("alert_id", alert_id(F.col("source_ip"), F.col("traffic_direction"), F.col("severity")))
-        .withColumn("alert_message", message)
+    bounds = {WINDOW_START: F.col("window.start"), WINDOW_END: F.col("window.end")}
+    rows = anomalies.withColumns(bounds).withColumn("is_anomaly", F.coalesce("is_anomaly", F.lit(False)))
+    return rows.select(
+        *COLUMNS,
+        alert_id(F.col("source_ip"), F.col("traffic_direction"), F.col("severity")).alias("alert_id"),
+        message.alias("alert_message"),
+        "is_anomaly",
     )
 
 
+def raised(verdict_rows: DataFrame) -> DataFrame:
+    return verdict_rows.filter("is_anomaly").drop("is_anomaly")
+
+
+def alerts(anomalies: DataFrame) -> DataFrame:
+    """One row per anomalous window and key. A NULL source makes the message NULL."""
+    return raised(verdicts(anomalies))
+
+
 def actions(rows: DataFrame, autoscale: Column | None = None, carry: Sequence[str] = ("alert_id",)) -> DataFrame:
     """One row per action: dashboard and notification always, autoscale on a condition."""
     if autoscale is None:
@@ -89,11 +111,14 @@ def channels(
     return alert_rows.select("alert_id", "severity", F.explode(found).alias("channel"))
 
 
-def latest(history: DataFrame, batch: str = "batch_id") -> DataFrame:
-    """The last state of each alert in a history of re-emitted alerts."""
-    columns = [c for c in history.columns if c != "alert_id"]
-    return (
-        history.groupBy("alert_id")
-        .agg(F.max_by(F.struct(*columns), F.col(batch)).alias("last"))
-        .select("alert_id", "last.*")
-    )
+def latest(history: DataFrame, order: Sequence[str] = ("written_at", "batch_id")) -> DataFrame:
+    """The last state of each alert in a history of verdicts; cleared alerts are left out.
+
+    Only the order is aggregated; the rows it names are fetched by a join.
+    """
+    last = history.groupBy("alert_id").agg(F.max(F.struct(*order)).alias("last"))
+    found = last.select(F.col("alert_id").alias("__id"), *[F.col(f"last.{c}").alias(f"__{c}") for c in order])
+    same = F.col("alert_id") == F.col("__id")
+    for c in order:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return history.join(found, same, "left_semi").filter("is_anomaly").drop("is_anomaly")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from logweir.operators.enrich import as_time
 from logweir.settings import Thresholds
 
+# The flags and their order.
 FLAGS = (
     "high_volume_anomaly",
     "high_latency_anomaly",

@@ -24,14 +24,14 @@ DATA_VERSION = "1.0"
 FLOAT_TEXT = r"^\s*[+-]?(([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?|(?i:nan|inf|infinity))\s*$"
 
 
-def _field(raw: DataFrame, name: str) -> Column:
+def field(raw: DataFrame, name: str) -> Column:
     """A raw field; one the frame does not have is NULL, as is an absent key."""
     return F.col(name) if name in raw.columns else F.lit(None).cast(RAW[name].dataType)
 
 
 def _number(raw: DataFrame, name: str, kind: str) -> Column:
     """A numeric field; text that is no number gives NULL instead of failing the job."""
-    value = _field(raw, name)
+    value = field(raw, name)
     number = value.try_cast(kind)
     if kind == "double" and name in raw.columns and raw.schema[name].dataType.typeName() == "string":
         number = F.when(value.rlike(FLOAT_TEXT), number)
@@ -40,7 +40,7 @@ def _number(raw: DataFrame, name: str, kind: str) -> Column:
 
 def _or_zero(raw: DataFrame, name: str, kind: str) -> Column:
     """Zero when absent. A value that is no number stays NULL: it is a reject."""
-    return F.when(_field(raw, name).isNull(), F.lit(0).cast(kind)).otherwise(_number(raw, name, kind))
+    return F.when(field(raw, name).isNull(), F.lit(0).cast(kind)).otherwise(_number(raw, name, kind))
 
 
 # Types whose every value is a number of the wanted kind.
@@ -53,7 +53,7 @@ def _unreadable(raw: DataFrame) -> dict[str, Column]:
     """The numeric fields that can hold something else, and when they do."""
     types = dict(raw.dtypes)
     return {
-        name: _field(raw, name).isNotNull() & _number(raw, name, kind).isNull()
+        name: field(raw, name).isNotNull() & _number(raw, name, kind).isNull()
         for name, kind in NUMBERS.items()
         if name in types and types[name] not in SAFE[kind]
     }
@@ -62,13 +62,13 @@ def _unreadable(raw: DataFrame) -> dict[str, Column]:
 def reject_reason(raw: DataFrame) -> Column:
     """Why a record cannot be sent, in the order the checks apply; NULL if it can."""
     checks = [(f"bad_{name}", bad) for name, bad in _unreadable(raw).items()]
-    checks.append(("missing_source_ip", _field(raw, "source_ip").isNull()))
+    checks.append(("missing_source_ip", field(raw, "source_ip").isNull()))
     return F.coalesce(*[F.when(failed, reason) for reason, failed in checks])
 
 
 def accepted(raw: DataFrame) -> DataFrame:
     """Rows without a reject reason, as plain conditions that a scan can apply."""
-    rows = raw.filter(_field(raw, "source_ip").isNotNull())
+    rows = raw.filter(field(raw, "source_ip").isNotNull())
     for bad in _unreadable(raw).values():
         rows = rows.filter(~bad)
     return rows
@@ -99,20 +99,20 @@ def enrich(
     dropped by the reader, it does not become ``now``.
     """
     time = as_time(now)
-    source, destination = _field(raw, "source_ip"), _field(raw, "destination_ip")
-    port = _field(raw, "destination_port").try_cast("int")
+    source, destination = field(raw, "source_ip"), field(raw, "destination_ip")
+    port = field(raw, "destination_port").try_cast("int")
     sent = _or_zero(raw, "bytes_sent", "bigint")
-    status = _field(raw, "connection_status")
+    status = field(raw, "connection_status")
 
     def text(name: str, default: str) -> Column:
-        return F.coalesce(_field(raw, name), F.lit(default))
+        return F.coalesce(field(raw, name), F.lit(default))
 
-    stamp = _field(raw, "timestamp")
+    stamp = field(raw, "timestamp")
     columns = {
         "timestamp": F.when(stamp.isNull(), time).otherwise(stamp.try_cast("timestamp")),
         "source_ip": source,
         "destination_ip": destination,
-        "source_port": _field(raw, "source_port").try_cast("int"),
+        "source_port": field(raw, "source_port").try_cast("int"),
         "destination_port": port,
         "protocol": F.upper(text("protocol", DEFAULT_PROTOCOL)),
         "severity": F.upper(text("severity", DEFAULT_SEVERITY)),

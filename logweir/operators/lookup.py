@@ -2,7 +2,10 @@
 
 All joins are equi-joins without a broadcast hint: Spark broadcasts a table whose
 measured size is below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise
-shuffles, where adaptive execution splits the partition of a hot address.
+shuffles. Adaptive execution splits the partition of a hot address, which it can do
+because the lookup side is rebalanced: a side that ends in an aggregate on the join
+key within the join's stage could not be repeated. Rows without an address get keys
+of their own that match nothing, so they do not meet in one task.
 """
 
 from __future__ import annotations
@@ -13,9 +16,17 @@ from pyspark.sql import functions as F
 from logweir.functions.network import ipv4_number
 
 
+def _left_join(logs: DataFrame, found: DataFrame, column: str) -> DataFrame:
+    """``logs`` with the columns of ``found`` (one row per ``column``)."""
+    spread = F.concat(F.lit("\u0000"), F.xxhash64(*logs.columns).cast("string"))
+    right = found.withColumnRenamed(column, "__found").hint("rebalance")
+    keyed = logs.withColumn("__key", F.coalesce(F.col(column), spread))
+    return keyed.join(right, F.col("__key") == F.col("__found"), "left").drop("__key", "__found")
+
+
 def join_assets(logs: DataFrame, assets: DataFrame) -> DataFrame:
     """Logs with the columns of the asset that owns the source address."""
-    return logs.join(assets, "source_ip", "left")
+    return _left_join(logs, assets, "source_ip")
 
 
 def flag_threats(logs: DataFrame, threats: DataFrame) -> DataFrame:
@@ -27,7 +38,7 @@ def flag_threats(logs: DataFrame, threats: DataFrame) -> DataFrame:
     flagged = logs
     for column in ("source_ip", "destination_ip"):
         hits = listed.select(F.col("ip").alias(column), F.lit(True).alias(f"__{column}"))
-        flagged = flagged.join(hits, column, "left")
+        flagged = _left_join(flagged, hits, column)
     found = F.coalesce(F.col("__source_ip"), F.col("__destination_ip"), F.lit(False))
     return flagged.select(*[F.col(c) for c in logs.columns], found.alias("is_threat"))
 
@@ -70,4 +81,4 @@ def join_geo(logs: DataFrame, ranges: DataFrame) -> DataFrame:
     Each distinct address is located once; the result is joined back by address.
     """
     found = locate(logs.select("source_ip").distinct(), ranges)
-    return logs.join(found, "source_ip", "left")
+    return _left_join(logs, found, "source_ip")

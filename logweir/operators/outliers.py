@@ -17,6 +17,8 @@ TREND_ROWS = 100
 # The sketch errs by a ten-thousandth of the ranks; the bracket is ten times as wide.
 ACCURACY = 10_000
 BRACKET = 0.001
+# Parts into which the rows of each key are dealt; a constant, whatever the size of the data.
+SALTS = 16
 
 
 def _bracket(value: str) -> Column:
@@ -25,32 +27,47 @@ def _bracket(value: str) -> Column:
     return F.percentile_approx(value, shares, ACCURACY).alias("bracket")
 
 
-def _median(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """Exact median per key of rows that carry the key's ``bracket``.
+def _salted(rows: DataFrame, of_key: DataFrame, value: str) -> DataFrame:
+    """Rows with what ``of_key`` says of their ``k``.
 
-    Values outside the bracket only count, as one row on either side, so of a key
-    that owns a third of all rows a five-hundredth part is sorted in one place.
+    Each key is dealt into ``SALTS`` parts by value and the other side repeated as often, so a
+    key with a third of all rows is not one partition, and what follows is shuffled anew.
+    """
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(value), F.lit(SALTS)).cast("int"))
+    return salted.join(of_key.withColumn("salt", salts), ["k", "salt"]).drop("salt")
+
+
+def _median(rows: DataFrame, brackets: DataFrame, value: str, name: str) -> DataFrame:
+    """Exact median per ``k``, NULL where it is not finite.
+
+    ``brackets`` has two values per key between which the median lies. Values outside only
+    count, as one row on either side, so of a key that owns a third of all rows a
+    five-hundredth part is sorted in one place. Counts are combined before they are shuffled.
     """
     low, high = F.col("bracket")[0], F.col("bracket")[1]
-    clipped = (
-        F.when(F.col(value) < low, float("-inf")).when(F.col(value) > high, float("inf")).otherwise(F.col(value))
-    )
-    ordered = Window.partitionBy(key).orderBy("clipped")
+    side = F.when(F.col(value) < low, -1).when(F.col(value) > high, 1).otherwise(0)
+    ordered = Window.partitionBy("k").orderBy("side", "inside")
     upto, n, total = F.col("upto"), F.col("n"), F.col("total")
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when((upto >= rank) & (upto - n < rank), F.col("clipped")))
+    def at(rank: Column, field: str) -> Column:
+        return F.max(F.when((upto >= rank) & (upto - n < rank), F.col(field)))
 
-    middle = (at(F.floor((total + 1) / 2)) + at(F.floor((total + 2) / 2))) / 2
-    missed = F.raise_error(F.lit("the median lies outside its bracket")).cast("double")
+    ranks = F.floor((total + 1) / 2), F.floor((total + 2) / 2)
+    middle = (at(ranks[0], "inside") + at(ranks[1], "inside")) / 2
+    missed = at(ranks[0], "side") * at(ranks[0], "side") + at(ranks[1], "side") * at(ranks[1], "side")
+    failure = F.raise_error(F.lit("the median lies outside its bracket")).cast("double")
+    finite = ~F.isnan("middle") & (F.abs("middle") < float("inf"))
     return (
-        rows.groupBy(key, clipped.alias("clipped"))
+        _salted(rows, brackets, value)
+        .select("k", side.alias("side"), F.when(side == 0, F.col(value)).alias("inside"))
+        .groupBy("k", "side", "inside")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("upto", F.sum("n").over(ordered))
-        .withColumn("total", F.sum("n").over(Window.partitionBy(key)))
-        .groupBy(key)
-        .agg(middle.alias(name))
-        .withColumn(name, F.when(F.abs(name) < float("inf"), F.col(name)).otherwise(missed))
+        .withColumn("total", F.sum("n").over(Window.partitionBy("k")))
+        .groupBy("k")
+        .agg(middle.alias("middle"), missed.alias("missed"))
+        .select("k", F.when(F.col("missed") > 0, failure).when(finite, F.col("middle")).alias(name))
     )
 
 
@@ -63,28 +80,33 @@ def zscores(
 ) -> DataFrame:
     """Standard and median-based z-scores of a metric within each key.
 
-    Zero spread gives NULL. ``metrics`` is read several times: pass a stored table.
+    Zero spread gives NULL, and so does a score that is not finite. ``metrics`` is read several
+    times: pass a stored table.
     """
     # A NULL key is a group of its own; the prefix keeps it apart from any text.
     name = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("-")).alias("k")
     rows = metrics.select(name, F.col(metric).cast("double").alias("value")).filter(
         F.col("value").isNotNull() & ~F.isnan("value")
     )
+    # One row per key each, stored since several branches read them.
     moments = rows.groupBy("k").agg(
         F.avg("value").alias("mean"), F.stddev("value").alias("deviation"), _bracket("value")
     )
-    middle = _median(rows.join(moments.select("k", "bracket"), "k"), "k", "value", "median")
-    # One row per key, read by three branches below.
+    moments = materialize(moments, "zscore-moments")
+    middle = _median(rows, moments.select("k", "bracket"), "value", "median")
     center = materialize(moments.drop("bracket").join(middle, "k"), "zscore-center")
-    distances = rows.join(center.select("k", "median"), "k").select(
-        "k", F.abs(F.col("value") - F.col("median")).alias("distance")
+    distances = (
+        _salted(rows, center.select("k", "median"), "value")
+        .select("k", F.abs(F.col("value") - F.col("median")).alias("distance"))
+        .filter(F.col("distance").isNotNull())
     )
     brackets = distances.groupBy("k").agg(_bracket("distance"))
-    spread = _median(distances.join(brackets, "k"), "k", "distance", "mad")
-    stats = center.join(spread, "k")
+    spread = _median(distances, brackets, "distance", "mad")
+    stats = materialize(center.join(spread, "k", "left"), "zscore-stats")
 
     def over(numerator: Column, scale: Column) -> Column:
-        return F.when(scale > 0, numerator / scale)
+        score = F.try_divide(numerator, scale)
+        return F.when((scale > 0) & ~F.isnan(score) & (F.abs(score) < float("inf")), score)
 
     current = F.col(metric).cast("double")
     standard = over(current - F.col("mean"), F.col("deviation"))

@@ -67,10 +67,17 @@ def late_logs(logs: DataFrame, seconds: int = LATE_SECONDS) -> DataFrame:
     return logs.filter(delay > seconds * 1_000_000)
 
 
-def failed_attempts(logs: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFrame:
-    """Minutes in which a source failed to connect more often than allowed."""
+def failed_attempts(
+    logs: DataFrame, thresholds: Thresholds = Thresholds(), watermark: int | None = None
+) -> DataFrame:
+    """Minutes in which a source failed to connect more often than allowed.
+
+    On a stream ``watermark`` (seconds) says how late a log may come; minutes are emitted
+    when they are closed.
+    """
+    marked = logs if watermark is None else logs.withWatermark("timestamp", f"{watermark} seconds")
     return (
-        logs.filter(F.col("connection_status") == FAILED)
+        marked.filter(F.col("connection_status") == FAILED)
         .groupBy(F.window("timestamp", "1 minute").alias("window"), "source_ip")
         .agg(F.count(F.lit(1)).alias("failed_connections"))
         .filter(F.col("failed_connections") > thresholds.connection_attempts)

@@ -59,12 +59,11 @@ def producer_records(
 
 def simple_records(raw: DataFrame, now: Column | datetime | None = None) -> DataFrame:
     """The one-topic variant: whole address as key, five fields, no defaults."""
+    fields = [E.field(raw, name).alias(name) for name in ("timestamp", "source_ip", "severity", "message")]
     return raw.select(
         F.lit(SIMPLE_TOPIC).alias("topic"),
-        F.coalesce(F.col("source_ip"), F.lit(SIMPLE_KEY)).alias("key"),
-        encode(
-            "timestamp", "source_ip", "severity", "message", E.as_time(now).alias("ingestion_time")
-        ).alias("value"),
+        F.coalesce(E.field(raw, "source_ip"), F.lit(SIMPLE_KEY)).alias("key"),
+        encode(*fields, E.as_time(now).alias("ingestion_time")).alias("value"),
     )
 
 

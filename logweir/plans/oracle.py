@@ -9,13 +9,13 @@ PRIVATE = r"regexp_matches({0}, '^(10\.|192\.168\.|172\.(1[6-9]|2[0-9]|3[01])\.)
 KEYS = "source_ip, traffic_direction, severity"
 
 
-def _raw(real_time: bool = False, text_bytes: bool = False) -> str:
+def _raw(real_time: bool = False, text_bytes: bool = False, spacing: int = S.EVENT_MICROS, copies: int = 1) -> str:
     fields = {name: expr.format(text="varchar") for name, expr in S.FIELDS.items()}
     if text_bytes:
         fields["bytes_sent"] = S.TEXT_BYTES.format(text="varchar", bytes_sent=fields["bytes_sent"])
-    stamp = "ts" if real_time else f"make_timestamp({S.ORIGIN_MICROS} + event_id * {S.EVENT_MICROS})"
+    stamp = "ts" if real_time else f"make_timestamp({S.ORIGIN_MICROS} + event_id * {spacing})"
     columns = ",\n".join(f"{expr} as {name}" for name, expr in fields.items())
-    return f"select event_id, {stamp} as \"timestamp\",\n{columns}\nfrom events"
+    return f"select event_id, {stamp} as \"timestamp\",\n{columns}\nfrom events" + (f", range({copies}) as again" if copies > 1 else "")
 
 
 def _internal(column: str) -> str:
@@ -68,7 +68,11 @@ def _enrich(source: str, sent: str = "bytes_sent") -> str:
         from {source}"""
 
 
-LOG = f"with raw as ({_raw()}), log as ({_enrich('raw')} where source_ip is not null)"
+def _log(**options) -> str:
+    return f"with raw as ({_raw(**options)}), log as ({_enrich('raw')} where source_ip is not null)"
+
+
+LOG = _log()
 
 _JSON_FIELDS = (
     "timestamp source_ip destination_ip source_port destination_port protocol severity message log_level "
@@ -98,9 +102,18 @@ CHECKED = f"""with raw as ({_raw(text_bytes=True)}), checked as (select *,
         where reject_reason is null),
     log as ({_enrich('readable')}), sent as ({RECORDS} from log)"""
 
-METRICS = f"""{LOG}, spread as (
+_SPREAD = f"""{LOG}, every as (
     select *, (epoch_us("timestamp") - epoch_us("timestamp") % 60000000) - k * 60000000 as window_start
-    from log, (select unnest([0, 1, 2, 3, 4]) as k) w),
+    from log, (select unnest([0, 1, 2, 3, 4]) as k) w)"""
+_PART = f"event_id * {Q.REPLAYS} // (select max(event_id) + 1 from events)"
+_MOVED = f"(event_id % {Q.LATE_EVERY} = {Q.LATE_EVENT})"
+# The watermark when the last file comes: two minutes before the last log of the files before.
+_MARK = f"""(select max(epoch_us("timestamp")) - 120000000 from log
+    where {_PART} < {Q.REPLAYS - 1} and not {_MOVED})"""
+
+
+def _metrics(kept: str = "true") -> str:
+    return f"""{_SPREAD}, spread as (select * from every where {kept}),
  metric as (select window_start, window_start + 300000000 as window_end, {KEYS},
     count(*) as log_count, sum(bytes_sent)::bigint as total_bytes_sent,
     sum(bytes_received)::bigint as total_bytes_received, avg(response_time_ms) as avg_response_time,
@@ -123,25 +136,51 @@ METRICS = f"""{LOG}, spread as (
  anomaly as (select *, anomaly_score > 0.3::double as is_anomaly,
     case when anomaly_score > 0.7::double then 'CRITICAL' when anomaly_score > 0.5::double then 'HIGH'
          when anomaly_score > 0.3::double then 'MEDIUM' else 'LOW' end as anomaly_level from scored),
- alert as (select *, sha256(concat_ws(':', window_start::varchar, coalesce(source_ip, '-'),
-        coalesce(traffic_direction, '-'), coalesce(severity, '-'))) as alert_id,
+ alert as (select *, sha256(concat_ws(':', window_start::varchar, coalesce('=' || source_ip, '-'),
+        coalesce('=' || traffic_direction, '-'), coalesce('=' || severity, '-'))) as alert_id,
     'Network anomaly detected from ' || source_ip || ' - Level: ' || anomaly_level
         || ' - Score: ' || anomaly_score::varchar as alert_message
     from anomaly where is_anomaly)"""
 
-ALERTS = f"""{METRICS} select window_start, window_end, {KEYS}, log_count,
+
+METRICS = _metrics()
+LATE_METRICS = _metrics(f"not ({_MOVED} and {_PART} < {Q.REPLAYS - 1} and window_start + 300000000 <= {_MARK})")
+
+_ALERT = f"""select window_start, window_end, {KEYS}, log_count,
     round(failure_rate, 9) as failure_rate, round(avg_response_time, 9) as avg_response_time, total_bytes_sent,
     unique_destinations, unique_ports, anomaly_score, anomaly_level, {Q.NOW_MICROS}::bigint as detected_at,
     high_volume_anomaly, high_latency_anomaly, high_failure_rate_anomaly, data_exfiltration_anomaly,
     port_scanning_anomaly, high_risk_anomaly, alert_id, alert_message from alert"""
+ALERTS = f"{METRICS} {_ALERT}"
+_DERIVED = """select * replace (round(avg_response_time, 9) as avg_response_time,
+    round(avg_risk_score, 9) as avg_risk_score, round(failure_rate, 9) as failure_rate,
+    round(bytes_per_second, 9) as bytes_per_second) from derived"""
+_CLOSED = """window_end <= (select max(epoch_us("timestamp")) - {0} from {1})"""
+
 
-SIMPLE = f"""with raw as ({_raw()}), spread as (
+def _result_records(condition: str) -> str:
+    return f"""{METRICS}, measured as ({_DERIVED} where {condition}),
+        alerted as (select * from ({_ALERT}) a where {condition})
+        select 'processed-metrics' as topic, {_key()} as key, * from measured
+        union all by name select 'network-alerts' as topic, {_key()} as key, * from alerted"""
+
+
+
+def _simple(source: str = "raw", **options) -> str:
+    return f"""{_log(**options)}, spread as (
     select *, (epoch_us("timestamp") - epoch_us("timestamp") % 60000000) - k * 60000000 as window_start
-    from raw, (select unnest([0, 1, 2, 3, 4]) as k) w),
+    from {source}, (select unnest([0, 1, 2, 3, 4]) as k) w),
  metric as (select window_start, window_start + 300000000 as window_end, source_ip, count(*) as log_count,
-    round(avg(response_time), 9) as avg_response_time, max(response_time) as max_response_time
+    round(avg({_time(source)}), 9) as avg_response_time, max({_time(source)}) as max_response_time
     from spread group by window_start, source_ip)"""
 
+
+def _time(source: str) -> str:
+    return "response_time" if source == "raw" else "response_time_ms"
+
+
+SIMPLE = _simple()
+
 _BROKEN = "(" + " or ".join(f"event_id % {n} = 0" for n in (71, 73, 79, 67, 61)) + ")"
 _DAMAGED = f"""case when event_id % 71 = 0 then substr(value, 1, 20) when event_id % 73 = 0 then '[]'
     when event_id % 79 = 0 then null
@@ -176,7 +215,7 @@ GEO = f"""with raw as ({_raw()}), bound as (select location, split_part(cidr, '/
 
 THREATS = """select distinct case when s_suppkey % 2 = 0
     then concat('10.1.', cast(s_suppkey % 8 as varchar), '.', cast(s_suppkey % 200 + 1 as varchar))
-    else concat('8.8.', cast(s_suppkey % 4 as varchar), '.8') end as ip from supplier where s_acctbal < 2000"""
+    else concat('8.8.', cast(s_suppkey % 4 as varchar), '.8') end as ip from supplier"""
 
 ZSCORES = f"""{METRICS}, center as (select source_ip as k, avg(log_count) as mean, stddev_samp(log_count) as deviation,
     median(log_count) as middle from metric group by source_ip),
@@ -198,9 +237,6 @@ SEASONAL = f"""with raw as ({_raw(real_time=True)}), log as ({_enrich('raw')} wh
  select traffic_direction, epoch_us(hour) as hour, log_count, round(trend, 9) as trend,
     round(seasonal, 9) as seasonal, round(log_count - trend - seasonal, 9) as residual from seasoned"""
 
-_CLOSED = """window_end <= (select max(epoch_us("timestamp")) - {0} from {1})"""
-
-
 def _raw_select(columns: str, **options) -> str:
     return f"with raw as ({_raw(**options)}) select {columns} from raw"
 
@@ -209,6 +245,89 @@ def _masked(column: str) -> str:
     return rf"regexp_replace({column}, '^([0-9]{{1,3}}[.][0-9]{{1,3}}[.][0-9]{{1,3}})[.][0-9]{{1,3}}$', '\1.0')"
 
 
+_FEATURES = (
+    "log_count avg_response_time failure_rate total_bytes_sent unique_destinations unique_ports max_risk_score".split()
+)
+#: A sample of this size has no deeper tree.
+_LEVELS = 9
+
+
+def _chance(*parts: str) -> str:
+    text = " || ':' || ".join(f"({p})::varchar" for p in parts)
+    return f"('0x' || substr(md5({text}), 1, 13))::bigint / {2.0**52!r}::double"
+
+
+def _forest() -> str:
+    """The isolation forest level by level: draws, nodes, then the path of every row."""
+    seed, trees = "42", Q.FOREST_TREES
+    gap = f"floor(ln(1.0::double - {_chance(seed, 'id', '{0}')}) / scale)"
+    draws = ["drawn0 as (select *, " + gap.format("0") + f" as spot from item, chance where share < 1)"]
+    for k in range(1, trees):
+        draws.append(f"drawn{k} as (select * replace (spot + 1 + {gap.format(k)} as spot) from drawn{k - 1} where spot < {trees})")
+    drawn = " union all ".join(f"select spot::int as tree, id, v from drawn{k} where spot < {trees}" for k in range(trees))
+    every = f"select unnest(range({trees}))::int as tree, id, v from item, chance where share >= 1"
+    value = "case feature " + " ".join(f"when {i} then v[{i + 1}]" for i in range(len(_FEATURES))) + " end"
+    n = len(_FEATURES)
+    low, high = ([f"{f}(v[{i + 1}])" for i in range(n)] for f in ("min", "max"))
+    parts = [
+        f"""item as (select *, sha256(concat_ws(':', window_start::varchar, coalesce('=' || source_ip, '-'),
+            coalesce('=' || traffic_direction, '-'), coalesce('=' || severity, '-'))) as id,
+            [{', '.join(f'coalesce({f}, 0)::double' for f in _FEATURES)}] as v from derived)""",
+        f"""chance as (select least(1.0::double, {float(Q.FOREST_SAMPLE)}::double / count(*)) as share,
+            case when least(1.0::double, {float(Q.FOREST_SAMPLE)}::double / count(*)) < 1
+                then ln(1.0::double - {float(Q.FOREST_SAMPLE)}::double / count(*)) end as scale from item)""",
+        *draws,
+        f"point as materialized ({drawn} union all {every})",
+        "size as materialized (select tree, count(*) as n, ceil(log2(greatest(count(*), 2)))::int as deepest from point group by tree)",
+        "rows0 as materialized (select tree, '' as path, v from point)",
+    ]
+    for k in range(_LEVELS):
+        parts.append(
+            f"""stat{k} as materialized (select tree, path, count(*) as n, [{', '.join(low)}] as low, [{', '.join(high)}] as high
+                from rows{k} group by tree, path)"""
+        )
+        parts.append(
+            f"""varied{k} as (select s.*, [x for x in range({n}) if high[x + 1] > low[x + 1]] as varied, deepest
+                from stat{k} s join size using (tree))"""
+        )
+        parts.append(
+            f"""picked{k} as (select *, case when {k} < deepest and len(varied) > 0 then
+                varied[1 + floor({_chance(seed, 'tree', 'path', "'feature'")} * len(varied))::int] else -1 end as feature
+                from varied{k})"""
+        )
+        parts.append(
+            f"""node{k} as materialized (select tree, path, n, feature, case when feature >= 0 then low[feature + 1]
+                + {_chance(seed, 'tree', 'path', "'cut'")} * (high[feature + 1] - low[feature + 1]) end as cut from picked{k})"""
+        )
+        parts.append(
+            f"""rows{k + 1} as materialized (select tree, path || case when {value} <= cut then 'L' else 'R' end as path, v
+                from rows{k} join node{k} using (tree, path) where feature >= 0)"""
+        )
+    # Every row from the root of every tree; a row that reaches a leaf stays there.
+    parts.append("at0 as materialized (select id, v, tree, '' as path, size.n as total from item, size)")
+    leaves = []
+    mean = "case when {0} > 2 then 2.0 * (ln({0} - 1.0::double) + 0.5772156649015329::double) - 2.0 * ({0} - 1.0::double) / {0} when {0} = 2 then 1.0 else 0.0 end"
+    for k in range(_LEVELS):
+        leaves.append(f"select id, ({k} + {mean.format('n')}) / greatest({mean.format('total')}, 1.0) as depth from at{k} join node{k} using (tree, path) where feature < 0")
+        parts.append(
+            f"""at{k + 1} as materialized (select id, v, tree, path || case when {value} <= cut then 'L' else 'R' end as path, total
+                from at{k} join node{k} using (tree, path) where feature >= 0)"""
+        )
+    parts.append(f"leaf as ({' union all '.join(leaves)})")
+    parts.append(f"score as (select id, round(pow(2.0::double, -sum(depth) / {trees}), 9) as isolation_score from leaf group by id)")
+    parts.append(
+        """ranked as (select isolation_score, row_number() over (order by isolation_score) as r, count(*) over () as n from score)"""
+    )
+    parts.append("cut_at as (select isolation_score as cut from ranked where r = ceil(0.9::double * n))")
+    columns = ", ".join(["window_start", "window_end", KEYS, *_FEATURES])
+    return (
+        f"{METRICS}, "
+        + ", ".join(parts)
+        + f""" select {columns}, isolation_score, round(isolation_score * 1e9)::bigint > (select round(cut * 1e9)::bigint from cut_at)
+            as is_isolated from item join score using (id)"""
+    )
+
+
 def catalog() -> dict[str, str]:
     nonnull = " + ".join(
         f"count({n})"
@@ -252,8 +371,7 @@ def catalog() -> dict[str, str]:
             select topic, {_QUEUE}, {_EVENT_MICROS} as "timestamp", key, value,
             (case when event_id % 5 = 0 then 1 else 0 end)::int as n_headers,
             case when event_id % 5 = 0 then topic end as trace from sent""",
-        "consumed_simple": f"""{LOG} select {_QUEUE}, epoch_us("timestamp") as "timestamp", source_ip, severity,
-            message from log""",
+        "consumed_simple": f"{LOG} select {_QUEUE}, {_FLAT_LOG} from log",
         "windowed_metrics": f"""{METRICS} select * replace (round(avg_response_time, 9) as avg_response_time,
             round(avg_risk_score, 9) as avg_risk_score) from metric""",
         "derived_metrics": f"""{METRICS} select window_start, window_end, {KEYS},
@@ -274,16 +392,11 @@ def catalog() -> dict[str, str]:
             from alert""",
         "simple_metrics": f"{SIMPLE} select * from metric",
         "simple_anomalies": f"{SIMPLE} select * from metric where log_count > 1000 or avg_response_time > 5000",
-        "simple_alert_actions": f"""{SIMPLE}, found as
+        "simple_alert_actions": f"""{_simple(spacing=Q.DENSE_MICROS, copies=Q.DENSE_COPIES)}, found as
             (select * from metric where log_count > 1000 or avg_response_time > 5000)
             select window_start, window_end, source_ip, 'dashboard' as action from found union all
-            select window_start, window_end, source_ip, 'autoscale' from found where log_count > {Q.AUTOSCALE_LOGS}""",
-        "metrics_records": f"""{METRICS}, both_kinds as (
-            select 'processed-metrics' as topic, window_start, source_ip, log_count, null as anomaly_level from metric
-            union all select 'network-alerts', window_start, source_ip, log_count, anomaly_level from alert)
-            select topic, {_key()} as key,
-            strftime(make_timestamp(window_start), '%Y-%m-%dT%H:%M:%S.%fZ') as window_start, source_ip,
-            log_count::varchar as log_count, anomaly_level from both_kinds""",
+            select window_start, window_end, source_ip, 'autoscale' from found where log_count > 5000""",
+        "metrics_records": _result_records("true"),
         "null_skip": _raw_select('event_id, epoch_us("timestamp") as "timestamp", source_ip, severity')
         + ' where "timestamp" is not null and source_ip is not null and severity is not null',
         "data_quality": f"""{CHECKED}, shares as (select count(*) as total_rows,
@@ -296,11 +409,11 @@ def catalog() -> dict[str, str]:
             'epoch_us("timestamp") + (event_id % 15) * 60000000 as ingestion_time'
         )
         + " where event_id % 15 > 10",
-        "failed_attempts": f"""{LOG}, failing as (select epoch_us("timestamp") - epoch_us("timestamp") % 60000000
+        "failed_attempts": f"""{_log(spacing=Q.DENSE_MICROS)}, failing as (select epoch_us("timestamp") - epoch_us("timestamp") % 60000000
             as window_start, source_ip, count(*) as failed_connections from log
             where connection_status = 'FAILED' group by 1, 2)
             select window_start, window_start + 60000000 as window_end, source_ip, failed_connections
-            from failing where failed_connections > {Q.CONNECTION_ATTEMPTS}""",
+            from failing where failed_connections > 100""",
         "partition_columns": _raw_select(
             'event_id, epoch_us("timestamp") as "timestamp", year("timestamp")::int as year, '
             'month("timestamp")::int as month, day("timestamp")::int as day, hour("timestamp")::int as hour',
@@ -333,10 +446,21 @@ def catalog() -> dict[str, str]:
             coalesce(regexp_matches(text,
                 '(^|[^0-9])[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}([^0-9]|$)'), false) as has_card
             from documents""",
-        "stream_metrics": f"""{METRICS} select * replace (round(avg_response_time, 9) as avg_response_time,
-            round(avg_risk_score, 9) as avg_risk_score, round(failure_rate, 9) as failure_rate,
-            round(bytes_per_second, 9) as bytes_per_second) from derived where {_CLOSED.format(120000000, 'log')}""",
+        "stream_metrics": f"{METRICS} {_DERIVED} where {_CLOSED.format(120000000, 'log')}",
+        "stream_late": f"{LATE_METRICS} {_DERIVED} where {_CLOSED.format(120000000, 'log')}",
         "stream_alerts": ALERTS,
-        "stream_simple": f"""{SIMPLE} select * from metric where (log_count > 1000 or avg_response_time > 5000)
-            and {_CLOSED.format(30000000, 'raw')}""",
+        "stream_simple": f"""{_simple("log")} select * from metric where (log_count > 1000 or avg_response_time > 5000)
+            and {_CLOSED.format(30000000, 'log')}""",
+        "stream_records": _result_records(_CLOSED.format(120000000, "log")),
+        "stream_counters": f"""{METRICS}, found as (select count(*) as n from alert
+            where {_CLOSED.format(120000000, 'log')})
+            select (select count(*) from log) as logs_processed, (select n from found) as anomalies_detected,
+            (select n from found) as alerts_sent""",
+        "declared_levels": f"""{METRICS} select window_start, window_end, {KEYS}, anomaly_score,
+            case when anomaly_score > 0.8::double then 'CRITICAL' when anomaly_score > 0.7::double then 'HIGH'
+                 when anomaly_score > 0.5::double then 'MEDIUM' else 'LOW' end as anomaly_level from anomaly""",
+        "null_default": f"{LOG} select event_id, {_FLAT_LOG} from log",
+        "schema_check": """select unnest(['bytes_sent: string instead of bigint', 'hostname: absent']) as problem,
+            count(*) as n_rows from events""",
+        "isolation_forest": _forest(),
     }

@@ -7,7 +7,8 @@ order of addition.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,8 +19,9 @@ from logweir.functions import network
 from logweir.operators import alerts as A
 from logweir.operators import anomaly, forest, ingest, lookup, metrics, outliers, quality, records
 from logweir.operators import enrich as E
-from logweir.settings import Thresholds, configure, materialize, work_folder
+from logweir.settings import DECLARED_LEVELS, Thresholds, configure, materialize, work_folder
 from logweir.sources import events as S
+from logweir.sources import queue as file_queue
 from logweir.sources import store
 from logweir.streaming import metrics as stream
 from logweir.streaming import run, sinks
@@ -29,8 +31,12 @@ NOW_MICROS = 1_705_320_000_000_000
 HOST = "collector"
 AS_OF = datetime(2024, 4, 14, 12, 0, 0, tzinfo=timezone.utc)
 SALT = "pepper"
-CONNECTION_ATTEMPTS = 50
-AUTOSCALE_LOGS = 1200
+# Denser logs for the cuts that the table's own density never reaches.
+DENSE_MICROS, DENSE_COPIES = 15_000, 4
+# A forest that plain SQL can grow as well.
+FOREST_TREES, FOREST_SAMPLE = 5, 64
+# Files in which the streams replay the queue, and every which event comes late.
+REPLAYS, LATE_EVERY, LATE_EVENT = 4, 50, 7
 PARTITIONS = 6
 DIGITS = 9
 
@@ -171,14 +177,7 @@ def consumed_records(spark, sf):
 
 def consumed_simple(spark, sf):
     rows = records.simple_consumed(queue(raw_logs(spark, sf)))
-    return rows.select(
-        "partition",
-        "offset",
-        F.unix_micros("data.timestamp").alias("timestamp"),
-        "data.source_ip",
-        "data.severity",
-        "data.message",
-    )
+    return flat(rows.select("partition", "offset", "data.*"))
 
 
 # ---- metrics, anomalies, alerts
@@ -216,6 +215,12 @@ def anomaly_scores(spark, sf):
     return flat(rows.select("window", *metrics.KEYS, "anomaly_score", "is_anomaly", "anomaly_level"))
 
 
+def declared_levels(spark, sf):
+    """The same scores under the other set of level cuts."""
+    rows = anomaly.detect(log_metrics(spark, sf), Thresholds(levels=DECLARED_LEVELS), now=now())
+    return flat(rows.select("window", *metrics.KEYS, "anomaly_score", "anomaly_level"))
+
+
 def alert_rows(spark, sf):
     return A.alerts(anomaly.detect(log_metrics(spark, sf), now=now()))
 
@@ -245,24 +250,24 @@ def simple_anomalies(spark, sf):
 
 
 def simple_alert_actions(spark, sf):
-    return flat(A.simple_actions(anomaly.simple_anomalies(simple_rows(spark, sf)), AUTOSCALE_LOGS))
+    logs = raw_logs(spark, sf, spacing=DENSE_MICROS, copies=DENSE_COPIES)
+    return flat(A.simple_actions(anomaly.simple_anomalies(metrics.simple_metrics(logs))))
 
 
-def metrics_records(spark, sf):
-    """Metrics and alerts encoded for the queue, read back from their JSON."""
+def read_records(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Result records with every field of their JSON."""
+    value = F.from_json(F.col("value").cast("string"), schema, records.READ_OPTIONS).alias("value")
+    read = flat(rows.select("topic", "key", value).select("topic", "key", "value.*"))
+    names = ("avg_response_time", "avg_risk_score", "failure_rate", "bytes_per_second")
+    return rounded(read, *[n for n in names if n in read.columns])
 
-    def read(rows: DataFrame, start: str) -> DataFrame:
-        fields = {"window_start": start, "source_ip": "source_ip", "log_count": "log_count"}
-        return rows.select(
-            "topic",
-            "key",
-            *[F.get_json_object("value", f"$.{path}").alias(name) for name, path in fields.items()],
-            F.get_json_object("value", "$.anomaly_level").alias("anomaly_level"),
-        )
 
-    measured = records.result_records(log_metrics(spark, sf), records.METRICS_TOPIC)
-    alerted = records.result_records(alert_rows(spark, sf), records.ALERTS_TOPIC)
-    return read(measured, "window.start").unionByName(read(alerted, "window_start"))
+def metrics_records(spark, sf):
+    """Metrics and alerts encoded for the queue, read back from their JSON."""
+    measured, alerted = log_metrics(spark, sf), alert_rows(spark, sf)
+    return read_records(records.result_records(measured, records.METRICS_TOPIC), measured.schema).unionByName(
+        read_records(records.result_records(alerted, records.ALERTS_TOPIC), alerted.schema), allowMissingColumns=True
+    )
 
 
 # ---- declared operators
@@ -273,6 +278,18 @@ def null_skip(spark, sf):
     return flat(rows.select("event_id", "timestamp", "source_ip", "severity"))
 
 
+def null_default(spark, sf):
+    rows = quality.handle_nulls(raw_logs(spark, sf), "default")
+    return flat(E.logs(rows, now=now(), hostname=HOST, carry=("event_id",)))
+
+
+def schema_check(spark, sf):
+    """What is wrong with a frame that lacks a field and has bytes as text, and for how many rows."""
+    rows = raw_logs(spark, sf, text_bytes=True).drop("hostname")
+    problems = F.array(*[F.lit(p) for p in E.schema_problems(rows)])
+    return rows.agg(F.count(F.lit(1)).alias("n_rows")).select(F.explode(problems).alias("problem"), "n_rows")
+
+
 def data_quality(spark, sf):
     return quality.data_quality(raw_logs(spark, sf, text_bytes=True))
 
@@ -286,8 +303,7 @@ def late_logs(spark, sf):
 
 
 def failed_attempts(spark, sf):
-    limits = Thresholds(connection_attempts=CONNECTION_ATTEMPTS)
-    return flat(quality.failed_attempts(enriched(spark, sf), limits))
+    return flat(quality.failed_attempts(enriched(spark, sf, spacing=DENSE_MICROS)))
 
 
 def partition_columns(spark, sf):
@@ -329,7 +345,7 @@ def seasonal_residual(spark, sf):
 
 def isolation_forest(spark, sf):
     stored = materialize(log_metrics(spark, sf), "metrics")
-    rows = forest.isolation_scores(stored)
+    rows = forest.isolation_scores(stored, trees=FOREST_TREES, sample=FOREST_SAMPLE)
     return flat(rows.select("window", *metrics.KEYS, *forest.FEATURES, "isolation_score", "is_isolated"))
 
 
@@ -365,7 +381,7 @@ def threat_list(spark, sf):
     address = """case when s_suppkey % 2 = 0
         then concat('10.1.', cast(s_suppkey % 8 as string), '.', cast(s_suppkey % 200 + 1 as string))
         else concat('8.8.', cast(s_suppkey % 4 as string), '.8') end as ip"""
-    return S.table(configure(spark), sf, "supplier").filter("s_acctbal < 2000").selectExpr(address)
+    return S.table(configure(spark), sf, "supplier").selectExpr(address)
 
 
 def threat_flag(spark, sf):
@@ -392,44 +408,122 @@ def pii_flags(spark, sf):
 # ---- streams
 
 
-def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The events table as a stream. The braces make a pattern of the path, which
-    lets the file source take a single file as well as a folder."""
-    schema = S.table(configure(spark), sf, "events").schema
-    return spark.readStream.schema(schema).parquet(f"{sf}/{{events.parquet}}")
+def replays(spark: SparkSession, sf: str, folder: str, late: bool = False) -> Iterator[DataFrame]:
+    """The queue as a file stream that grows: each step adds a file in time order.
 
+    With ``late`` some events come with the last file, whatever their time. The steps are runs
+    of their own, so the queries that read the stream stop and start again between them.
+    """
+    sent = materialize(queue(raw_logs(spark, sf)).drop("headers"), "queue")
+    last = S.table(spark, sf, "events").agg(F.max("event_id")).first()[0] or 0
+    part = F.expr(f"event_id * {REPLAYS} div {last + 1}")
+    if late:
+        part = F.when(F.col("event_id") % LATE_EVERY == LATE_EVENT, REPLAYS - 1).otherwise(part)
+    for n in range(REPLAYS):
+        step = sent.filter(part == n).drop("event_id").withColumn("value", F.col("value").cast("string"))
+        step.coalesce(1).write.mode("append").parquet(folder)
+        yield file_queue.file_stream(spark, folder, 1)
 
-def stream_metrics(spark, sf):
-    """Events through the queue format into the metrics store: closed windows."""
-    folder = work_folder(spark, "stream-metrics")
-    logs = records.parse(queue(S.raw_logs(event_stream(spark, sf))), stream.LOG_INPUT)
-    measured = stream.log_metrics(logs)
-    run.wait([sinks.metrics_sink(measured, f"{folder}/out", f"{folder}/checkpoint", available_now=True).start()])
-    stored = spark.read.schema(measured.schema).parquet(f"{folder}/out")
+
+def stored_metrics(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     names = ("avg_response_time", "avg_risk_score", "failure_rate", "bytes_per_second")
-    return rounded(flat(stored), *names)
+    return rounded(flat(spark.read.schema(schema).parquet(path)), *names)
+
+
+def replayed_metrics(spark: SparkSession, sf: str, late: bool) -> DataFrame:
+    folder = work_folder(spark, "stream-metrics")
+    for source in replays(spark, sf, f"{folder}/queue", late):
+        measured = stream.log_metrics(records.parse(source, stream.LOG_INPUT))
+        sink = sinks.metrics_sink(measured, f"{folder}/out", f"{folder}/checkpoint", True, name=f"m{uuid.uuid4().hex}")
+        run.wait([sink.start()])
+    return stored_metrics(spark, f"{folder}/out", measured.schema)
+
+
+def stream_metrics(spark, sf):
+    """Events through the queue into the metrics store, over several batches and restarts."""
+    return replayed_metrics(spark, sf, late=False)
+
+
+def stream_late(spark, sf):
+    """The same with late logs, which are lost for the windows that are closed by then."""
+    return replayed_metrics(spark, sf, late=True)
 
 
 def stream_alerts(spark, sf):
-    """Events through the queue format into the alert store: last state per alert."""
+    """Events through the queue into the alert store: the alerts that hold at the end."""
     folder = work_folder(spark, "stream-alerts")
-    logs = records.parse(queue(S.raw_logs(event_stream(spark, sf))), stream.LOG_INPUT)
-    found = run.alert_stream(logs, now=now())
-    sink = sinks.alerts_sink(found, f"{folder}/out", f"{folder}/checkpoint", available_now=True)
-    run.wait([sink.start()])
-    latest = sinks.latest_alerts(spark, f"{folder}/out").select(*found.columns)
+    for source in replays(spark, sf, f"{folder}/queue"):
+        found = run.verdict_stream(records.parse(source, stream.LOG_INPUT), now=now())
+        name = f"a{uuid.uuid4().hex}"
+        run.wait([sinks.alerts_sink(found, f"{folder}/out", f"{folder}/checkpoint", "update", True, name).start()])
+    latest = sinks.latest_alerts(spark, f"{folder}/out").select(*[c for c in found.columns if c != "is_anomaly"])
     return rounded(flat(latest), "failure_rate", "avg_response_time")
 
 
 def stream_simple(spark, sf):
     """The simple variant on a stream: anomalous closed windows per source."""
     folder = work_folder(spark, "stream-simple")
-    found = anomaly.simple_anomalies(stream.simple_metrics(S.raw_logs(event_stream(spark, sf))))
-    run.wait([sinks.metrics_sink(found, f"{folder}/out", f"{folder}/checkpoint", available_now=True).start()])
+    for source in replays(spark, sf, f"{folder}/queue"):
+        found = anomaly.simple_anomalies(stream.simple_metrics(simple_logs(source)))
+        sink = sinks.metrics_sink(found, f"{folder}/out", f"{folder}/checkpoint", True, name=f"s{uuid.uuid4().hex}")
+        run.wait([sink.start()])
     stored = spark.read.schema(found.schema).parquet(f"{folder}/out")
     return rounded(flat(stored), "avg_response_time")
 
 
+def simple_logs(source: DataFrame) -> DataFrame:
+    """Response times under the name that the simple variant reads."""
+    return records.parse(source, stream.LOG_INPUT).withColumn("response_time", F.col("response_time_ms"))
+
+
+def pipeline(spark: SparkSession, sf: str, folder: str) -> sinks.CounterTable:
+    """The assembled pipeline over the replays: one query, its records published to files."""
+    counters = sinks.CounterTable(spark, f"{folder}/counters")
+    spark.streams.addListener(counters)
+    try:
+        for source in replays(spark, sf, f"{folder}/queue"):
+            started = run.start_streams(
+                source,
+                f"{folder}/checkpoint",
+                f"{folder}/out",
+                available_now=True,
+                now=now(),
+                name=f"p{uuid.uuid4().hex}-",
+                rejects=True,
+                publish=sinks.record_writer(f"{folder}/records"),
+            )
+            run.wait(started, counters)
+            ended = {str(q.runId): q.lastProgress["batchId"] for q in started[:1] if q.lastProgress}
+            counters.await_batches(ended)
+    finally:
+        spark.streams.removeListener(counters)
+    counters.flush()
+    return counters
+
+
+def stream_records(spark, sf):
+    """Metrics and alerts of closed windows as the pipeline publishes them."""
+    folder = work_folder(spark, "stream-records")
+    pipeline(spark, sf, folder)
+    rows = spark.read.option("basePath", f"{folder}/records").parquet(f"{folder}/records")
+    read = [
+        read_records(rows.filter(F.col("topic") == topic), schema)
+        for topic, schema in (
+            (records.METRICS_TOPIC, log_metrics(spark, sf).schema),
+            (records.ALERTS_TOPIC, alert_rows(spark, sf).schema),
+        )
+    ]
+    return read[0].unionByName(read[1], allowMissingColumns=True)
+
+
+def stream_counters(spark, sf):
+    """Logs read, windows found anomalous and alerts sent by the pipeline, over all batches."""
+    folder = work_folder(spark, "stream-counters")
+    counters = pipeline(spark, sf, folder)
+    rows = spark.read.schema(counters.SCHEMA).parquet(counters.path)
+    return rows.agg(*[F.sum(n).alias(n) for _, n in sinks.COUNTERS])
+
+
 ALL = (
     enrich_logs,
     ingest_rejects,
@@ -456,8 +550,11 @@ ALL = (
     simple_metrics,
     simple_anomalies,
     simple_alert_actions,
+    declared_levels,
     metrics_records,
     null_skip,
+    null_default,
+    schema_check,
     data_quality,
     late_logs,
     failed_attempts,
@@ -473,8 +570,11 @@ ALL = (
     ip_masking,
     pii_flags,
     stream_metrics,
+    stream_late,
     stream_alerts,
     stream_simple,
+    stream_records,
+    stream_counters,
 )
 
 

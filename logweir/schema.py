@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# Fields of raw and of enriched logs.
 RAW = T.StructType(
     [
         T.StructField("timestamp", T.StringType()),

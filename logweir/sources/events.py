@@ -53,15 +53,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_logs(events: DataFrame, real_time: bool = False, text_bytes: bool = False) -> DataFrame:
-    """Events, batch or stream, as raw logs plus ``event_id``."""
+def raw_logs(
+    events: DataFrame, real_time: bool = False, text_bytes: bool = False, spacing: int = EVENT_MICROS, copies: int = 1
+) -> DataFrame:
+    """Events, batch or stream, as raw logs plus ``event_id``.
+
+    ``spacing`` (microseconds between events) and ``copies`` of each make the logs denser.
+    """
+    if copies > 1:
+        events = events.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copy")
     fields = {name: expr.format(text="string") for name, expr in FIELDS.items()}
     if text_bytes:
         fields["bytes_sent"] = TEXT_BYTES.format(text="string", bytes_sent=fields["bytes_sent"])
     if real_time:
         stamp = F.col("ts").cast("timestamp")
     else:
-        stamp = F.timestamp_micros(F.lit(ORIGIN_MICROS) + F.col("event_id") * EVENT_MICROS)
+        stamp = F.timestamp_micros(F.lit(ORIGIN_MICROS) + F.col("event_id") * spacing)
     return events.select(
         "event_id", stamp.alias("timestamp"), *[F.expr(e).alias(n) for n, e in fields.items()]
     )

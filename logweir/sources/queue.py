@@ -52,11 +52,13 @@ def kafka_stream(
     servers: str,
     topics: Sequence[str],
     starting: str = "latest",
-    max_offsets: int = MAX_OFFSETS,
+    max_offsets: int | None = MAX_OFFSETS,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Unbounded scan of the topics."""
-    rate = {"startingOffsets": starting, "maxOffsetsPerTrigger": str(max_offsets)}
+    """Unbounded scan of the topics. ``max_offsets=None`` reads all there is at each trigger."""
+    rate = {"startingOffsets": starting}
+    if max_offsets is not None:
+        rate["maxOffsetsPerTrigger"] = str(max_offsets)
     settings = read_options(servers, topics, {**rate, **(options or {})})
     return spark.readStream.format("kafka").options(**settings).load()
 

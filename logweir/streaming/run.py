@@ -16,7 +16,7 @@ from logweir.streaming import metrics as M
 from logweir.streaming import sinks
 
 
-def alert_stream(
+def verdict_stream(
     logs: DataFrame,
     spec: WindowSpec = WindowSpec(),
     thresholds: Thresholds = Thresholds(),
@@ -24,10 +24,10 @@ def alert_stream(
     now: Column | datetime | None = None,
     approximate: bool = False,
 ) -> DataFrame:
-    """Parsed logs to alert rows."""
+    """Parsed logs to the verdict on each window that changed, for the alert store."""
     measured = M.log_metrics(sinks.observe_logs(logs), spec, thresholds, mode, approximate)
     found = sinks.observe_anomalies(anomaly.detect(measured, thresholds, now))
-    return sinks.observe_alerts(A.alerts(found))
+    return sinks.observe_alerts(A.verdicts(found))
 
 
 def start_streams(
@@ -38,39 +38,59 @@ def start_streams(
     thresholds: Thresholds = Thresholds(),
     store_metrics: bool = True,
     console: bool = False,
-    alert_mode: str = "update",
+    alert_mode: str = "append",
     available_now: bool = False,
     approximate: bool = False,
+    now: Column | datetime | None = None,
+    name: str = "",
+    rejects: bool = False,
+    publish: sinks.Writer | None = None,
 ) -> list[StreamingQuery]:
-    """Start the alert query and, as asked, the metrics and console queries.
+    """Start the queries of a pipeline; ``name`` goes before their names.
 
-    ``alert_mode="update"`` alerts while a window is open and again when it
-    changes; metrics are stored when it is closed, so they need a query and state
-    of their own. ``"append"`` alerts once, when the window is closed, and one
-    query stores both.
+    ``alert_mode="append"`` alerts once, when a window is closed, and one query scans the
+    source for metrics and alerts. ``"update"`` alerts while a window is open and again when
+    it changes; metrics are stored when it is closed, so they need a query and state of their
+    own. ``rejects`` stores unreadable records; ``publish`` gets metrics and alerts as records
+    for the queue (append mode with metrics).
     """
+    if publish is not None and not (alert_mode == "append" and store_metrics):
+        raise ValueError("records are published by the query that stores metrics in append mode")
     logs = records.parse(queue, M.LOG_INPUT)
-    alerts = alert_stream(logs, spec, thresholds, alert_mode, approximate=approximate)
     if alert_mode == "append" and store_metrics:
 
-        def alert(metrics: DataFrame) -> DataFrame:
-            return A.alerts(anomaly.detect(metrics, thresholds))
+        def judge(metrics: DataFrame) -> DataFrame:
+            return A.verdicts(anomaly.detect(metrics, thresholds, now))
 
         measured = M.log_metrics(sinks.observe_logs(logs), spec, thresholds, "append", approximate)
-        found = sinks.observe_anomalies(anomaly.detect(measured, thresholds)).select(measured.columns)
-        write = sinks.metrics_and_alerts_writer(output, alert)
+        found = sinks.observe_anomalies(anomaly.detect(measured, thresholds, now))
+        counted = sinks.observe_alerts(found).select(measured.columns)
+        write = sinks.metrics_and_alerts_writer(output, judge, publish)
         writers = [
-            sinks.batch_sink(found, write, f"{checkpoint}/both", "both", "append", available_now=available_now)
+            sinks.batch_sink(
+                counted, write, f"{checkpoint}/both", f"{name}both", "append", available_now=available_now
+            )
         ]
     else:
-        writers = [sinks.alerts_sink(alerts, output, f"{checkpoint}/alerts", alert_mode, available_now)]
+        found = verdict_stream(logs, spec, thresholds, alert_mode, now, approximate)
+        writers = [
+            sinks.alerts_sink(found, output, f"{checkpoint}/alerts", alert_mode, available_now, f"{name}alerts")
+        ]
         if store_metrics:
             measured = M.log_metrics(logs, spec, thresholds, "append", approximate)
             writers.append(
-                sinks.metrics_sink(measured, f"{output}/metrics", f"{checkpoint}/metrics", available_now)
+                sinks.metrics_sink(
+                    measured, f"{output}/metrics", f"{checkpoint}/metrics", available_now, name=f"{name}metrics"
+                )
             )
     if console:
-        writers.append(sinks.console_sink(alerts, f"{checkpoint}/console", alert_mode, available_now))
+        shown = A.raised(A.verdicts(anomaly.detect(M.log_metrics(logs, spec, thresholds, alert_mode, approximate), thresholds, now)))
+        writers.append(sinks.console_sink(shown, f"{checkpoint}/console", alert_mode, available_now, f"{name}console"))
+    if rejects:
+        bad = records.parse_rejects(queue)
+        writers.append(
+            sinks.rejects_sink(bad, f"{output}/rejects", f"{checkpoint}/rejects", available_now, f"{name}rejects")
+        )
     return [writer.start() for writer in writers]
 
 
@@ -85,22 +105,30 @@ def start_simple_stream(
     output: str,
     thresholds: Thresholds = Thresholds(),
     available_now: bool = False,
+    name: str = "",
 ) -> StreamingQuery:
     """The one-topic variant with its actions, each closed window once."""
     write = sinks.alert_writer(output, A.simple_actions)
     found = simple_alert_stream(queue, thresholds)
     return sinks.batch_sink(
-        found, write, checkpoint, "simple", "append", sinks.SIMPLE_TRIGGER, available_now
+        found, write, checkpoint, f"{name}simple", "append", sinks.SIMPLE_TRIGGER, available_now
     ).start()
 
 
-def wait(queries: Iterable[StreamingQuery]) -> None:
-    """Until all queries have ended; the first failure of any of them is raised at once."""
+def wait(queries: Iterable[StreamingQuery], counters: sinks.CounterTable | None = None) -> None:
+    """Until all queries have ended; the first failure of any of them is raised at once.
+
+    ``counters`` are flushed about once a minute.
+    """
     waiting = list(queries)
+    turns = 0
     while waiting:
         for query in list(waiting):
             if query.awaitTermination(1):
                 waiting.remove(query)
+        turns += 1
+        if counters is not None and turns % 60 == 0:
+            counters.flush()
 
 
 def stop(queries: Iterable[StreamingQuery]) -> None:

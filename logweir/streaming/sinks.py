@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import time
+from collections import deque
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
 from logweir.operators import alerts as A
+from logweir.operators import records as R
 from logweir.operators.quality import PARTITIONS, with_partitions
 
 # Trigger intervals.
@@ -25,52 +28,101 @@ def triggered(writer: DataStreamWriter, interval: str, available_now: bool) -> D
 Writer = Callable[[DataFrame, int], None]
 
 
-def _store(batch: DataFrame, folder: str, batch_id: int) -> DataFrame:
+def _place(batch: DataFrame, batch_id: int) -> str:
+    """A batch's folder. The query's id lies in the checkpoint: it is the same after a restart
+    and another one with a new checkpoint, whose batch numbers begin anew."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+    return f"run={query}/batch_id={batch_id}"
+
+
+def _store(batch: DataFrame, folder: str, batch_id: int, day: Column | None = None) -> DataFrame:
     """A batch's rows in its own folder, read back. A batch that is run again
     replaces its folder and so adds nothing."""
-    path = f"{folder}/batch_id={batch_id}"
-    batch.write.mode("overwrite").parquet(path)
+    path = f"{folder}/{_place(batch, batch_id)}"
+    rows = batch if day is None else batch.withColumn("day", F.to_date(day))
+    writer = rows.hint("rebalance").write.mode("overwrite")
+    (writer if day is None else writer.partitionBy("day")).parquet(path)
     return batch.sparkSession.read.schema(batch.schema).parquet(path)
 
 
 def alert_writer(path: str, act: Callable[[DataFrame], DataFrame] = A.actions) -> Writer:
-    """A batch function for alerts and their actions.
+    """A batch function for verdicts and the actions of those that are alerts.
 
-    Actions are made from the stored rows: the stream's plan runs once per batch,
-    and no row passes the driver.
+    A window that is no longer anomalous is stored as well, by id alone, so that its alert
+    ends. Rows carry the time they were written, which orders them across checkpoints.
+    Actions are made from the stored rows: the stream's plan runs once per batch, and no
+    row passes the driver.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stored = _store(batch, f"{path}/alerts", batch_id)
-        _store(act(stored), f"{path}/actions", batch_id)
+        keys = ("alert_id", "is_anomaly", A.WINDOW_START)
+        if "is_anomaly" in batch.columns:
+            rows = batch.withColumns(
+                {c: F.when(F.col("is_anomaly"), F.col(c)) for c in batch.columns if c not in keys}
+            )
+        else:
+            rows = batch.withColumn("is_anomaly", F.lit(True))
+        start = F.col(A.WINDOW_START) if A.WINDOW_START in batch.columns else F.col("window.start")
+        stored = _store(rows.withColumn("written_at", F.current_timestamp()), f"{path}/alerts", batch_id, start)
+        _store(act(A.raised(stored)), f"{path}/actions", batch_id)
+
+    return write
+
+
+def record_writer(path: str) -> Writer:
+    """A batch function for result records, a folder per topic as a file queue has."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        place = f"{path}/{_place(batch, batch_id)}"
+        batch.hint("rebalance").write.mode("overwrite").partitionBy("topic").parquet(place)
 
     return write
 
 
-def metrics_and_alerts_writer(path: str, alert: Callable[[DataFrame], DataFrame]) -> Writer:
-    """A batch function for metrics and the alerts that follow from them."""
+def metrics_and_alerts_writer(
+    path: str, judge: Callable[[DataFrame], DataFrame], publish: Writer | None = None
+) -> Writer:
+    """A batch function for metrics, the verdicts that follow from them, and, as asked, both
+    as records for the queue."""
     write_alerts = alert_writer(path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_alerts(alert(_store(batch, f"{path}/metrics", batch_id)), batch_id)
+        metrics = _store(batch, f"{path}/metrics", batch_id)
+        judged = judge(metrics)
+        write_alerts(judged, batch_id)
+        if publish is not None:
+            measured = R.result_records(metrics, R.METRICS_TOPIC)
+            publish(measured.unionByName(R.result_records(A.raised(judged), R.ALERTS_TOPIC)), batch_id)
 
     return write
 
 
-def stored_alerts(spark: SparkSession, path: str) -> DataFrame:
-    """Every emitted alert row with its batch number."""
-    return spark.read.parquet(f"{path}/alerts")
+def stored_alerts(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
+    """Every emitted verdict with its batch; ``since`` a time leaves out older days unread."""
+    rows = spark.read.option("basePath", f"{path}/alerts").parquet(f"{path}/alerts")
+    return rows if since is None else rows.filter(F.col("day") >= F.to_date(since))
+
+
+def latest_alerts(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
+    """The alerts that hold: the last verdict of each window, if it is one of anomaly."""
+    return A.latest(stored_alerts(spark, path, since))
 
 
-def latest_alerts(spark: SparkSession, path: str) -> DataFrame:
-    """The last state of each alert: update mode emits a window again when it changes."""
-    return A.latest(stored_alerts(spark, path))
+def stored_actions(spark: SparkSession, path: str) -> DataFrame:
+    """Each action of an alert once, however often its window was emitted."""
+    rows = spark.read.option("basePath", f"{path}/actions").parquet(f"{path}/actions")
+    return rows.drop("run", "batch_id").distinct()
 
 
 def alerts_sink(
-    alerts: DataFrame, path: str, checkpoint: str, mode: str = "update", available_now: bool = False
+    verdicts: DataFrame,
+    path: str,
+    checkpoint: str,
+    mode: str = "update",
+    available_now: bool = False,
+    name: str = "alerts",
 ) -> DataStreamWriter:
-    return batch_sink(alerts, alert_writer(path), checkpoint, "alerts", mode, available_now=available_now)
+    return batch_sink(verdicts, alert_writer(path), checkpoint, name, mode, available_now=available_now)
 
 
 def batch_sink(
@@ -92,19 +144,20 @@ def metrics_sink(
     checkpoint: str,
     available_now: bool = False,
     partitioned: bool = False,
+    name: str = "metrics",
 ) -> DataStreamWriter:
     """Closed windows to Parquet, each exactly once; ``partitioned`` by the hour they start in."""
     rows = with_partitions(metrics, F.col("window.start")) if partitioned else metrics
-    writer = rows.writeStream.queryName("metrics").outputMode("append").format("parquet").option("path", path)
+    writer = rows.writeStream.queryName(name).outputMode("append").format("parquet").option("path", path)
     if partitioned:
         writer = writer.partitionBy(*PARTITIONS)
     return triggered(writer.option("checkpointLocation", checkpoint), METRICS_TRIGGER, available_now)
 
 
 def console_sink(
-    alerts: DataFrame, checkpoint: str, mode: str = "update", available_now: bool = False
+    alerts: DataFrame, checkpoint: str, mode: str = "update", available_now: bool = False, name: str = "console"
 ) -> DataStreamWriter:
-    writer = alerts.writeStream.queryName("console").outputMode(mode).format("console").option("truncate", False)
+    writer = alerts.writeStream.queryName(name).outputMode(mode).format("console").option("truncate", False)
     return triggered(writer.option("checkpointLocation", checkpoint), CONSOLE_TRIGGER, available_now)
 
 
@@ -116,8 +169,16 @@ def observe_anomalies(anomalies: DataFrame) -> DataFrame:
     return anomalies.observe("anomalies", F.count_if("is_anomaly").alias("anomalies_detected"))
 
 
-def observe_alerts(alerts: DataFrame) -> DataFrame:
-    return alerts.observe("alerts", F.count(F.lit(1)).alias("alerts_sent"))
+def rejects_sink(
+    rejects: DataFrame, path: str, checkpoint: str, available_now: bool = False, name: str = "rejects"
+) -> DataStreamWriter:
+    """Records that could not be read, with the reason."""
+    writer = rejects.writeStream.queryName(name).outputMode("append").format("parquet").option("path", path)
+    return triggered(writer.option("checkpointLocation", checkpoint), METRICS_TRIGGER, available_now)
+
+
+def observe_alerts(verdicts: DataFrame) -> DataFrame:
+    return verdicts.observe("alerts", F.count_if("is_anomaly").alias("alerts_sent"))
 
 
 COUNTERS = (
@@ -128,12 +189,16 @@ COUNTERS = (
 
 
 class CounterTable(StreamingQueryListener):
-    """Appends one row of observed counts per batch to a Parquet table."""
+    """Keeps the observed counts of each batch; ``flush`` appends them to a Parquet table.
+
+    The listener's thread starts no job. What was not flushed when the driver is lost is lost.
+    """
 
     SCHEMA = "query string, run string, batch_id bigint, " + ", ".join(f"{n} bigint" for _, n in COUNTERS)
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path
+        self.rows: deque[tuple] = deque()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -147,8 +212,19 @@ class CounterTable(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         p = event.progress
         seen = p.observedMetrics
-        if not seen:
-            return
-        counts = [seen[group][name] if group in seen else None for group, name in COUNTERS]
-        row = self.spark.createDataFrame([(p.name, str(p.runId), p.batchId, *counts)], self.SCHEMA)
-        row.coalesce(1).write.mode("append").parquet(self.path)
+        if seen:
+            counts = [seen[group][name] if group in seen else None for group, name in COUNTERS]
+            self.rows.append((p.name, str(p.runId), p.batchId, *counts))
+
+    def await_batches(self, last: dict[str, int], seconds: float = 30.0) -> None:
+        """Until the counts of each run's last batch are here; they come by another thread."""
+        end = time.monotonic() + seconds
+        while time.monotonic() < end:
+            if all(any(r[1] == run and r[2] >= batch for r in list(self.rows)) for run, batch in last.items()):
+                return
+            time.sleep(0.1)
+
+    def flush(self) -> None:
+        rows = [self.rows.popleft() for _ in range(len(self.rows))]
+        if rows:
+            self.spark.createDataFrame(rows, self.SCHEMA).coalesce(1).write.mode("append").parquet(self.path)

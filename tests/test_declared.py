@@ -1,6 +1,7 @@
 """Quality, lookups, outliers, forest, store."""
 
 import ipaddress
+import math
 import random
 import statistics
 from datetime import datetime, timedelta, timezone
@@ -161,6 +162,75 @@ def test_zscores_of_a_hot_key_with_distinct_values(spark):
     check_zscores(spark, groups)
 
 
+def test_zscores_of_infinite_values(spark):
+    """A key whose centre is not finite has no scores; the others keep theirs."""
+    rows = [("inf", float("inf"))] * 5 + [("some", float("inf")), ("some", 1.0), ("some", 2.0), ("some", 4.0)]
+    rows += [("ends", float("inf")), ("ends", float("-inf"))]
+    df = spark.createDataFrame([(k, v) for k, v in rows] + [("ok", 1.0), ("ok", 2.0), ("ok", 9.0)], "source_ip string, log_count double")
+    out = outliers.zscores(df).collect()
+    assert len(out) == 14
+    for r in out:
+        if r.source_ip in ("inf", "ends"):
+            assert r.zscore is None and r.modified_zscore is None
+        if r.source_ip == "ok":
+            assert r.modified_zscore == pytest.approx(0.6745 * (r.log_count - 2))
+        if r.source_ip == "some" and r.log_count == 1.0:
+            assert r.zscore is None and r.modified_zscore == pytest.approx(0.6745 * -2 / 1.5)
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    "spark.sql.shuffle.partitions": "24",
+}
+
+
+@pytest.fixture
+def skewed(spark):
+    """Settings under which small tables behave like large ones with a hot key."""
+    old = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot_logs(spark, n=60_000):
+    source = "case when id % 3 = 0 then '10.0.0.7' when id % 3 = 1 then null else concat('10.1.', id % 200, '.', id % 97) end"
+    return spark.range(n).selectExpr("id as event_id", f"{source} as source_ip", "concat('8.8.4.', id % 90) as destination_ip", "repeat('x', 40) as message")
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_addresses_are_split(skewed):
+    logs = hot_logs(skewed)
+    names = skewed.createDataFrame([("10.0.0.7", "a"), ("10.1.3.4", "b")], "source_ip string, owner string")
+    assets = names.groupBy("source_ip").agg(F.min("owner").alias("owner"))
+    threats = skewed.createDataFrame([("10.0.0.7",), ("8.8.4.8",)], "ip string")
+    ranges = skewed.createDataFrame([("10.0.0.0/8", "x"), ("10.0.0.0/24", "y")], "cidr string, location string")
+    for found in (lookup.join_assets(logs, assets), lookup.flag_threats(logs, threats), lookup.join_geo(logs, ranges)):
+        assert found.count() == 60_000
+        assert "skew=true" in final_plan(found)
+
+
+def test_hot_key_of_a_median_is_shuffled_anew(skewed):
+    rows = skewed.range(60_000).selectExpr("case when id % 3 = 0 then '=a' else concat('=', id % 50) end as k", "cast(id * 7 % 9973 as double) as value")
+    brackets = rows.groupBy("k").agg(outliers._bracket("value"))
+    middle = outliers._median(rows, brackets, "value", "median")
+    assert {r.k for r in middle.collect()} == {r.k for r in brackets.collect()}
+    plan = final_plan(middle)
+    join = plan.index("SortMergeJoin")
+    grouped = [m for m in ("hashpartitioning(k#", "side#") if m in plan[:join]]
+    assert len(grouped) == 2 and "Exchange" in plan[:join]
+
+
 def test_season_is_found(spark):
     rows = [
         (START.replace(hour=0) + timedelta(hours=h, minutes=m), "internal")
@@ -201,12 +271,60 @@ def test_forest_isolates_the_far_rows(spark):
     assert again == {r.i: r.isolation_score for r in out}
 
 
+def drawn_rows(spark, n, trees, sample):
+    df = spark.range(n).withColumn("id", F.col("id").cast("string"))
+    rows = df.select("id", F.explode(forest._trees_of(min(1.0, sample / n), trees, 42)).alias("tree")).collect()
+    return [{r["id"] for r in rows if r.tree == t} for t in range(trees)]
+
+
+@pytest.mark.parametrize("n", [500, 20_000])
+def test_trees_draw_alike_at_every_size(spark, n):
+    """Below and above trees x sample rows: sizes near the sample, and independent draws."""
+    trees, sample = 40, 64
+    drawn = drawn_rows(spark, n, trees, sample)
+    sizes = [len(d) for d in drawn]
+    assert 0.8 * sample < sum(sizes) / trees < 1.2 * sample and max(sizes) < 2 * sample
+    pairs = trees * (trees - 1) / 2
+    overlap = sum(len(a & b) for i, a in enumerate(drawn) for b in drawn[:i])
+    expected = pairs * sample * sample / n
+    assert abs(overlap - expected) < 6 * expected**0.5 + 0.1 * expected
+
+
+def test_every_row_when_the_sample_is_larger(spark):
+    assert drawn_rows(spark, 30, 3, 64) == [{str(i) for i in range(30)}] * 3
+
+
 def test_forest_groups_stay_small(spark):
     df = forest_metrics(spark, 3000).withColumn("id", F.col("source_ip"))
     sizes = [r["size"] for r in forest.grow_forest(df, ("log_count",), trees=20, sample=64).collect()]
     assert len(sizes) == 20 and max(sizes) < 2 * 64
 
 
+def test_lost_trees_are_an_error(spark):
+    with pytest.raises(ValueError, match="trees drew a row"):
+        forest.isolation_scores(forest_metrics(spark, 2000), ("log_count",), trees=30, sample=1)
+
+
+def test_nan_counts_as_null_in_the_forest(spark):
+    df = forest_metrics(spark, 300)
+    odd = F.when(F.col("i") % 10 == 0, F.lit(float("nan"))).otherwise(F.col("avg_response_time"))
+    scores = []
+    for bad in (odd, F.when(F.isnan(odd), None).otherwise(odd)):
+        rows = df.withColumn("avg_response_time", bad)
+        out = forest.isolation_scores(rows, ("log_count", "avg_response_time"), trees=10).collect()
+        scores.append({r.i: r.isolation_score for r in out})
+    assert scores[0] == scores[1] and all(s == s for s in scores[0].values())
+
+
+def test_cut_is_the_exact_quantile(spark):
+    rng = random.Random(4)
+    values = [rng.choice([rng.randrange(10**9 + 1), 5, 123_456_789, 10**9]) for _ in range(3001)]
+    rows = spark.createDataFrame([(v,) for v in values], "v long")
+    for share in (0.0004, 0.1, 0.5, 0.9, 1.0):
+        assert forest.cut_at(rows, share) == sorted(values)[math.ceil(share * len(values)) - 1]
+    assert forest.cut_at(rows.limit(0), 0.5) is None
+
+
 def test_path_length_by_hand():
     nodes = np.array([[0, 5.0, 1, 2, 4], [-1, 0, -1, -1, 1], [-1, 0, -1, -1, 3]])
     depth = forest._path_length(np.array([[1.0], [9.0]]), nodes)

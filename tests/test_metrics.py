@@ -202,7 +202,17 @@ def test_simple_actions(spark):
     assert acts == [("a", "dashboard"), ("b", "autoscale"), ("b", "dashboard")]
 
 
-def test_latest_alert_wins(spark):
-    rows = [("x", 1, "LOW"), ("x", 10, "HIGH"), ("x", 9, "MEDIUM"), ("y", 2, "LOW")]
-    history = spark.createDataFrame(rows, "alert_id string, batch_id int, anomaly_level string")
-    assert sorted(tuple(r) for r in A.latest(history).collect()) == [("x", 10, "HIGH"), ("y", 2, "LOW")]
+def test_latest_verdict_wins(spark):
+    """By the time it was written, then by batch; one that is no anomaly ends its alert."""
+    rows = [("x", 1, 1, "LOW", True), ("x", 1, 10, "HIGH", True), ("x", 1, 9, "MEDIUM", True), ("y", 2, 0, "LOW", True)]
+    rows += [("y", 1, 7, "HIGH", True), ("z", 1, 1, "LOW", True), ("z", 2, 0, None, False), (None, 1, 1, "LOW", False)]
+    history = spark.createDataFrame(
+        rows, "alert_id string, written_at int, batch_id int, anomaly_level string, is_anomaly boolean"
+    )
+    assert sorted(tuple(r) for r in A.latest(history).collect()) == [("x", 1, 10, "HIGH"), ("y", 2, 0, "LOW")]
+
+
+def test_a_null_key_has_an_id_of_its_own(spark):
+    rows = metric(spark, (None, "x", "INFO", 5000, 9e9, 1.0, 10**9, 0, 0, 0.0), ("-", "x", "INFO", 5000, 9e9, 1.0, 10**9, 0, 0, 0.0))
+    found = A.alerts(anomaly.detect(rows)).collect()
+    assert len({r.alert_id for r in found}) == len(found) == 2

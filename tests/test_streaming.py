@@ -7,7 +7,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from logweir.operators import anomaly, metrics, records
+from logweir.operators import anomaly, metrics, quality, records
 from logweir.plans import queries as Q
 from logweir.schema import QUEUE
 from logweir.sources import queue
@@ -164,62 +164,120 @@ def scan_rows(minute, n):
     return [(DAY + timedelta(minutes=minute, seconds=i % 60), "scanner", 1000 + i, "FAILED") for i in range(n)]
 
 
+def alert_run(spark, folder, out, cp):
+    found = run.verdict_stream(records.parse(queue.file_stream(spark, folder, 1), stream.LOG_INPUT))
+    run.wait([sinks.alerts_sink(found, out, cp, available_now=True).start()])
+
+
+def counts_by_minute(alerts):
+    return minutes(alerts.withColumn("window", F.struct(F.col("window_start").alias("start"))), "log_count")
+
+
 def test_alerts_survive_restart_and_retry(spark, tmp_path):
     """More logs for a window raise its alert again; the store keeps one last state."""
     folder, out, cp = (str(tmp_path / x) for x in ("q", "out", "cp"))
-
-    def go():
-        found = run.alert_stream(records.parse(queue.file_stream(spark, folder, 1), stream.LOG_INPUT))
-        run.wait([sinks.alerts_sink(found, out, cp, available_now=True).start()])
-        return found.columns
-
     add_file(folder, 0, queue_of(spark, scan_rows(0, 1100)))
-    columns = go()
-    first = sinks.stored_alerts(spark, out)
-    assert first.count() == 5
+    alert_run(spark, folder, out, cp)
+    assert sinks.stored_alerts(spark, out).count() == 5
     add_file(folder, 1, queue_of(spark, scan_rows(1, 1200)))
-    go()
+    alert_run(spark, folder, out, cp)
     history, latest = sinks.stored_alerts(spark, out), sinks.latest_alerts(spark, out)
     assert history.count() == 5 + 5
     assert latest.count() == 6
-    assert minutes(latest.withColumn("window", F.struct(F.col("window_start").alias("start"))), "log_count") == [
-        (-4, 1100), (-3, 2300), (-2, 2300), (-1, 2300), (0, 2300), (1, 1200)
-    ]
-    go()
+    assert counts_by_minute(latest) == [(-4, 1100), (-3, 2300), (-2, 2300), (-1, 2300), (0, 2300), (1, 1200)]
+    assert sinks.latest_alerts(spark, out, F.lit(DAY)).count() == 2
+    alert_run(spark, folder, out, cp)
     assert sinks.stored_alerts(spark, out).count() == 10
 
-    # The same batch again, as after a lost driver, changes nothing.
-    again = history.filter("batch_id = 0").select(*columns)
+    # A batch that is written twice, as after a lost driver, counts once.
+    again = history.filter("batch_id = 0").drop("run", "batch_id", "day", "written_at")
     kept = spark.createDataFrame(again.collect(), again.schema)
-    sinks.alert_writer(out)(kept, 0)
+    for _ in range(2):
+        sinks.alert_writer(f"{out}-again")(kept, 0)
+    assert sinks.stored_alerts(spark, f"{out}-again").count() == 5
+
+    # An action is stored with each state of its alert and read once.
+    assert spark.read.parquet(f"{out}/actions").count() > 12
+    actions = sinks.stored_actions(spark, out)
+    assert actions.count() == 12 == actions.select("alert_id", "action").distinct().count()
+
+
+def test_alerts_that_no_longer_hold_end(spark, tmp_path):
+    """A few failures of much data are an anomaly until many successes make them normal."""
+    folder, out, cp = (str(tmp_path / x) for x in ("q", "out", "cp"))
+
+    def sent(n, status, size, first=0):
+        rows = queue_of(spark, [(DAY + timedelta(seconds=i % 60), "a", 80, status) for i in range(n)])
+        value = F.regexp_replace("value", '"bytes_sent": 1,', f'"bytes_sent": {size},')
+        return rows.withColumn("value", value).withColumn("offset", F.col("offset") + first)
+
+    first, second = sent(10, "FAILED", 2_000_000), sent(900, "OK", 1, 10)
+    add_file(folder, 0, first)
+    alert_run(spark, folder, out, cp)
+    assert sinks.latest_alerts(spark, out).count() == 5
+    add_file(folder, 1, second)
+    alert_run(spark, folder, out, cp)
+    logs = records.parse(first.union(second), stream.LOG_INPUT)
+    batch = anomaly.detect(metrics.log_metrics(logs)).filter("is_anomaly").count()
+    assert batch == sinks.latest_alerts(spark, out).count() == 0
+    assert sinks.stored_alerts(spark, out).count() == 10
+
+
+def test_new_checkpoint_on_the_same_output(spark, tmp_path):
+    """Batch numbers begin anew; older batches stay and newer states win."""
+    out = str(tmp_path / "out")
+    for n, size in ((1, 1100), (2, 1300)):
+        folder = str(tmp_path / f"q{n}")
+        add_file(folder, 0, queue_of(spark, scan_rows(0, size)))
+        alert_run(spark, folder, out, str(tmp_path / f"cp{n}"))
     assert sinks.stored_alerts(spark, out).count() == 10
-    actions = spark.read.parquet(f"{out}/actions")
-    assert actions.count() == sinks.stored_alerts(spark, out).count() * 2
+    assert counts_by_minute(sinks.latest_alerts(spark, out)) == [(m, 1300) for m in (-4, -3, -2, -1, 0)]
 
 
 def test_start_streams(spark, files, tmp_path):
     folder, logs = files
     source = queue.file_stream(spark, folder)
     windows = closed(metrics.log_metrics(logs), logs)
-    alerts = anomaly.detect(windows).filter("is_anomaly").count()
+    found = anomaly.detect(windows, now=DAY)
+    alerts = found.filter("is_anomaly").count()
 
-    # Alerts of closed windows share one query with the metrics.
+    # By default alerts of closed windows share one query with the metrics.
+    out = str(tmp_path / "out")
     both = run.start_streams(
-        source, str(tmp_path / "cp"), str(tmp_path / "out"), console=True, alert_mode="append", available_now=True
+        source, str(tmp_path / "cp"), out, console=True, available_now=True, now=DAY, name="x-", rejects=True,
+        publish=sinks.record_writer(f"{out}/records"),
+    )
+    # Another pipeline in the same session.
+    two = run.start_streams(
+        source, str(tmp_path / "cp2"), str(tmp_path / "out2"), alert_mode="update", available_now=True, name="y-"
     )
-    assert [q.name for q in both] == ["both", "console"]
-    run.wait(both)
-    run.stop(both)
-    assert sinks.stored_alerts(spark, str(tmp_path / "out")).count() == alerts > 0
-    stored = spark.read.parquet(str(tmp_path / "out/metrics")).select(*windows.columns)
+    assert [q.name for q in both + two] == ["x-both", "x-console", "x-rejects", "y-alerts", "y-metrics"]
+    run.wait(both + two)
+    run.stop(both + two)
+    latest = sinks.latest_alerts(spark, out)
+    assert latest.count() == alerts > 0
+    assert {r.detected_at.replace(tzinfo=timezone.utc) for r in latest.collect()} == {DAY}
+    stored = spark.read.parquet(f"{out}/metrics").select(*windows.columns)
     assert rows_of(stored) == rows_of(windows)
-
-    # Early alerts have a query of their own.
-    two = run.start_streams(source, str(tmp_path / "cp2"), str(tmp_path / "out2"), available_now=True)
-    assert [q.name for q in two] == ["alerts", "metrics"]
-    run.wait(two)
-    assert sinks.stored_alerts(spark, str(tmp_path / "out2")).count() >= alerts
+    published = spark.read.parquet(f"{out}/records").groupBy("topic").count().collect()
+    assert {r.topic: r["count"] for r in published} == {
+        records.METRICS_TOPIC: windows.count(), records.ALERTS_TOPIC: alerts
+    }
+    assert sinks.latest_alerts(spark, str(tmp_path / "out2")).count() >= alerts
     assert rows_of(spark.read.parquet(str(tmp_path / "out2/metrics"))) == rows_of(windows)
+    with pytest.raises(ValueError, match="published"):
+        run.start_streams(source, out, out, alert_mode="update", publish=sinks.record_writer(out))
+
+
+def test_unreadable_records_are_kept(spark, tmp_path):
+    folder, out = str(tmp_path / "q"), str(tmp_path / "out")
+    rows = queue_of(spark, [(DAY, "a", 1, "OK")] * 3).withColumn(
+        "value", F.when(F.col("offset") == 1, "not json").otherwise(F.col("value"))
+    )
+    add_file(folder, 0, rows)
+    source = queue.file_stream(spark, folder)
+    run.wait(run.start_streams(source, str(tmp_path / "cp"), out, available_now=True, name="r-", rejects=True))
+    assert [(r.value, r.parse_reason) for r in spark.read.parquet(f"{out}/rejects").collect()] == [("not json", "not_json")]
 
 
 def test_wait_raises_the_failure_of_any_query(spark, files, tmp_path):
@@ -245,25 +303,46 @@ def test_simple_alert_stream(spark, tmp_path):
     add_file(str(tmp_path / "q"), 0, spark.createDataFrame(rows, QUEUE))
     source = queue.file_stream(spark, str(tmp_path / "q"))
     run.wait([run.start_simple_stream(source, str(tmp_path / "cp"), str(tmp_path / "out"), available_now=True)])
-    out = sinks.stored_alerts(spark, str(tmp_path / "out")).collect()
+    out = spark.read.parquet(str(tmp_path / "out/alerts")).collect()
     assert len(out) == 5 and {r.source_ip for r in out} == {"slow"}
-    actions = spark.read.parquet(str(tmp_path / "out/actions"))
+    actions = sinks.stored_actions(spark, str(tmp_path / "out"))
     assert {r.action for r in actions.collect()} == {"dashboard"} and actions.count() == 5
 
 
-def test_counters(spark, tmp_path):
+def test_failed_attempts_on_a_stream(spark, tmp_path):
+    folder = str(tmp_path / "q")
+    add_file(folder, 0, queue_of(spark, scan_rows(0, 150) + [(DAY, "calm", 1, "FAILED")] * 100))
+    add_file(folder, 1, queue_of(spark, [(DAY + timedelta(hours=1), "other", 1, "OK")]))
+    logs = records.parse(queue.file_stream(spark, folder, 1), stream.LOG_INPUT)
+    found = quality.failed_attempts(logs, watermark=60)
+    once(sinks.metrics_sink(found, str(tmp_path / "out"), str(tmp_path / "cp"), name="attempts"))
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert [(r.source_ip, r.failed_connections) for r in rows] == [("scanner", 150)]
+
+
+@pytest.mark.parametrize("mode", ["append", "update"])
+def test_counters(spark, tmp_path, mode):
     folder, table = str(tmp_path / "q"), str(tmp_path / "counters")
     add_file(folder, 0, queue_of(spark, scan_rows(0, 1100)))
-    listener = sinks.CounterTable(spark, table)
-    spark.streams.addListener(listener)
+    later = [(DAY + timedelta(hours=1), "other", 1, "OK")]
+    add_file(folder, 1, queue_of(spark, later))
+    counters = sinks.CounterTable(spark, table)
+    spark.streams.addListener(counters)
     try:
-        found = run.alert_stream(records.parse(queue.file_stream(spark, folder), stream.LOG_INPUT))
-        run.wait([sinks.alerts_sink(found, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True).start()])
+        started = run.start_streams(
+            queue.file_stream(spark, folder, 1), str(tmp_path / "cp"), str(tmp_path / "out"),
+            store_metrics=mode == "append", alert_mode=mode, available_now=True, name=f"{mode}-",
+        )
+        run.wait(started, counters)
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        counters.await_batches({str(q.runId): q.lastProgress["batchId"] for q in started})
     finally:
-        spark.streams.removeListener(listener)
-    row = spark.read.parquet(table).orderBy("batch_id").first()
-    assert (row["query"], row.logs_processed, row.anomalies_detected, row.alerts_sent) == ("alerts", 1100, 5, 5)
+        spark.streams.removeListener(counters)
+    counters.flush()
+    counters.flush()
+    rows = spark.read.parquet(table).collect()
+    assert {r["query"] for r in rows} == {"append-both" if mode == "append" else "update-alerts"}
+    assert [sum(r[n] for r in rows) for _, n in sinks.COUNTERS] == [1101, 5, 5]
 
 
 def test_no_state_row_holds_a_set(spark, files):
