@@ -39,8 +39,8 @@ END = 0
 #: A shard is read whole by one task.
 SHARD_RECORDS = 4096
 #: Words that stay known to a worker, and bytes of text that it encodes at once.
-KNOWN = 500_000
-HELD_BYTES = 5 << 20
+KNOWN = 400_000
+HELD_BYTES = 4 << 20
 #: New words that are encoded as one text.
 JOINED = 50
 FRAME = struct.Struct("<QI")
