@@ -41,9 +41,9 @@ from logweir.llm.simhash import forest
 
 COSINE = 0.9
 WIDTH = 8
-#: Vectors of a chunk of a cell, and visitors that are compared at once.
+#: Vectors of a chunk of a cell; residents and visitors that are compared at once, in cache.
 CHUNK = 32_768
-SLICE = 256
+TILE = (2048, 256)
 #: Candidates that are verified at once.
 HELD_PAIRS = 20_000
 SLACK = 1e-5
@@ -150,34 +150,32 @@ def _links(
     count, root = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
     home_at, guest_at = np.searchsorted(ids, home), np.searchsorted(ids, guest)
     home_rotated, guest_rotated = own.rotated(home_unit), own.rotated(guest_unit)
-    a = own.block(home_rotated, b).astype(np.float32)
     most = np.float32(own.radii[b] ** 2)
-    a2 = np.einsum("nd,nd->n", a, a)
-    for start in range(0, len(guest), SLICE):
-        part = slice(start, start + SLICE)
-        g = own.block(guest_rotated[part], b).astype(np.float32)
-        apart = a @ g.T
-        apart *= -2
-        apart += a2[:, None]
-        apart += np.einsum("nd,nd->n", g, g)[None, :]
-        near = np.flatnonzero(apart.ravel() <= most)
+    # |x - y|^2 as one product: (-2x, |x|^2, 1) with (y, 1, |y|^2).
+    x, y = (own.block(r, b).astype(np.float32) for r in (home_rotated, guest_rotated))
+    x2, y2 = (np.einsum("nd,nd->n", v, v)[:, None] for v in (x, y))
+    left = np.hstack([-2 * x, x2, np.ones_like(x2)])
+    right = np.ascontiguousarray(np.hstack([y, np.ones_like(y2), y2]).T)
+    corners = product(range(0, len(home), TILE[0]), range(0, len(guest), TILE[1]))
+    for top, start in corners:
+        apart = left[top : top + TILE[0]] @ right[:, start : start + TILE[1]]
+        near = np.flatnonzero(apart <= most)
         for first in range(0, len(near), HELD_PAIRS):
-            i, j = np.divmod(near[first : first + HELD_PAIRS], g.shape[0])
-            j = j + start
+            i, j = np.divmod(near[first : first + HELD_PAIRS], apart.shape[1])
+            i, j = i + top, j + start
             later = home[i] < guest[j]
             i, j = i[later], j[later]
             good = np.einsum("nd,nd->n", home_unit[i], guest_unit[j]) >= cosine
             i, j = i[good], j[good]
             mine = own.first_block(home_rotated[i], guest_rotated[j]) == b
-            x, y = home_at[i[mine]], guest_at[j[mine]]
-            np.add.at(count, x, times[y])
-            np.add.at(count, y, times[x])
-            if len(x):
-                used = np.unique(np.concatenate([x, y, root[x], root[y]]))
-                where = np.searchsorted(used, np.concatenate([x, y, used]))
-                other = np.searchsorted(used, root[used])
-                pairs = (np.concatenate([where[: len(x)], np.arange(len(used))]), np.concatenate([where[len(x) : 2 * len(x)], other]))
-                root[used] = used[forest(len(used), *pairs)]
+            p, q = home_at[i[mine]], guest_at[j[mine]]
+            np.add.at(count, p, times[q])
+            np.add.at(count, q, times[p])
+            if len(p):
+                # Links so far, as each position's root, and the new ones.
+                used = np.unique(np.concatenate([p, q, root[p], root[q]]))
+                ends = (np.searchsorted(used, np.concatenate(x)) for x in ((p, used), (q, root[used])))
+                root[used] = used[forest(len(used), *ends)]
     # A root may have got a smaller root since.
     while not np.array_equal(root, root[root]):
         root = root[root]
