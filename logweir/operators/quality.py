@@ -72,8 +72,8 @@ def failed_attempts(
 ) -> DataFrame:
     """Minutes in which a source failed to connect more often than allowed.
 
-    On a stream ``watermark`` (seconds) says how late a log may come; minutes are emitted
-    when they are closed.
+    On a stream ``watermark`` (seconds) says how late a failure may come after others; minutes
+    are emitted when they are closed.
     """
     marked = logs if watermark is None else logs.withWatermark("timestamp", f"{watermark} seconds")
     return (
