@@ -16,8 +16,8 @@ any store Spark reaches, and a lost executor's files never become visible.
 The index is a Parquet table (shard, position, offset, bytes, doc_id, tokens, ids_crc32) made
 from the written shards; with it a reader fetches any record by one ranged read.
 
-Defined results: a null text has only the end id; rows with one id are in order of their
-texts; a null id comes first; an empty table gives no rows; other columns are not read.
+Defined results: a null text has only the end id; rows with one id are in the order of a digest
+of their texts; a null id comes first; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -241,7 +241,9 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, shard_records: int
             yield flush()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("body"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "body")
+    # The digest splits the range of an id that very many rows have.
+    keyed = rows.withColumn("digest", F.xxhash64("body"))
+    ordered = keyed.repartitionByRange("doc_id", "digest").sortWithinPartitions("doc_id", "digest", "body").drop("digest")
     (
         ordered.mapInArrow(framed, "value binary")
         .select(F.col("value").cast("string").alias("value"))
@@ -279,7 +281,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, shard_records: int
     write_shards(docs, f"{path}/shards", tokenizer, shard_records)
     read_shards(spark, f"{path}/shards").write.parquet(f"{path}/index")
     index = spark.read.parquet(f"{path}/index")
-    # One row a shard: shards hold disjoint ranges of ids, and equal ids never leave their range.
+    # One row a shard. Names rise with the ranges, so they order shards that share an id.
     shards = index.groupBy("shard").agg(
         F.sum("n_tokens").alias("tokens"),
         F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id", "shard")).alias("first"),

@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
 from logweir.llm import records
 from logweir.llm.queries import tokenizer_path
@@ -68,7 +69,11 @@ def test_frame_and_damage():
 
 def brute(encoder, data):
     rows, start = [], 0
-    order = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
+    def digest(text):
+        x = xxhash.xxh64_intdigest((text or "").encode(), 42)
+        return x - (1 << 64) if x >> 63 else x
+
+    order = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, digest(r[1])))
     for (doc_id, *_), ids in zip(order, plain(encoder, [r[1] or "" for r in order]), strict=True):
         ids = [*ids, records.END]
         rows.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
