@@ -269,6 +269,27 @@ def test_start_streams(spark, files, tmp_path):
         run.start_streams(source, out, out, alert_mode="update", publish=sinks.record_writer(out))
 
 
+def test_trigger_keeps_the_query_running(spark, tmp_path):
+    """By interval a query stays active and takes new files; one file a batch is the rate limit."""
+    folder = str(tmp_path / "q")
+    for n in range(2):
+        add_file(folder, n, queue_of(spark, [(DAY + timedelta(hours=n), "a", 1, "OK")]))
+    logs = records.parse(queue.file_stream(spark, folder, 1), stream.LOG_INPUT)
+    seen = []
+
+    def count(batch, batch_id):
+        seen.append(batch.count())
+
+    query = sinks.batch_sink(logs, count, str(tmp_path / "cp"), "steady", "append", "1 second").start()
+    try:
+        query.processAllAvailable()
+        add_file(folder, 2, queue_of(spark, [(DAY, "b", 1, "OK")] * 3))
+        query.processAllAvailable()
+        assert query.isActive and [n for n in seen if n] == [1, 1, 3]
+    finally:
+        query.stop()
+
+
 def test_unreadable_records_are_kept(spark, tmp_path):
     folder, out = str(tmp_path / "q"), str(tmp_path / "out")
     rows = queue_of(spark, [(DAY, "a", 1, "OK")] * 3).withColumn(
