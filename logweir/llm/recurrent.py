@@ -239,7 +239,8 @@ class Learner:
             g = g * clip
             self.first[k] += np.float32(0.1) * (g - self.first[k])
             self.second[k] += np.float32(0.01) * (g * g - self.second[k])
-            self.weights[k] -= np.float32(rate / fix1) * self.first[k] / (np.sqrt(self.second[k] / np.float32(fix2)) + np.float32(1e-6))
+            spread = np.sqrt(self.second[k] / np.float32(fix2)) + np.float32(1e-6)
+            self.weights[k] -= np.float32(rate / fix1) * self.first[k] / spread
 
     def take(self, texts: list[np.ndarray]) -> None:
         for text in texts:

@@ -132,15 +132,15 @@ class Group:
     """The documents of a group in a fixed order, and which of them take part."""
 
     def __init__(self, docs: pa.Table, copies: set[tuple[int, bytes]]):
-        rows = sorted(
-            zip(docs["doc_id"].to_pylist(), docs["body"].to_pylist(), strict=True), key=lambda r: (r[0] is None, r[0] or 0, r[1])
-        )
+        rows = list(zip(docs["doc_id"].to_pylist(), docs["body"].to_pylist(), strict=True))
+        rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         self.ids = [i for i, _ in rows]
         self.texts = [t for _, t in rows]
-        self.copy = [i is not None and (i, hashlib.md5(t).digest()) in copies for i, t in rows] if copies else [False] * len(rows)
+        self.copy = [bool(copies) and i is not None and (i, hashlib.md5(t).digest()) in copies for i, t in rows]
         self.taking_part = [t if i is not None and not c else b"" for (i, t), c in zip(rows, self.copy, strict=True)]
 
-    def anchors(self, length: int, anchor: int) -> Iterator[tuple[list[int], bytes, np.ndarray, np.ndarray, tuple[np.ndarray, ...]]]:
+    def anchors(self, length: int, anchor: int) -> Iterator[tuple]:
+        """(rows, their texts end to end, ends, starts, anchors) of each chunk."""
         for held, text, ends in _chunks(self.taking_part):
             yield held, text, ends, ends - np.diff(ends, prepend=0), anchors(text, ends, length, anchor)
 
@@ -173,8 +173,8 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-SENT = pa.schema([("bucket", pa.int64()), ("g", pa.int64()), ("kind", pa.int32()), ("data", pa.binary()), ("more", pa.binary())])
 NOTES = pa.schema([("g", pa.int64()), ("kind", pa.int32()), ("data", pa.binary()), ("more", pa.binary())])
+SENT = pa.schema([("bucket", pa.int64()), *NOTES])
 SENT_SQL = "bucket long, g long, kind int, data binary, more binary"
 NOTES_SQL = "g long, kind int, data binary, more binary"
 #: Kinds of rows: ids of copies; shared anchors; contexts; windows; covered spans.
@@ -228,7 +228,9 @@ def _share_anchors(hot: int):
     return share
 
 
-def _send_contexts(length: int, anchor: int, buckets: int):
+def _send_contexts(length: int, anchor: int, buckets: int, wide: bool = False):
+    """``wide``: contexts reach as far as any window with the anchor could, and equal ones are all sent."""
+
     def send(docs: pa.Table, notes: pa.Table) -> pa.Table:
         if not len(docs):
             return _table([], SENT)
@@ -254,7 +256,10 @@ def _send_contexts(length: int, anchor: int, buckets: int):
         rows: list[tuple] = []
         blobs: list[bytes] = []
         for (_, text, ends, starts, (hashes, place, lo, hi)), key, docs_of in zip(parts, keys, owner, strict=True):
-            base = starts[np.searchsorted(ends, lo, side="right")]
+            number = np.searchsorted(ends, lo, side="right")
+            base, past = starts[number], hi + length
+            if wide:
+                lo, past = np.maximum(base, place - (length - anchor)), np.minimum(ends[number], place + length)
             at = np.minimum(np.searchsorted(shared, key), max(len(shared) - 1, 0))
             is_shared = shared[at] == key if len(shared) else np.zeros(len(key), dtype=bool)
             is_hot = is_shared & (hot[at] > 0) if len(shared) else is_shared
@@ -263,7 +268,7 @@ def _send_contexts(length: int, anchor: int, buckets: int):
                 hashes[chosen].tolist(),
                 place[chosen].tolist(),
                 lo[chosen].tolist(),
-                (hi[chosen] + length).tolist(),
+                past[chosen].tolist(),
                 base[chosen].tolist(),
                 docs_of[chosen].tolist(),
                 is_hot[chosen].tolist(),
@@ -272,7 +277,7 @@ def _send_contexts(length: int, anchor: int, buckets: int):
                 context, begin = text[a:z], a - zero
                 # Rows are in order of their ids, so the first has the smallest.
                 own = group.ids[row]
-                if first.setdefault((p - a, context), own) < own:
+                if not wide and first.setdefault((p - a, context), own) < own:
                     covered.append((row, begin, begin + z - a))
                 elif warm:
                     for w in range(len(context) - length + 1):
@@ -317,7 +322,8 @@ def _columns(data: bytes) -> dict[str, np.ndarray]:
 
 def _contexts(rows: pa.Table) -> Iterator[list[tuple]]:
     """The (h, piece, doc, row, lo, left, context) of each anchor that has several."""
-    pieces = [(g, _columns(d), m) for g, k, d, m in zip(*(rows[c].to_pylist() for c in ("g", "kind", "data", "more")), strict=True) if k == CONTEXTS]
+    found = zip(*(rows[c].to_pylist() for c in NOTES.names), strict=True)
+    pieces = [(g, _columns(data), texts) for g, kind, data, texts in found if kind == CONTEXTS]
     if not pieces:
         return
     joined = {c: np.concatenate([p[1][c] for p in pieces]) for c in CONTEXT.names}
@@ -327,7 +333,8 @@ def _contexts(rows: pa.Table) -> Iterator[list[tuple]]:
     order = np.argsort(joined["h"], kind="stable")
     h = joined["h"][order]
     cuts = np.flatnonzero(np.r_[True, h[1:] != h[:-1], True])
-    columns = [x[order].tolist() for x in (piece, joined["doc"], joined["row"], joined["lo"], joined["left"], begin, begin + sizes)]
+    fields = (piece, *(joined[c] for c in ("doc", "row", "lo", "left")), begin, begin + sizes)
+    columns = [x[order].tolist() for x in fields]
     for a, b in zip(cuts, cuts[1:], strict=False):
         if b - a > 1:
             yield [
@@ -365,7 +372,8 @@ def _cover(length: int):
                     for g, doc, row, lo, left, _ in same:
                         if doc > first:
                             spans.setdefault(g, []).append((row, lo + left - before, lo + left + after))
-        held = [(g, np.frombuffer(d, WINDOW)) for g, k, d in zip(*(rows[c].to_pylist() for c in ("g", "kind", "data")), strict=True) if k == WINDOWS]
+        notes = list(zip(*(rows[c].to_pylist() for c in ("g", "kind", "data")), strict=True))
+        held = [(g, np.frombuffer(d, WINDOW)) for g, kind, d in notes if kind == WINDOWS]
         if held:
             every = np.concatenate([w for _, w in held])
             group = np.repeat([g for g, _ in held], [len(w) for _, w in held])
@@ -376,17 +384,14 @@ def _cover(length: int):
                 start = int(every["start"][k])
                 spans.setdefault(int(group[k]), []).append((int(every["row"][k]), start, start + length))
         out = [(g, SPANS, np.array(s, dtype=SPAN).tobytes(), None) for g, s in spans.items()]
-        for g, k, d in zip(*(rows[c].to_pylist() for c in ("g", "kind", "data")), strict=True):
-            if k == SPANS:
-                out.append((g, SPANS, d, None))
+        out += [(g, SPANS, d, None) for g, kind, d in notes if kind == SPANS]
         return _table(out, NOTES)
 
     return cover
 
 
-RESULT = pa.schema(
-    [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())]
-)
+COUNTS = ("doc_id", "n_bytes", "n_removed", "n_spans")
+RESULT = pa.schema([*[(c, pa.int64()) for c in COUNTS], ("kept", pa.binary())])
 
 
 def _remove(length: int, whole: bool):
@@ -414,7 +419,8 @@ def _remove(length: int, whole: bool):
                 at = b
             kept.append(text[at:])
             left = b"".join(kept)
-            rows.append((doc_id, len(text), len(text) - len(left), len(merged), left if whole else hashlib.sha256(left).digest()))
+            kept_form = left if whole else hashlib.sha256(left).digest()
+            rows.append((doc_id, len(text), len(text) - len(left), len(merged), kept_form))
         return _table(rows, RESULT)
 
     return remove
@@ -453,12 +459,12 @@ class Plan:
     def with_notes(self, notes: DataFrame, run, schema: str) -> DataFrame:
         return self.docs.groupBy("g").cogroup(notes.repartition(self.parts, "g").groupBy("g")).applyInArrow(run, schema)
 
-    def sent(self) -> DataFrame:
+    def sent(self, wide: bool = False) -> DataFrame:
         """Contexts, windows and local spans, dealt to buckets."""
         own = self.with_notes(self.copies, _send_anchors(self.length, self.anchor, self.buckets), SENT_SQL)
         shared = own.groupBy("bucket").applyInArrow(_share_anchors(self.hot), NOTES_SQL)
         return self.with_notes(
-            shared.union(self.copies), _send_contexts(self.length, self.anchor, self.buckets), SENT_SQL
+            shared.union(self.copies), _send_contexts(self.length, self.anchor, self.buckets, wide), SENT_SQL
         )
 
     def removed(self, whole: bool) -> DataFrame:
@@ -480,18 +486,23 @@ def remove_repeats(
     return found.withColumn("text", F.col("kept").cast("string")).drop("kept")
 
 
-def removal_digests(docs: DataFrame, hot: int = HOT, group_bytes: int = GROUP_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def removal_digests(
+    docs: DataFrame, hot: int = HOT, group_bytes: int = GROUP_BYTES, bucket_bytes: int = BUCKET_BYTES
+) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
     found = Plan(docs, LENGTH, ANCHOR, group_bytes, bucket_bytes, hot).removed(False)
     return found.withColumn("kept_sha256", F.lower(F.hex("kept"))).drop("kept")
 
 
-def repeat_groups(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def repeat_groups(
+    docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, group_bytes: int = GROUP_BYTES
+) -> DataFrame:
     """anchor, size, members: the maximal repeats around each anchor with all their occurrences.
 
-    A member is (doc_id, start). Repeats end at the anchor's context; a longer one is a chain
-    of groups that overlap. Exact copies are represented by their smallest id, and equal
-    contexts within a group of documents by theirs.
+    A member is (doc_id, start). Repeats end ``length`` bytes from the anchor; a longer one is a
+    chain of groups that overlap. Exact copies are represented by their smallest id. The
+    occurrences of an anchor meet in one task, as its groups list them all; to remove what
+    very many documents share, ``remove_repeats`` has no need of such lists.
     """
     schema = "anchor long, size long, members array<struct<doc_id: long, start: long>>"
     member = pa.list_(pa.struct([("doc_id", pa.int64()), ("start", pa.int64())]))
@@ -503,9 +514,14 @@ def repeat_groups(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, g
             text = contexts[0][5][contexts[0][4] : contexts[0][4] + anchor]
             key = int.from_bytes(hashlib.md5(text).digest()[:8], "little", signed=True)
             for before, after, places in _groups(contexts, length):
+                left, context = places[0][0][4:]
+                string = context[left - before : left + after]
+                # A string is listed at an anchor of its own windows, which all its occurrences have.
+                if before not in anchors(string, np.array([len(string)]), length, anchor)[1]:
+                    continue
                 members = [{"doc_id": c[1], "start": c[3] + c[4] - before} for same in places for c in same]
                 out.append((key, before + after, members))
         return _table(out, out_schema)
 
     plan = Plan(docs, length, anchor, group_bytes, BUCKET_BYTES, 1 << 60)
-    return plan.sent().groupBy("bucket").applyInArrow(listed, schema)
+    return plan.sent(wide=True).groupBy("bucket").applyInArrow(listed, schema)

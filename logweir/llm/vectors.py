@@ -115,8 +115,10 @@ def _packed(kind: str):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [np.array(v.as_py(), dtype=kind) for v in batch["embedding"]]
-            size, data = pa.array([len(x) for x in out], pa.int32()), pa.array([x.tobytes() for x in out], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch["node"], batch["times"], size, data], names=["node", "times", "dim", "vector"])
+            size = pa.array([len(x) for x in out], pa.int32())
+            data = pa.array([x.tobytes() for x in out], pa.binary())
+            columns = [batch["node"], batch["times"], size, data]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "times", "dim", "vector"])
 
     return pack
 
@@ -251,7 +253,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, chunk: int = CHUNK)
     found = materialize(met, "vector-links")
     links = found.groupBy("a").agg(F.sum("links").alias("links"))
     joined = nodes.join(links, F.col("node") == F.col("a"), "left").drop("a")
-    of_node = joined.join(components(found.select("a", "b")).withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
+    reached = components(found.select("a", "b")).withColumnRenamed("node", "of")
+    of_node = joined.join(reached, F.col("node") == F.col("of"), "left")
     of_node = of_node.select(
         F.col("key").alias("of_key"),
         (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"),
