@@ -34,7 +34,7 @@ from logweir.llm.common import materialize, utf8
 
 #: The end of a text; no word has white space.
 END = b"\n"
-HEAD = 2048
+HEAD = 1024
 TAIL = 32
 ENDING = 3
 DICTIONARY = 400_000
@@ -45,6 +45,8 @@ FOLDS, HELD_OUT = 7, 2
 COUNTED_BYTES = 16 << 20
 HELD_BYTES = 4 << 20
 SUMS = 256
+#: Texts of more tokens wait for others as long, so that they step together; and how many wait.
+LONG, HELD_LONG = 1024, 1_500_000
 
 
 @dataclass
@@ -266,6 +268,15 @@ def scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         log_count = np.log10(own.counts + 1.0)
 
         end_log, end_seen = log_count[0], int(own.counts[0] > 0)
+
+        def scored(rows: pa.Table, texts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            score = recurrent.score(own.vocabulary, network, texts) / np.log(10)
+            at = names.index("score")
+            total = pa.array(rows["score"].to_numpy() + score)
+            yield from rows.set_column(at, "score", total).combine_chunks().to_batches()
+
+        waiting: list[pa.Table] = []
+        long_texts: list[np.ndarray] = []
         for part in _parts(batches, HELD_BYTES):
             found = words_of(part["body"])
             slots = own.slots(found.distinct)
@@ -278,25 +289,34 @@ def scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             def by_text(values: np.ndarray, found: Words = found) -> np.ndarray:
                 return np.bincount(found.text, values[found.code], found.texts)
 
-            score = recurrent.score(own.vocabulary, network, own.sequences(found, ids)) / np.log(10)
             seen = by_text((inside & (own.counts[slots] > 0)).astype(float)).astype(np.int64) + end_seen
             at = np.flatnonzero(~inside[found.code])
             pairs, times = np.unique(found.text[at] * len(found.distinct) + found.code[at], return_counts=True)
             of, word = np.divmod(pairs, max(len(found.distinct), 1))
             cuts = np.searchsorted(of, np.arange(found.texts + 1)).astype(np.int32)
             rare = pa.array([found.distinct[w] for w in word.tolist()], pa.binary())
-            yield pa.RecordBatch.from_arrays(
+            rows = pa.Table.from_arrays(
                 [
                     *(part[c] for c in ("row", "doc_id", "held_out")),
                     pa.array(found.lengths + 1),
                     pa.array(seen),
                     pa.array(by_text(log) + end_log),
-                    pa.array(score + by_text(share)),
+                    pa.array(by_text(share)),
                     pa.ListArray.from_arrays(pa.array(cuts), rare),
                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(times)),
                 ],
                 names=names,
             )
+            texts = own.sequences(found, ids)
+            long = found.lengths >= LONG
+            yield from scored(rows.filter(pa.array(~long)), [t for t, x in zip(texts, long.tolist(), strict=True) if not x])
+            waiting.append(rows.filter(pa.array(long)))
+            long_texts += [t for t, x in zip(texts, long.tolist(), strict=True) if x]
+            if sum(map(len, long_texts)) > HELD_LONG:
+                yield from scored(pa.concat_tables(waiting), long_texts)
+                waiting, long_texts = [], []
+        if long_texts:
+            yield from scored(pa.concat_tables(waiting), long_texts)
 
     names = ["row", "doc_id", "held_out", "n_tokens", "seen", "logs", "score", "words", "times"]
     schema = (

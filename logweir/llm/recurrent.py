@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-WIDTH = 64
+WIDTH = 128
 STATE = 16
 INPUT = 12
 LANES = 384

@@ -65,7 +65,7 @@ def test_without_training_texts_or_rows(spark):
 
 @pytest.fixture
 def network():
-    vocabulary = recurrent.Vocabulary(70, 3)
+    vocabulary = recurrent.Vocabulary(150, 3)
     rng = np.random.default_rng(4)
     weights = recurrent.initial(vocabulary, rng.integers(1, 50, vocabulary.size).astype(float))
     weights = {k: (v + rng.normal(0, 0.3, v.shape)).astype(np.float64) for k, v in weights.items()}
