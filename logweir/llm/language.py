@@ -25,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +42,7 @@ ROUNDS = 3
 RATE = 0.01
 FOLDS, HELD_OUT = 7, 2
 #: Bytes of text that a task counts, and that it looks up at once; groups that sum weights.
-COUNTED_BYTES = 16 << 20
+COUNTED_BYTES = 12 << 20
 HELD_BYTES = 4 << 20
 SUMS = 256
 #: Texts of more tokens wait for others as long, so that they step together; and how many wait.
@@ -201,14 +201,11 @@ def lexicon(counts: DataFrame) -> tuple[Lexicon, int]:
     return made, least
 
 
-def learn(texts: DataFrame, known: Lexicon, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
-    """Weights learnt on ``texts`` (body, round)."""
-    spark = texts.sparkSession
+def learn(texts: DataFrame, known: Lexicon, shared: Broadcast, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """Weights learnt on ``texts`` (body, round); ``shared`` is the broadcast of ``known``."""
     head = known.vocabulary.head
     start = np.concatenate([np.maximum(known.counts[:head], 1), known.class_sizes])
     weights = recurrent.initial(known.vocabulary, start)
-    shared = spark.sparkContext.broadcast(known)
-
     for turn in range(rounds):
         rate = RATE / (1 + turn)
 
@@ -257,13 +254,14 @@ def scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     training = rows.where("not held_out")
     counts = materialize(word_counts(training.select("body")), "word-counts")
     known, least = lexicon(counts)
-    weights = learn(training.select("body", "round"), known, rounds)
-    shared = spark.sparkContext.broadcast((known, weights))
+    shared = spark.sparkContext.broadcast(known)
+    weights = learn(training.select("body", "round"), known, shared, rounds)
+    learnt = spark.sparkContext.broadcast(weights)
     n, v = known.n, known.v
     log_base, log_z = np.log10(n + v + 1.0), np.log10(known.class_sizes)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, network = shared.value
+        own, network = shared.value, learnt.value
         head = own.vocabulary.head
         log_count = np.log10(own.counts + 1.0)
 
