@@ -505,7 +505,7 @@ def stream_records(spark, sf):
     """Metrics and alerts of closed windows as the pipeline publishes them."""
     folder = work_folder(spark, "stream-records")
     pipeline(spark, sf, folder)
-    rows = spark.read.option("basePath", f"{folder}/records").parquet(f"{folder}/records")
+    rows = spark.read.schema("topic string, key string, value string").parquet(f"{folder}/records")
     read = [
         read_records(rows.filter(F.col("topic") == topic), schema)
         for topic, schema in (
