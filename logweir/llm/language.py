@@ -34,7 +34,7 @@ from logweir.llm.common import materialize, utf8
 
 #: The end of a text; no word has white space.
 END = b"\n"
-HEAD = 1024
+HEAD = 2048
 TAIL = 32
 ENDING = 3
 DICTIONARY = 400_000

@@ -7,7 +7,9 @@ adds the word's share of its class from corpus counts. Biases start at the count
 untrained network is the unigram model.
 
 Texts lie one behind the other in lanes that step together. The state is carried from window
-to window and set to zero where a text begins; gradients stop at a window's start.
+to window and set to zero where a text begins; gradients stop at a window's start. To learn, a
+long text is cut into pieces for several lanes; each piece goes on from the word and the state
+before it, which a pass over the text with the weights at hand has found.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ STATE = 16
 INPUT = 12
 LANES = 384
 WINDOW = 16
-#: Longest piece of a text that is learnt from one zero state; scores never cut a text.
+#: Longest piece of a text that is learnt in one lane; scores never cut a text.
 PIECE = 1024
 #: Ids that a worker packs into lanes at once to learn.
 HELD_LEARN = 400_000
@@ -98,6 +100,26 @@ def lanes_of(texts: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarra
     return target.T.copy(), previous.T.copy(), text.T.copy(), begin.T.copy()
 
 
+def pieces_of(weights: dict[str, np.ndarray], texts: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Pieces of the texts, and of each the id and the state before it; first pieces have zeros."""
+    texts = sorted(texts, key=len, reverse=True)
+    gates = weights["emb"] @ weights["in"] + weights["in_bias"]
+    pieces = [t[:PIECE] for t in texts]
+    before = [np.zeros(len(texts), dtype=np.int32)]
+    states = [np.zeros((len(texts), STATE), dtype=np.float32)]
+    at = PIECE
+    while live := sum(len(t) > at for t in texts):
+        whole = np.stack([t[at - PIECE : at] for t in texts[:live]])
+        inputs, h = np.column_stack([before[-1][:live], whole[:, :-1]]), states[-1][:live]
+        for k in range(PIECE):
+            h = _step(gates[inputs[:, k]], h @ weights["rec"], h)[2]
+        pieces += [t[at : at + PIECE] for t in texts[:live]]
+        before.append(whole[:, -1])
+        states.append(h)
+        at += PIECE
+    return pieces, np.concatenate(before), np.concatenate(states)
+
+
 def _picked(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log softmax at one column of each row; biases keep the logits small."""
     chosen = logits[np.arange(len(at)), at].copy()
@@ -166,15 +188,28 @@ def score(vocabulary: Vocabulary, weights: dict[str, np.ndarray], texts: list[np
 
 
 def _gradient(
-    vocabulary: Vocabulary, w: dict[str, np.ndarray], t: np.ndarray, p: np.ndarray, b: np.ndarray, h: np.ndarray
+    vocabulary: Vocabulary,
+    w: dict[str, np.ndarray],
+    t: np.ndarray,
+    p: np.ndarray,
+    b: np.ndarray,
+    h: np.ndarray,
+    first_states: np.ndarray | None = None,
 ) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """Mean gradient of the window's log loss, and the state at its end."""
+    """Mean gradient of the window's log loss, and the state at its end.
+
+    ``first_states`` are the states where ``b`` marks a beginning, row by row; zeros without.
+    """
+    used = 0
     emb = w["emb"][p]
     a = emb @ w["in"] + w["in_bias"]
     kept = []
     states = np.empty((*t.shape, STATE), dtype=np.float32)
     for k in range(len(t)):
         h = h * ~b[k][:, None]
+        if first_states is not None and (n := int(b[k].sum())):
+            h[b[k]] = first_states[used : used + n]
+            used += n
         g = h @ w["rec"]
         zr, n, new = _step(a[k], g, h)
         kept.append((h, g, zr, n))
@@ -243,8 +278,7 @@ class Learner:
             self.weights[k] -= np.float32(rate / fix1) * self.first[k] / spread
 
     def take(self, texts: list[np.ndarray]) -> None:
-        for text in texts:
-            self.held += [text[at : at + PIECE] for at in range(0, len(text), PIECE)]
+        self.held += texts
         if sum(map(len, self.held)) >= HELD_LEARN:
             self.finish()
 
@@ -253,15 +287,16 @@ class Learner:
             self._learn(self.held)
             self.held = []
 
-    def _learn(self, pieces: list[np.ndarray]) -> None:
-        target, previous, _, begin = lanes_of(pieces, LANES)
+    def _learn(self, texts: list[np.ndarray]) -> None:
+        pieces, before, states = pieces_of(self.weights, texts)
+        target, previous, piece, begin = lanes_of(pieces, LANES)
+        previous[begin] = before[piece[begin]]
         h = np.zeros((target.shape[1], STATE), dtype=np.float32)
         for start in range(0, len(target), WINDOW):
             part = slice(start, start + WINDOW)
             live = int((target[start] >= 0).sum())
-            grad, h = _gradient(
-                self.vocabulary, self.weights, target[part, :live], previous[part, :live], begin[part, :live], h[:live]
-            )
+            t, p, x, b = (m[part, :live] for m in (target, previous, piece, begin))
+            grad, h = _gradient(self.vocabulary, self.weights, t, p, b, h[:live], states[x[b]])
             self._move(grad)
         self.learnt += sum(map(len, pieces))
 

@@ -122,3 +122,24 @@ def test_gradient_is_the_numeric_one(network):
             high = loss(moved)
             moved[name][at] -= 2e-2
             assert grad[name][at] == pytest.approx((high - loss(moved)) / 2e-2, abs=3e-4)
+
+
+def test_long_texts_are_learnt_with_the_state_before_each_piece(network, monkeypatch):
+    """Gradients of the output layer do not tell whether texts were cut."""
+    vocabulary, weights, texts = network
+    found = []
+    monkeypatch.setattr(recurrent.Learner, "_move", lambda self, grad: found.append(grad))
+    for piece in (recurrent.PIECE, 4):
+        monkeypatch.setattr(recurrent, "PIECE", piece)
+        learner = recurrent.Learner(vocabulary, weights, 0.01)
+        learner.take(texts)
+        learner.finish()
+        assert learner.learnt == sum(map(len, texts))
+    whole, cut = found
+    for name in ("cls", "cls_bias", "word", "word_bias"):
+        assert cut[name] == pytest.approx(whole[name], abs=1e-6)
+
+
+def test_the_network_tells_2048_words_apart(spark):
+    counts = spark.createDataFrame([(f"w{i}".encode(), 1) for i in range(3000)], "word binary, n long")
+    assert language.lexicon(counts)[0].vocabulary.head == 2048
