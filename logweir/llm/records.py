@@ -23,6 +23,7 @@ of their texts; a null id comes first; an empty table gives no rows; other colum
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -69,7 +70,7 @@ class Encoder:
     letter with the marks that end its word. So the ids of a text are those of its first word
     and of each word after it with what stands before, and a marked word's are its stem's and
     its marks'. Each distinct word is encoded once and remembered, up to a bound. Texts with
-    other white space are encoded whole.
+    other white space, or with an added token such as an end mark, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -77,7 +78,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
         self.wide = max(vocabulary.values()) >= 1 << 16
         self.kind = np.dtype("<u4" if self.wide else "<u2")
@@ -85,6 +85,10 @@ class Encoder:
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
         for token, i in vocabulary.items():
             self.bytes_of[i] = len(token)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.whole = "|".join([ODD_SPACE, *map(re.escape, added)])
+        # Words are encoded next to each other, which must not make up an added token.
+        self.joined = 1 if any(c.isspace() for t in added for c in t) else JOINED
         self._forget()
 
     def _forget(self) -> None:
@@ -98,7 +102,8 @@ class Encoder:
 
     def _learn(self, words: list[str]) -> None:
         """Encode words as they stand in a text: behind a space, or from a line feed on."""
-        groups = [[w if w[:1] == "\n" else " " + w for w in words[i : i + JOINED]] for i in range(0, len(words), JOINED)]
+        size = self.joined
+        groups = [[w if w[:1] == "\n" else " " + w for w in words[i : i + size]] for i in range(0, len(words), size)]
         encoded = self._encode(["".join(g) for g in groups])
         counts = []
         for group, ids in zip(groups, encoded, strict=True):
@@ -159,7 +164,7 @@ class Encoder:
         return np.split(ids, ends[first[1:] - 1])
 
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
-        odd = pc.match_substring_regex(texts, ODD_SPACE)
+        odd = pc.match_substring_regex(texts, self.whole)
         out: list[np.ndarray] = [None] * len(texts)
         for part, encode in ((pc.invert(odd), self._clean), (odd, lambda x: self._encode(x.to_pylist()))):
             at = np.flatnonzero(part.to_numpy(zero_copy_only=False))

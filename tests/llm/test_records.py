@@ -55,6 +55,16 @@ def test_encoder_equals_the_tokenizer(encoder, spark, sf):
         records.KNOWN = known
 
 
+def test_added_tokens_are_encoded_as_the_file_says(encoder):
+    from tokenizers import Tokenizer
+
+    texts = ["a<|endoftext|>b", "a <|endoftext|> b", "<|endoftext|>", "a <|endof text|> b", "a b", "a b.<|endoftext|>", *ODD]
+    own = Tokenizer.from_file(tokenizer_path())
+    want = [x.ids for x in own.encode_batch(texts, add_special_tokens=False)]
+    assert want[0] == [64, 50256, 65]
+    assert [x.tolist() for x in encoder(pa.array(texts))] == want
+
+
 def test_frame_and_damage():
     data = records.frame(5, b"\x01\x00\x02\x00", False) + records.frame(None, b"\x01\x00\x01\x00", True)
     found = list(records.records(data))
