@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweir.settings import configure, materialize, work_folder
 
-__all__ = ["materialize", "own_columns", "prepare", "table", "utf8", "work_folder"]
+__all__ = ["flat_bytes", "materialize", "own_columns", "pieces", "prepare", "table", "utf8", "work_folder"]
 
 #: Rows of an Arrow batch: with texts of a megabyte a batch stays within a worker's memory.
 BATCH_ROWS = 500
@@ -55,3 +59,26 @@ def own_columns(df: DataFrame, made: list[str]) -> list[str]:
     """The caller's columns except those that the operator makes anew."""
     taken = {c.lower() for c in made}
     return [c for c in df.columns if c.lower() not in taken]
+
+
+def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that the binary ``column`` holds at most ``most`` bytes, or one row.
+
+    Nulls are not allowed in the column; empty batches are left out.
+    """
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch[column]).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < len(ends):
+            before = int(ends[start - 1]) if start else 0
+            stop = max(int(np.searchsorted(ends, before + most, side="right")), start + 1)
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
+def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of a binary array without nulls; views, the first offset is 0."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return whole[offsets[0] : offsets[-1]], offsets.astype(np.int64) - int(offsets[0])

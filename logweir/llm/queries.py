@@ -7,7 +7,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logweir.llm import decontaminate, extract, language, lines, mixing, quality, records, repeats, simhash, vectors
+from logweir.llm import (
+    decontaminate,
+    extract,
+    infill,
+    language,
+    lines,
+    mixing,
+    quality,
+    records,
+    repeats,
+    simhash,
+    vectors,
+)
 from logweir.llm.common import table
 
 #: Environment variable with a tokenizers file; else the public package's file is taken.
@@ -63,6 +75,10 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.token_records(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(table(spark, sf_dir, "documents"))
+
+
 OPERATORS = (
     op1_quality,
     op2_extract,
@@ -74,6 +90,7 @@ OPERATORS = (
     op8_simhash,
     op9_vectors,
     op10_token_records,
+    op13_infill,
 )
 
 
@@ -82,4 +99,4 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_catalog() -> dict[str, str]:
-    return {"op7_lines": lines.SQL}
+    return {"op7_lines": lines.SQL, "op13_infill": infill.SQL}
