@@ -14,6 +14,7 @@ from logweir.llm import (
     language,
     lines,
     mixing,
+    periodic,
     quality,
     records,
     repeats,
@@ -75,6 +76,10 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.token_records(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.with_planted_runs(table(spark, sf_dir, "documents")))
+
+
 def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digests(table(spark, sf_dir, "documents"))
 
@@ -90,6 +95,7 @@ OPERATORS = (
     op8_simhash,
     op9_vectors,
     op10_token_records,
+    op12_periodic,
     op13_infill,
 )
 
