@@ -20,19 +20,25 @@ from logweir.llm import (
     repeats,
     simhash,
     vectors,
+    wordbpe,
 )
 from logweir.llm.common import table
 
-#: Environment variable with a tokenizers file; else the public package's file is taken.
+#: Environment variables with a tokenizers file; else the public package's file is taken.
 TOKENIZER = "LOGWEIR_TOKENIZER"
+WORD_TOKENIZER = "LOGWEIR_WORD_TOKENIZER"
 
 
-def tokenizer_path() -> str:
-    if TOKENIZER in os.environ:
-        return os.environ[TOKENIZER]
+def tokenizer_path(variable: str = TOKENIZER, name: str = "byte_bpe_50k.json") -> str:
+    if variable in os.environ:
+        return os.environ[variable]
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
+
+
+def word_tokenizer_path() -> str:
+    return tokenizer_path(WORD_TOKENIZER, "word_bpe_49k.json")
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +82,10 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.token_records(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordbpe.digests(table(spark, sf_dir, "documents"), word_tokenizer_path())
+
+
 def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(periodic.with_planted_runs(table(spark, sf_dir, "documents")))
 
@@ -95,6 +105,7 @@ OPERATORS = (
     op8_simhash,
     op9_vectors,
     op10_token_records,
+    op11_transducer,
     op12_periodic,
     op13_infill,
 )
