@@ -20,6 +20,8 @@ CHANNELS = {
     "CRITICAL": ("log", "email", "slack", "sms", "autoscale"),
 }
 DEFAULT_CHANNELS = ("log",)
+# What a stored verdict does to the alert of its window.
+RAISE, CHANGE, CLEAR = "raise", "change", "clear"
 
 
 def alert_id(*keys: Column) -> Column:

@@ -409,9 +409,9 @@ def pii_flags(spark, sf):
 
 
 def replays(spark: SparkSession, sf: str, folder: str, late: bool = False) -> Iterator[DataFrame]:
-    """The queue as a file stream that grows: each step adds a file in time order.
+    """The queue as a file stream that grows: each step adds files in time order.
 
-    With ``late`` some events come with the last file, whatever their time. The steps are runs
+    With ``late`` some events come with the last step, whatever their time. The steps are runs
     of their own, so the queries that read the stream stop and start again between them.
     """
     sent = materialize(queue(raw_logs(spark, sf)).drop("headers"), "queue")
@@ -419,10 +419,14 @@ def replays(spark: SparkSession, sf: str, folder: str, late: bool = False) -> It
     part = F.expr(f"event_id * {REPLAYS} div {last + 1}")
     if late:
         part = F.when(F.col("event_id") % LATE_EVERY == LATE_EVENT, REPLAYS - 1).otherwise(part)
+    known = 0
     for n in range(REPLAYS):
         step = sent.filter(part == n).drop("event_id").withColumn("value", F.col("value").cast("string"))
-        step.coalesce(1).write.mode("append").parquet(folder)
-        yield file_queue.file_stream(spark, folder, 1)
+        step.write.mode("append").parquet(folder)
+        files = len(file_queue.file_batch(spark, folder).inputFiles())
+        # The files of a step are a batch.
+        yield file_queue.file_stream(spark, folder, max(files - known, 1))
+        known = files
 
 
 def stored_metrics(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -77,3 +77,21 @@ QUEUE = T.StructType(
 
 RAW_FIELDS = tuple(RAW.fieldNames())
 LOG_FIELDS = tuple(LOG.fieldNames())
+
+
+# ---- stores of the streams
+
+#: The actions of alerts as stored, and those of the simple variant.
+ACTIONS = "alert_id string, action string, run string, batch_id bigint"
+#: The verdicts of the alert store.
+ALERTS = (
+    "window_start timestamp, window_end timestamp, source_ip string, traffic_direction string, severity string, "
+    "log_count bigint, failure_rate double, avg_response_time double, total_bytes_sent bigint, "
+    "unique_destinations bigint, unique_ports bigint, anomaly_score double, anomaly_level string, "
+    "detected_at timestamp, high_volume_anomaly boolean, high_latency_anomaly boolean, "
+    "high_failure_rate_anomaly boolean, data_exfiltration_anomaly boolean, port_scanning_anomaly boolean, "
+    "high_risk_anomaly boolean, alert_id string, alert_message string, is_anomaly boolean, transition string, "
+    "written_at timestamp, run string, batch_id bigint, day date"
+)
+#: Alerts that are raised in windows still open; ``latest`` is the start of the latest window seen.
+OPEN_ALERTS = "alert_id string, window_end timestamp, latest timestamp, batch bigint"

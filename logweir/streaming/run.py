@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import time
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -74,7 +75,9 @@ def start_streams(
     else:
         found = verdict_stream(logs, spec, thresholds, alert_mode, now, approximate)
         writers = [
-            sinks.alerts_sink(found, output, f"{checkpoint}/alerts", alert_mode, available_now, f"{name}alerts")
+            sinks.alerts_sink(
+                found, output, f"{checkpoint}/alerts", alert_mode, available_now, f"{name}alerts", spec.watermark
+            )
         ]
         if store_metrics:
             measured = M.log_metrics(logs, spec, thresholds, "append", approximate)
@@ -115,7 +118,7 @@ def start_simple_stream(
     ).start()
 
 
-def wait(queries: Iterable[StreamingQuery], counters: sinks.CounterTable | None = None) -> None:
+def wait(queries: Sequence[StreamingQuery], counters: sinks.CounterTable | None = None) -> None:
     """Until all queries have ended; the first failure of any of them is raised at once.
 
     ``counters`` are flushed about once a minute.
@@ -131,6 +134,33 @@ def wait(queries: Iterable[StreamingQuery], counters: sinks.CounterTable | None
             counters.flush()
 
 
-def stop(queries: Iterable[StreamingQuery]) -> None:
+def stop(queries: Sequence[StreamingQuery]) -> None:
+    """At once: a batch in flight is broken off and done again after a restart."""
     for query in queries:
         query.stop()
+
+
+def drain(queries: Sequence[StreamingQuery], seconds: float = 600.0) -> None:
+    """Let every query end the batch in flight, with its commit, and stop it before the next.
+
+    A query that writes by a batch function refuses its next batch, however closely batches
+    follow each other; any query is stopped when no batch is running. What is not done within
+    ``seconds`` is stopped at once. The batch that was refused is the first after a restart.
+    """
+    waiting = list(queries)
+    end = time.monotonic() + seconds
+    sinks.draining.update(q.id for q in waiting)
+    try:
+        while waiting and time.monotonic() < end:
+            for query in list(waiting):
+                if not query.isActive:
+                    waiting.remove(query)
+                    failure = query.exception()
+                    if failure is not None and sinks.Drained.__name__ not in str(failure):
+                        raise failure
+                elif not query.status["isTriggerActive"]:
+                    query.stop()
+            time.sleep(0.05)
+        stop(waiting)
+    finally:
+        sinks.draining.difference_update(q.id for q in queries)

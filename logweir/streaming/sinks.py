@@ -6,6 +6,7 @@ import time
 from collections import deque
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
@@ -13,6 +14,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 from logweir.operators import alerts as A
 from logweir.operators import records as R
 from logweir.operators.quality import PARTITIONS, with_partitions
+from logweir.schema import ACTIONS, ALERTS, OPEN_ALERTS
+from logweir.settings import WindowSpec
 
 # Trigger intervals.
 ALERT_TRIGGER = "30 seconds"
@@ -28,11 +31,33 @@ def triggered(writer: DataStreamWriter, interval: str, available_now: bool) -> D
 Writer = Callable[[DataFrame, int], None]
 
 
+class Drained(Exception):
+    """Ends a query that is to stop before it begins another batch."""
+
+
+#: Ids of queries that end before their next batch (see ``run.drain``).
+draining: set[str] = set()
+
+
+def _query_id(batch: DataFrame) -> str | None:
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def _drained(write: Writer) -> Writer:
+    """A batch in flight is written to its end; the next one writes nothing and stays to be done."""
+
+    def unless_draining(batch: DataFrame, batch_id: int) -> None:
+        if _query_id(batch) in draining:
+            raise Drained(f"stopped before batch {batch_id}")
+        write(batch, batch_id)
+
+    return unless_draining
+
+
 def _place(batch: DataFrame, batch_id: int) -> str:
     """A batch's folder. The query's id lies in the checkpoint: it is the same after a restart
     and another one with a new checkpoint, whose batch numbers begin anew."""
-    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
-    return f"run={query}/batch_id={batch_id}"
+    return f"run={_query_id(batch) or 'batch'}/batch_id={batch_id}"
 
 
 def _store(batch: DataFrame, folder: str, batch_id: int, day: Column | None = None) -> DataFrame:
@@ -45,26 +70,91 @@ def _store(batch: DataFrame, folder: str, batch_id: int, day: Column | None = No
     return batch.sparkSession.read.schema(batch.schema).parquet(path)
 
 
-def alert_writer(path: str, act: Callable[[DataFrame], DataFrame] = A.actions) -> Writer:
+def _read(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """A store's rows; before its first file, no rows of the given schema."""
+    try:
+        return spark.read.option("basePath", folder).parquet(folder)
+    except AnalysisException as missing:
+        if missing.getCondition() not in {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}:
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _slot(batch: DataFrame, path: str, batch_id: int) -> str:
+    """Where a batch leaves the open alerts: two places in turn, so the one before stays until
+    the batch is done."""
+    return f"{path}/open/{_place(batch, batch_id % 2).replace('batch_id', 'slot')}"
+
+
+def _open_before(batch: DataFrame, path: str, batch_id: int) -> DataFrame:
+    spark = batch.sparkSession
+    if batch_id == 0:
+        return spark.createDataFrame([], OPEN_ALERTS)
+    return _read(spark, _slot(batch, path, batch_id - 1), OPEN_ALERTS).filter(F.col("batch") == batch_id - 1)
+
+
+def transitions(verdicts: DataFrame, opened: DataFrame) -> DataFrame:
+    """Verdicts that raise, change or clear an alert, with their ``transition``.
+
+    ``opened`` has the ``alert_id`` of every alert raised so far. A cleared alert keeps its id
+    and the start of its window; a window that was normal and stays so has no row.
+    """
+    raised = opened.select(F.col("alert_id").alias("__id"), F.lit(True).alias("__raised"))
+    met = verdicts.join(raised, F.col("alert_id") == F.col("__id"), "left").drop("__id")
+    kind = (
+        F.when(~F.col("is_anomaly"), A.CLEAR).when(F.col("__raised").isNull(), A.RAISE).otherwise(A.CHANGE)
+    )
+    kept = met.filter(F.col("is_anomaly") | F.col("__raised")).withColumn("transition", kind).drop("__raised")
+    keys = ("alert_id", "is_anomaly", "transition", A.WINDOW_START)
+    return kept.withColumns({c: F.when(F.col("is_anomaly"), F.col(c)) for c in kept.columns if c not in keys})
+
+
+def alert_writer(
+    path: str,
+    act: Callable[[DataFrame], DataFrame] = A.actions,
+    mode: str = "append",
+    lateness: int = WindowSpec().watermark,
+) -> Writer:
     """A batch function for verdicts and the actions of those that are alerts.
 
-    A window that is no longer anomalous is stored as well, by id alone, so that its alert
-    ends. Rows carry the time they were written, which orders them across checkpoints.
-    Actions are made from the stored rows: the stream's plan runs once per batch, and no
-    row passes the driver.
+    In append mode every window comes once, so its alerts are stored as raised. In update mode
+    the alerts raised in windows that are still open are kept beside the store, one small row
+    each, and a verdict is stored only if it raises, changes or clears one; windows that never
+    were anomalous leave nothing. An open alert goes when ``lateness`` seconds have passed its
+    window, by the latest window seen: Spark's watermark lets no later row into it.
+
+    Rows carry the time they were written, which orders them across checkpoints. Actions are
+    made from the stored rows: the stream's plan runs once per batch, and no row passes the
+    driver. A batch that is run again reads what the batch before it left and replaces its own.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        keys = ("alert_id", "is_anomaly", A.WINDOW_START)
-        if "is_anomaly" in batch.columns:
-            rows = batch.withColumns(
-                {c: F.when(F.col("is_anomaly"), F.col(c)) for c in batch.columns if c not in keys}
-            )
-        else:
-            rows = batch.withColumn("is_anomaly", F.lit(True))
         start = F.col(A.WINDOW_START) if A.WINDOW_START in batch.columns else F.col("window.start")
-        stored = _store(rows.withColumn("written_at", F.current_timestamp()), f"{path}/alerts", batch_id, start)
-        _store(act(A.raised(stored)), f"{path}/actions", batch_id)
+        if mode == "append":
+            rows = batch.filter("is_anomaly") if "is_anomaly" in batch.columns else batch
+            _stored(rows.withColumns({"is_anomaly": F.lit(True), "transition": F.lit(A.RAISE)}), start, batch_id)
+            return
+        verdicts = batch.persist()
+        try:
+            opened = _open_before(batch, path, batch_id)
+            stored = _stored(transitions(verdicts, opened), start, batch_id)
+            latest = verdicts.agg(F.max(A.WINDOW_START).alias("latest"))
+            latest = F.lit(latest.first()["latest"]).cast("timestamp")
+            left = opened.join(stored.select("alert_id"), "alert_id", "left_anti").drop("batch")
+            made = stored.filter("is_anomaly").select("alert_id", A.WINDOW_END, latest.alias("latest"))
+            still = left.unionByName(made).withColumns(
+                {"latest": F.greatest("latest", latest), "batch": F.lit(batch_id).cast("bigint")}
+            )
+            closed = F.col(A.WINDOW_END) <= F.col("latest") - F.make_dt_interval(secs=F.lit(lateness))
+            still.filter(~closed).hint("rebalance").write.mode("overwrite").parquet(_slot(batch, path, batch_id))
+        finally:
+            verdicts.unpersist()
+
+    def _stored(rows: DataFrame, start: Column, batch_id: int) -> DataFrame:
+        timed = rows.withColumn("written_at", F.current_timestamp())
+        stored = _store(timed, f"{path}/alerts", batch_id, start)
+        _store(act(A.raised(stored).drop("transition")), f"{path}/actions", batch_id)
+        return stored
 
     return write
 
@@ -98,20 +188,26 @@ def metrics_and_alerts_writer(
 
 
 def stored_alerts(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
-    """Every emitted verdict with its batch; ``since`` a time leaves out older days unread."""
-    rows = spark.read.option("basePath", f"{path}/alerts").parquet(f"{path}/alerts")
+    """Every stored verdict with its batch; ``since`` a time leaves out older days unread."""
+    rows = _read(spark, f"{path}/alerts", ALERTS)
     return rows if since is None else rows.filter(F.col("day") >= F.to_date(since))
 
 
 def latest_alerts(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
     """The alerts that hold: the last verdict of each window, if it is one of anomaly."""
-    return A.latest(stored_alerts(spark, path, since))
+    return A.latest(stored_alerts(spark, path, since)).drop("transition")
+
+
+def open_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """The alerts raised in windows that are still open, as the last batch of each run left them."""
+    rows = _read(spark, f"{path}/open", f"{OPEN_ALERTS}, run string, slot int")
+    last = rows.groupBy("run").agg(F.max("batch").alias("batch"))
+    return rows.join(last, ["run", "batch"], "left_semi").select("run", "alert_id", A.WINDOW_END)
 
 
 def stored_actions(spark: SparkSession, path: str) -> DataFrame:
     """Each action of an alert once, however often its window was emitted."""
-    rows = spark.read.option("basePath", f"{path}/actions").parquet(f"{path}/actions")
-    return rows.drop("run", "batch_id").distinct()
+    return _read(spark, f"{path}/actions", ACTIONS).drop("run", "batch_id").distinct()
 
 
 def alerts_sink(
@@ -121,8 +217,10 @@ def alerts_sink(
     mode: str = "update",
     available_now: bool = False,
     name: str = "alerts",
+    lateness: int = WindowSpec().watermark,
 ) -> DataStreamWriter:
-    return batch_sink(verdicts, alert_writer(path), checkpoint, name, mode, available_now=available_now)
+    write = alert_writer(path, mode=mode, lateness=lateness)
+    return batch_sink(verdicts, write, checkpoint, name, mode, available_now=available_now)
 
 
 def batch_sink(
@@ -134,7 +232,7 @@ def batch_sink(
     interval: str = ALERT_TRIGGER,
     available_now: bool = False,
 ) -> DataStreamWriter:
-    writer = df.writeStream.queryName(name).outputMode(mode).foreachBatch(write)
+    writer = df.writeStream.queryName(name).outputMode(mode).foreachBatch(_drained(write))
     return triggered(writer.option("checkpointLocation", checkpoint), interval, available_now)
 
 

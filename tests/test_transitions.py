@@ -1,0 +1,189 @@
+"""The alert store: raise, change and clear only, open alerts that end, empty stores, draining."""
+
+import os
+import threading
+import time
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from logweir.operators import alerts as A
+from logweir.operators import records
+from logweir.sources import queue
+from logweir.streaming import run, sinks
+from tests.test_streaming import DAY, add_file, alert_run, files, queue_of, scan_rows  # noqa: F401
+
+
+def sent(spark, n, status, size, first=0, minute=0):
+    """Successes or failures of one source in one minute, each of ``size`` bytes."""
+    times = [DAY + timedelta(minutes=minute, seconds=i % 60) for i in range(n)]
+    rows = queue_of(spark, [(t, "a", 80, status) for t in times])
+    value = F.regexp_replace("value", '"bytes_sent": 1,', f'"bytes_sent": {size},')
+    return rows.withColumn("value", value).withColumn("offset", F.col("offset") + first)
+
+
+def kinds(store):
+    return sorted((r["transition"], r["count"]) for r in store.groupBy("transition").count().collect())
+
+
+def test_only_what_changes_an_alert_is_stored(spark, tmp_path):
+    """Raised, changed, cleared, raised again; a normal source leaves no row."""
+    folder, out, cp = (str(tmp_path / x) for x in ("q", "out", "cp"))
+    normal = queue_of(spark, [(DAY + timedelta(seconds=i), "calm", 1, "OK") for i in range(50)])
+    steps = [
+        sent(spark, 10, "FAILED", 2_000_000).union(normal),
+        sent(spark, 10, "FAILED", 1, 10),
+        sent(spark, 900, "OK", 1, 20),
+        sent(spark, 900, "FAILED", 1, 920),
+    ]
+    wanted = [{"raise": 5}, {"change": 5}, {"clear": 5}, {"raise": 5}]
+    for n, (step, want) in enumerate(zip(steps, wanted, strict=True)):
+        add_file(folder, n, step)
+        alert_run(spark, folder, out, cp)
+        rows = sinks.stored_alerts(spark, out).filter(F.col("written_at") > F.lit(DAY))
+        assert rows.count() == 5 * (n + 1)
+        last = rows.groupBy().agg(F.max("batch_id")).first()[0]
+        assert dict(kinds(rows.filter(F.col("batch_id") == last))) == want
+        held = 0 if "clear" in want else 5
+        assert sinks.latest_alerts(spark, out).count() == held
+        assert sinks.open_alerts(spark, out).count() == held
+    cleared = sinks.stored_alerts(spark, out).filter(F.col("transition") == A.CLEAR)
+    assert cleared.filter(F.col("source_ip").isNotNull() | F.col("anomaly_score").isNotNull()).count() == 0
+    assert cleared.filter(F.col("window_start").isNull() | F.col("day").isNull()).count() == 0
+
+
+def test_open_alerts_end_with_their_window(spark, tmp_path):
+    """Minute 0 raises five windows; each later minute closes those that end before the watermark."""
+    folder, out, cp = (str(tmp_path / x) for x in ("q", "out", "cp"))
+    add_file(folder, 0, queue_of(spark, scan_rows(0, 1100)))
+    alert_run(spark, folder, out, cp)
+    assert sinks.open_alerts(spark, out).count() == 5
+    # The latest window starts at minute 5: those that end by minute 3 are closed.
+    add_file(folder, 1, queue_of(spark, [(DAY + timedelta(minutes=5, seconds=1), "calm", 1, "OK")]))
+    alert_run(spark, folder, out, cp)
+    ends = sorted(r["window_end"] for r in sinks.open_alerts(spark, out).collect())
+    assert [e.minute for e in ends] == [4, 5]
+    add_file(folder, 2, queue_of(spark, [(DAY + timedelta(hours=1), "calm", 1, "OK")]))
+    alert_run(spark, folder, out, cp)
+    assert sinks.open_alerts(spark, out).count() == 0
+    # Closed alerts hold; their windows change no more.
+    assert sinks.latest_alerts(spark, out).count() == 5
+    assert kinds(sinks.stored_alerts(spark, out)) == [("raise", 5)]
+
+
+def test_a_repeated_batch_reads_what_the_one_before_left(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write = sinks.alert_writer(out, mode="update")
+    schema = "alert_id string, window_start timestamp, window_end timestamp, log_count bigint, anomaly_level string, is_anomaly boolean"
+
+    def batch(*rows):
+        end = DAY + timedelta(minutes=5)
+        return spark.createDataFrame([(i, DAY, end, n, "HIGH", bad) for i, n, bad in rows], schema)
+
+    write(batch(("a", 1, True), ("b", 1, False), ("c", 1, True)), 0)
+    for _ in range(3):
+        write(batch(("a", 2, False), ("b", 2, True), ("c", 2, True), ("d", 2, False)), 1)
+        rows = sinks.stored_alerts(spark, out).filter("batch_id = 1").collect()
+        assert sorted((r["alert_id"], r["transition"]) for r in rows) == [("a", "clear"), ("b", "raise"), ("c", "change")]
+    assert sorted(r["alert_id"] for r in sinks.open_alerts(spark, out).collect()) == ["b", "c"]
+    write(batch(), 2)
+    assert sorted(r["alert_id"] for r in sinks.open_alerts(spark, out).collect()) == ["b", "c"]
+    write(batch(("a", 3, False), ("b", 3, False)), 3)
+    assert kinds(sinks.stored_alerts(spark, out)) == [("change", 1), ("clear", 2), ("raise", 3)]
+
+
+@pytest.mark.parametrize("mode", ["append", "update"])
+def test_rows_stored_are_those_of_alerts(spark, files, tmp_path, mode):  # noqa: F811
+    """As many rows as raised, changed and cleared alerts, and every history is one."""
+    folder, _ = files
+    out = str(tmp_path / "out")
+    started = run.start_streams(
+        queue.file_stream(spark, folder, 1), str(tmp_path / "cp"), out, alert_mode=mode, available_now=True, name=f"t{mode}-"
+    )
+    run.wait(started)
+    stored = sinks.stored_alerts(spark, out)
+    assert stored.filter((F.col("transition") == A.CLEAR) == F.col("is_anomaly")).count() == 0
+    histories = {}
+    for r in stored.orderBy("batch_id").collect():
+        histories.setdefault(r["alert_id"], []).append(r["transition"])
+    for steps in histories.values():
+        for before, now in zip([A.CLEAR, *steps], steps, strict=False):
+            assert (now == A.RAISE) == (before == A.CLEAR)
+    latest = sinks.latest_alerts(spark, out).count()
+    assert latest == sum(h[-1] != A.CLEAR for h in histories.values()) > 0
+    if mode == "append":
+        assert stored.count() == latest
+        assert not os.path.exists(f"{out}/open")
+
+
+def test_a_new_pipeline_has_empty_stores(spark, tmp_path):
+    folder, out = str(tmp_path / "q"), str(tmp_path / "out")
+    for _ in range(2):  # before the first batch, and when no window is closed
+        assert sinks.stored_alerts(spark, out).count() == 0
+        assert sinks.latest_alerts(spark, out, F.lit(DAY)).count() == 0
+        assert sinks.open_alerts(spark, out).count() == 0
+        assert sinks.stored_actions(spark, out).count() == 0
+        assert {"alert_id", "source_ip", "alert_message", "window_start"} <= set(sinks.latest_alerts(spark, out).columns)
+        assert sinks.stored_actions(spark, out).columns == ["alert_id", "action"]
+        add_file(folder, 0, queue_of(spark, scan_rows(0, 20)))
+        run.wait(run.start_streams(queue.file_stream(spark, folder), str(tmp_path / "cp"), out, available_now=True, name="e-"))
+
+
+def test_draining_ends_the_batch_in_flight(spark, tmp_path):
+    """A query is drained in the middle of a batch: the batch is whole and committed, the next
+    has written nothing and is done after a restart."""
+    folder, out, cp = (str(tmp_path / x) for x in ("q", "out", "cp"))
+    for n in range(3):
+        add_file(folder, n, queue_of(spark, scan_rows(20 * n, 1100 + n)))
+    inside, begun = threading.Event(), []
+    plain = sinks.alert_writer(out, mode="update")
+
+    def slow(batch, batch_id):
+        begun.append(batch_id)
+        inside.set()
+        time.sleep(2)
+        plain(batch, batch_id)
+
+    def start(write):
+        found = run.verdict_stream(records.parse(queue.file_stream(spark, folder, 1)))
+        return sinks.batch_sink(found, write, cp, "drained", "update", available_now=True).start()
+
+    query = start(slow)
+    assert inside.wait(60)
+    run.drain([query])
+    assert not query.isActive and begun == [0]
+    assert {os.path.exists(f"{cp}/commits/{n}") for n in begun} == {True}
+    batches = [f for _, folders, _ in os.walk(f"{out}/alerts") for f in folders if f.startswith("batch_id=")]
+    assert batches == ["batch_id=0"]
+    assert not [f for _, folders, _ in os.walk(out) for f in folders if f == "_temporary"]
+    assert sinks.stored_alerts(spark, out).count() == 5 == sinks.open_alerts(spark, out).count()
+    assert sinks.stored_actions(spark, out).count() == 10
+    run.wait([start(plain)])
+    assert sinks.latest_alerts(spark, out).count() == 15
+    assert kinds(sinks.stored_alerts(spark, out)) == [("raise", 15)]
+
+
+def test_draining_idle_and_failed_queries(spark, tmp_path):
+    folder = str(tmp_path / "q")
+    add_file(folder, 0, queue_of(spark, [(DAY, "a", 1, "OK")]))
+    rows = queue.file_stream(spark, folder)
+    idle = sinks.batch_sink(rows, lambda b, i: b.count(), str(tmp_path / "a"), "idle", "append", "1 second").start()
+    files_out = rows.writeStream.format("parquet").option("path", str(tmp_path / "o"))
+    file_query = files_out.option("checkpointLocation", str(tmp_path / "b")).trigger(processingTime="1 second").start()
+    for q in (idle, file_query):
+        q.processAllAvailable()
+    run.drain([idle, file_query], 60)
+    assert not idle.isActive and not file_query.isActive
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 1
+
+    def fail(batch, batch_id):
+        raise RuntimeError("sink is down")
+
+    bad = sinks.batch_sink(rows, fail, str(tmp_path / "c"), "bad", "append", available_now=True).start()
+    end = time.monotonic() + 60
+    while bad.isActive and time.monotonic() < end:
+        time.sleep(0.1)
+    with pytest.raises(Exception, match="sink is down"):
+        run.drain([bad], 60)
+    assert not sinks.draining
