@@ -122,20 +122,40 @@ def zscores(
     )
 
 
+def with_empty_hours(hourly: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hourly counts with a zero for every hour between a series' first and last that has none."""
+    stored = materialize(hourly, "hourly")
+    spans = stored.groupBy(*keys).agg(F.min("hour").alias("first"), F.max("hour").alias("last"))
+    hours = F.explode(F.sequence("first", "last", F.expr("interval 1 hour"))).alias("hour")
+    calendar = spans.select(*keys, hours, F.lit(0).cast("bigint").alias("log_count"))
+    # A sum and not a join: NULL keys are a series too.
+    return stored.unionByName(calendar).groupBy(*keys, "hour").agg(F.sum("log_count").alias("log_count"))
+
+
 def seasonal_residual(
-    logs: DataFrame, keys: Sequence[str] = ("traffic_direction",), rows: int = TREND_ROWS
+    logs: DataFrame,
+    keys: Sequence[str] = ("traffic_direction",),
+    rows: int = TREND_ROWS,
+    empty_hours: bool = False,
 ) -> DataFrame:
     """Hourly log counts per series split into trend, daily season and residual.
 
     The trend is a centred mean over ``rows`` hourly rows, the season the mean of
     the detrended counts by hour of day. A series has one row per hour, so the
     windows below are as long as the calendar, whatever the number of logs.
+
+    By default an hour without logs has no row: the trend is over the last ``rows`` hours
+    that have logs, and silence is no measurement. With ``empty_hours`` it counts 0 from a
+    series' first hour to its last, so the trend spans ``rows`` hours of the calendar and an
+    outage shows as a residual.
     """
     hourly = (
         logs.filter(F.col("timestamp").isNotNull())
         .groupBy(*keys, F.date_trunc("hour", "timestamp").alias("hour"))
         .agg(F.count(F.lit(1)).alias("log_count"))
     )
+    if empty_hours:
+        hourly = with_empty_hours(hourly, keys)
     centred = Window.partitionBy(*keys).orderBy("hour").rowsBetween(-(rows // 2), rows - rows // 2 - 1)
     same_hour = Window.partitionBy(*keys, F.hour("hour"))
     return (

@@ -237,6 +237,21 @@ SEASONAL = f"""with raw as ({_raw(real_time=True)}), log as ({_enrich('raw')} wh
  select traffic_direction, epoch_us(hour) as hour, log_count, round(trend, 9) as trend,
     round(seasonal, 9) as seasonal, round(log_count - trend - seasonal, 9) as residual from seasoned"""
 
+SEASONAL_CALENDAR = f"""with raw as ({_raw(real_time=True)}), log as ({_enrich('raw')} where source_ip is not null),
+ found as (select traffic_direction, date_trunc('hour', "timestamp") as hour, count(*) as log_count
+    from log where extract(hour from "timestamp") not in {Q.SILENT_HOURS} group by 1, 2),
+ calendar as (select traffic_direction, unnest(generate_series(min(hour), max(hour), interval 1 hour)) as hour
+    from found group by 1),
+ hourly as (select c.traffic_direction, c.hour, coalesce(log_count, 0) as log_count from calendar c
+    left join found f on f.hour = c.hour and f.traffic_direction is not distinct from c.traffic_direction),
+ trended as (select *, avg(log_count) over (partition by traffic_direction order by hour
+    rows between 50 preceding and 49 following) as trend from hourly),
+ seasoned as (select *, avg(log_count - trend) over (partition by traffic_direction, extract(hour from hour))
+    as seasonal from trended)
+ select traffic_direction, epoch_us(hour) as hour, log_count, round(trend, 9) as trend,
+    round(seasonal, 9) as seasonal, round(log_count - trend - seasonal, 9) as residual from seasoned"""
+
+
 def _raw_select(columns: str, **options) -> str:
     return f"with raw as ({_raw(**options)}) select {columns} from raw"
 
@@ -248,8 +263,8 @@ def _masked(column: str) -> str:
 _FEATURES = (
     "log_count avg_response_time failure_rate total_bytes_sent unique_destinations unique_ports max_risk_score".split()
 )
-#: A sample of this size has no deeper tree.
-_LEVELS = 9
+#: Trees of such samples are no deeper: the levels are ceil(log2(rows of the tree)) and one more.
+_LEVELS = {64: 9, 256: 11}
 
 
 def _chance(*parts: str) -> str:
@@ -257,14 +272,17 @@ def _chance(*parts: str) -> str:
     return f"('0x' || substr(md5({text}), 1, 13))::bigint / {2.0**52!r}::double"
 
 
-def _forest() -> str:
+def _forest(trees: int, sample: int) -> str:
     """The isolation forest level by level: draws, nodes, then the path of every row."""
-    seed, trees = "42", Q.FOREST_TREES
-    gap = f"floor(ln(1.0::double - {_chance(seed, 'id', '{0}')}) / scale)"
-    draws = ["drawn0 as (select *, " + gap.format("0") + f" as spot from item, chance where share < 1)"]
-    for k in range(1, trees):
-        draws.append(f"drawn{k} as (select * replace (spot + 1 + {gap.format(k)} as spot) from drawn{k - 1} where spot < {trees})")
-    drawn = " union all ".join(f"select spot::int as tree, id, v from drawn{k} where spot < {trees}" for k in range(trees))
+    seed, levels = "42", _LEVELS[sample]
+    gap = f"floor(ln(1.0::double - {_chance(seed, 'id', 'k')}) / scale)"
+    # The k-th tree of a row lies k + the gaps up to k behind the first.
+    draws = [
+        f"gaps as (select id, k, {gap} as gap from item, chance, (select unnest(range({trees})) as k) t where share < 1)",
+        f"""drawn as materialized (select id, spot::int as tree from (select id, k + sum(gap) over
+            (partition by id order by k rows unbounded preceding) as spot from gaps) s where spot < {trees})""",
+    ]
+    drawn = "select tree, id, v from drawn join item using (id)"
     every = f"select unnest(range({trees}))::int as tree, id, v from item, chance where share >= 1"
     value = "case feature " + " ".join(f"when {i} then v[{i + 1}]" for i in range(len(_FEATURES))) + " end"
     n = len(_FEATURES)
@@ -273,15 +291,15 @@ def _forest() -> str:
         f"""item as (select *, sha256(concat_ws(':', window_start::varchar, coalesce('=' || source_ip, '-'),
             coalesce('=' || traffic_direction, '-'), coalesce('=' || severity, '-'))) as id,
             [{', '.join(f'coalesce({f}, 0)::double' for f in _FEATURES)}] as v from derived)""",
-        f"""chance as (select least(1.0::double, {float(Q.FOREST_SAMPLE)}::double / count(*)) as share,
-            case when least(1.0::double, {float(Q.FOREST_SAMPLE)}::double / count(*)) < 1
-                then ln(1.0::double - {float(Q.FOREST_SAMPLE)}::double / count(*)) end as scale from item)""",
+        f"""chance as (select least(1.0::double, {float(sample)}::double / count(*)) as share,
+            case when least(1.0::double, {float(sample)}::double / count(*)) < 1
+                then ln(1.0::double - {float(sample)}::double / count(*)) end as scale from item)""",
         *draws,
         f"point as materialized ({drawn} union all {every})",
         "size as materialized (select tree, count(*) as n, ceil(log2(greatest(count(*), 2)))::int as deepest from point group by tree)",
         "rows0 as materialized (select tree, '' as path, v from point)",
     ]
-    for k in range(_LEVELS):
+    for k in range(levels):
         parts.append(
             f"""stat{k} as materialized (select tree, path, count(*) as n, [{', '.join(low)}] as low, [{', '.join(high)}] as high
                 from rows{k} group by tree, path)"""
@@ -307,7 +325,7 @@ def _forest() -> str:
     parts.append("at0 as materialized (select id, v, tree, '' as path, size.n as total from item, size)")
     leaves = []
     mean = "case when {0} > 2 then 2.0 * (ln({0} - 1.0::double) + 0.5772156649015329::double) - 2.0 * ({0} - 1.0::double) / {0} when {0} = 2 then 1.0 else 0.0 end"
-    for k in range(_LEVELS):
+    for k in range(levels):
         leaves.append(f"select id, ({k} + {mean.format('n')}) / greatest({mean.format('total')}, 1.0) as depth from at{k} join node{k} using (tree, path) where feature < 0")
         parts.append(
             f"""at{k + 1} as materialized (select id, v, tree, path || case when {value} <= cut then 'L' else 'R' end as path, total
@@ -462,5 +480,21 @@ def catalog() -> dict[str, str]:
         "null_default": f"{LOG} select event_id, {_FLAT_LOG} from log",
         "schema_check": """select unnest(['bytes_sent: string instead of bigint', 'hostname: absent']) as problem,
             count(*) as n_rows from events""",
-        "isolation_forest": _forest(),
+        "isolation_forest": _forest(100, 256),
+        "isolation_forest_few": _forest(Q.FEW_TREES, Q.FEW_SAMPLE),
+        "compacted_store": _raw_select(
+            'event_id, epoch_us("timestamp") as "timestamp", year("timestamp")::int as year, '
+            'month("timestamp")::int as month, day("timestamp")::int as day, hour("timestamp")::int as hour',
+            real_time=True,
+        ),
+        "latency_histogram": f"""{LOG}, edge as (select unnest([0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0,
+                10.0, 30.0, 60.0])::double as edge),
+            bucket as (select row_number() over (order by edge) - 1 as bucket, lag(edge) over (order by edge) as over_seconds,
+                edge as upto_seconds from edge union all select count(*), max(edge), null from edge),
+            counted as (select traffic_direction, bucket::int as bucket, over_seconds, upto_seconds,
+                count(*) filter (where (over_seconds is null or response_time_ms / 1000 > over_seconds)
+                    and (upto_seconds is null or response_time_ms / 1000 <= upto_seconds)) as n
+                from log, bucket group by 1, 2, 3, 4)
+            select *, (sum(n) over (partition by traffic_direction order by bucket))::bigint as n_upto from counted""",
+        "seasonal_calendar": SEASONAL_CALENDAR,
     }

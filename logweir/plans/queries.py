@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +17,10 @@ from pyspark.sql import types as T
 
 from logweir.functions import network
 from logweir.operators import alerts as A
-from logweir.operators import anomaly, forest, ingest, lookup, metrics, outliers, quality, records
+from logweir.operators import anomaly, forest, ingest, latency, lookup, metrics, outliers, quality, records
 from logweir.operators import enrich as E
 from logweir.settings import DECLARED_LEVELS, Thresholds, configure, materialize, work_folder
+from logweir.sources import compaction
 from logweir.sources import events as S
 from logweir.sources import queue as file_queue
 from logweir.sources import store
@@ -33,8 +34,10 @@ AS_OF = datetime(2024, 4, 14, 12, 0, 0, tzinfo=timezone.utc)
 SALT = "pepper"
 # Denser logs for the cuts that the table's own density never reaches.
 DENSE_MICROS, DENSE_COPIES = 15_000, 4
-# A forest that plain SQL can grow as well.
-FOREST_TREES, FOREST_SAMPLE = 5, 64
+# A forest of few trees besides the declared one.
+FEW_TREES, FEW_SAMPLE = 5, 64
+# Hours of a day of whose logs the series with gaps has none.
+SILENT_HOURS = (2, 3, 4)
 # Files in which the streams replay the queue, and every which event comes late.
 REPLAYS, LATE_EVERY, LATE_EVENT = 4, 50, 7
 PARTITIONS = 6
@@ -324,6 +327,24 @@ def stored_retention(spark, sf):
     return flat(kept.select("event_id", "timestamp", *quality.PARTITIONS))
 
 
+def compacted_store(spark, sf):
+    """Logs stored in two appends, whose closed hours are packed into one file each."""
+    path = work_folder(spark, "log-store")
+    logs = E.enrich(raw_logs(spark, sf, real_time=True), now=now(), carry=("event_id",))
+    for n in range(2):
+        store.write_logs(logs.filter(F.col("event_id") % 2 == n), path)
+    store.compact_logs(spark, path, AS_OF - timedelta(days=quality.RETENTION_DAYS))
+    compaction.clean(spark, path, 0)
+    return flat(store.read_logs(spark, path).select("event_id", "timestamp", *quality.PARTITIONS))
+
+
+def latency_histogram(spark, sf):
+    """Response times in fixed buckets, counted by status and added up by direction."""
+    seconds = enriched(spark, sf).withColumn("seconds", F.col("response_time_ms") / 1000)
+    parts = latency.histogram(seconds, "seconds", ("traffic_direction", "connection_status"))
+    return latency.merged(parts, ("traffic_direction",))
+
+
 def zscore_outliers(spark, sf):
     stored = materialize(metrics.window_metrics(enriched(spark, sf)), "metrics")
     rows = outliers.zscores(stored).select(
@@ -343,12 +364,29 @@ def seasonal_residual(spark, sf):
     return rounded(flat(rows), "trend", "seasonal", "residual")
 
 
-def isolation_forest(spark, sf):
+def seasonal_calendar(spark, sf):
+    """The same with hours that have no logs, which count 0."""
+    logs = enriched(spark, sf, real_time=True).filter(~F.hour("timestamp").isin(*SILENT_HOURS))
+    rows = outliers.seasonal_residual(logs, empty_hours=True)
+    return rounded(flat(rows), "trend", "seasonal", "residual")
+
+
+def grown_forest(spark, sf, trees, sample):
     stored = materialize(log_metrics(spark, sf), "metrics")
-    rows = forest.isolation_scores(stored, trees=FOREST_TREES, sample=FOREST_SAMPLE)
+    rows = forest.isolation_scores(stored, trees=trees, sample=sample)
     return flat(rows.select("window", *metrics.KEYS, *forest.FEATURES, "isolation_score", "is_isolated"))
 
 
+def isolation_forest(spark, sf):
+    """The forest of the declared size."""
+    return grown_forest(spark, sf, forest.TREES, forest.SAMPLE)
+
+
+def isolation_forest_few(spark, sf):
+    """A forest of few small trees."""
+    return grown_forest(spark, sf, FEW_TREES, FEW_SAMPLE)
+
+
 def assets(spark, sf):
     address = "concat('10.1.', cast(c_custkey % 8 as string), '.', cast(c_custkey % 200 + 1 as string))"
     customers = S.table(configure(spark), sf, "customer").withColumn("source_ip", F.expr(address))
@@ -565,9 +603,13 @@ ALL = (
     partition_columns,
     retention,
     stored_retention,
+    compacted_store,
+    latency_histogram,
     zscore_outliers,
     seasonal_residual,
+    seasonal_calendar,
     isolation_forest,
+    isolation_forest_few,
     asset_join,
     geo_join,
     threat_flag,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections import deque
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
 from logweir.operators import alerts as A
+from logweir.operators import latency as L
 from logweir.operators import records as R
 from logweir.operators.quality import PARTITIONS, with_partitions
 from logweir.schema import ACTIONS, ALERTS, OPEN_ALERTS
 from logweir.settings import WindowSpec
+from logweir.sources import compaction
 
 # Trigger intervals.
 ALERT_TRIGGER = "30 seconds"
@@ -189,7 +191,8 @@ def metrics_and_alerts_writer(
 
 def stored_alerts(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
     """Every stored verdict with its batch; ``since`` a time leaves out older days unread."""
-    rows = _read(spark, f"{path}/alerts", ALERTS)
+    rows = compaction.read(spark, f"{path}/alerts")
+    rows = spark.createDataFrame([], ALERTS) if rows is None else rows
     return rows if since is None else rows.filter(F.col("day") >= F.to_date(since))
 
 
@@ -287,12 +290,17 @@ COUNTERS = (
 
 
 class CounterTable(StreamingQueryListener):
-    """Keeps the observed counts of each batch; ``flush`` appends them to a Parquet table.
+    """Keeps the observed counts and the duration of each batch; ``flush`` appends them to a
+    Parquet table.
 
     The listener's thread starts no job. What was not flushed when the driver is lost is lost.
     """
 
-    SCHEMA = "query string, run string, batch_id bigint, " + ", ".join(f"{n} bigint" for _, n in COUNTERS)
+    SCHEMA = (
+        "query string, run string, batch_id bigint, "
+        + ", ".join(f"{n} bigint" for _, n in COUNTERS)
+        + ", duration_ms bigint"
+    )
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path
@@ -310,9 +318,9 @@ class CounterTable(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         p = event.progress
         seen = p.observedMetrics
-        if seen:
+        if seen or p.numInputRows:
             counts = [seen[group][name] if group in seen else None for group, name in COUNTERS]
-            self.rows.append((p.name, str(p.runId), p.batchId, *counts))
+            self.rows.append((p.name, str(p.runId), p.batchId, *counts, p.durationMs.get("triggerExecution")))
 
     def await_batches(self, last: dict[str, int], seconds: float = 30.0) -> None:
         """Until the counts of each run's last batch are here; they come by another thread."""
@@ -326,3 +334,8 @@ class CounterTable(StreamingQueryListener):
         rows = [self.rows.popleft() for _ in range(len(self.rows))]
         if rows:
             self.spark.createDataFrame(rows, self.SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    def latency(self, bounds: Sequence[float] = L.BOUNDS) -> DataFrame:
+        """The histogram of batch durations of each query, over all that was flushed."""
+        rows = self.spark.read.schema(self.SCHEMA).parquet(self.path)
+        return L.histogram(rows.withColumn("seconds", F.col("duration_ms") / 1000), "seconds", ("query",), bounds)
