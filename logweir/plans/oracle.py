@@ -467,6 +467,7 @@ def catalog() -> dict[str, str]:
         "stream_metrics": f"{METRICS} {_DERIVED} where {_CLOSED.format(120000000, 'log')}",
         "stream_late": f"{LATE_METRICS} {_DERIVED} where {_CLOSED.format(120000000, 'log')}",
         "stream_alerts": ALERTS,
+        "stream_open_windows": f"{LATE_METRICS} {_DERIVED} where {_CLOSED.format(120000000, 'log')}",
         "stream_simple": f"""{_simple("log")} select * from metric where (log_count > 1000 or avg_response_time > 5000)
             and {_CLOSED.format(30000000, 'log')}""",
         "stream_records": _result_records(_CLOSED.format(120000000, "log")),

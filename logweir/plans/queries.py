@@ -467,9 +467,12 @@ def replays(spark: SparkSession, sf: str, folder: str, late: bool = False) -> It
         known = files
 
 
+#: Columns whose last bits depend on the order of addition.
+MEANS = ("avg_response_time", "avg_risk_score", "failure_rate", "bytes_per_second")
+
+
 def stored_metrics(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    names = ("avg_response_time", "avg_risk_score", "failure_rate", "bytes_per_second")
-    return rounded(flat(spark.read.schema(schema).parquet(path)), *names)
+    return rounded(flat(spark.read.schema(schema).parquet(path)), *MEANS)
 
 
 def replayed_metrics(spark: SparkSession, sf: str, late: bool) -> DataFrame:
@@ -495,13 +498,34 @@ def stream_alerts(spark, sf):
     """Events through the queue into the alert store: the alerts that hold at the end."""
     folder = work_folder(spark, "stream-alerts")
     for source in replays(spark, sf, f"{folder}/queue"):
-        found = run.verdict_stream(records.parse(source, stream.LOG_INPUT), now=now())
-        name = f"a{uuid.uuid4().hex}"
-        run.wait([sinks.alerts_sink(found, f"{folder}/out", f"{folder}/checkpoint", "update", True, name).start()])
-    latest = sinks.latest_alerts(spark, f"{folder}/out").select(*[c for c in found.columns if c != "is_anomaly"])
+        updated(source, folder, store_metrics=False)
+    latest = sinks.latest_alerts(spark, f"{folder}/out").select(*A.COLUMNS, "alert_id", "alert_message")
     return rounded(flat(latest), "failure_rate", "avg_response_time")
 
 
+def updated(source: DataFrame, folder: str, store_metrics: bool = True) -> None:
+    """The pipeline that alerts while windows are open, over one more step of the queue."""
+    started = run.start_streams(
+        source,
+        f"{folder}/checkpoint",
+        f"{folder}/out",
+        store_metrics=store_metrics,
+        alert_mode="update",
+        available_now=True,
+        now=now(),
+        name=f"a{uuid.uuid4().hex}-",
+    )
+    run.wait(started)
+
+
+def stream_open_windows(spark, sf):
+    """Metrics as that pipeline stores them when a window is closed; some logs come late."""
+    folder = work_folder(spark, "stream-open")
+    for source in replays(spark, sf, f"{folder}/queue", late=True):
+        updated(source, folder)
+    return rounded(flat(spark.read.parquet(f"{folder}/out/metrics").drop("run", "batch_id")), *MEANS)
+
+
 def stream_simple(spark, sf):
     """The simple variant on a stream: anomalous closed windows per source."""
     folder = work_folder(spark, "stream-simple")
@@ -618,6 +642,7 @@ ALL = (
     stream_metrics,
     stream_late,
     stream_alerts,
+    stream_open_windows,
     stream_simple,
     stream_records,
     stream_counters,

@@ -10,7 +10,13 @@ state row per distinct value, spread over all state partitions:
 * update: values pass two deduplications, first among the records of the same
   salt, so that the copies of one hot value do not meet in a single task, then
   overall. What passes is counted together with the other measures in one
-  aggregation. A deduplication has no map-side step, hence the salt.
+  aggregation. A deduplication has no map-side step, hence the salt. The result is
+  complete in itself, for any sink.
+* sightings (update mode, for a sink that keeps the open windows, see
+  ``sinks.open_windows_writer``): one aggregation by window, key and value, which
+  combines on the map side. A value is new in the batch that holds all its rows
+  so far; the sink adds the new ones to the window's count. One scan and one state
+  store.
 
 Panes, which the batch form uses, are no option here: a late log must still count
 in those of its five windows that are open, but its pane may be closed.
@@ -31,6 +37,7 @@ from logweir.operators.metrics import (
     SIMPLE_MEASURES,
     SIMPLE_SPEC,
     Measure,
+    additive,
     derive,
     distinct,
     finished,
@@ -122,6 +129,71 @@ def window_metrics(
     return grouped.select(*finished(keys, measures))
 
 
+def sightings(
+    logs: DataFrame,
+    spec: WindowSpec = WindowSpec(),
+    keys: Sequence[str] = KEYS,
+    measures: Sequence[Measure] = MEASURES,
+) -> DataFrame:
+    """Changed windows in parts: one row (``kind`` 0) with the sums so far, and one for each
+    value of the i-th distinct count (``kind`` i) with whether it ``is_new`` in its window.
+
+    Batches are told apart by their time, which Spark records with the batch: a batch that is run
+    again finds the same values new. ``last_event`` is the latest event time of the part.
+    """
+    window = F.window("timestamp", f"{spec.duration} seconds", f"{spec.slide} seconds").alias("window")
+    values = distinct(measures)
+    names = [f"value{i}" for i in range(1, len(values) + 1)]
+    used = reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in names], F.col("kind") == 0)
+    event = F.unix_micros("timestamp").alias("event_micros")
+    marked = logs.withWatermark("timestamp", f"{spec.watermark} seconds")
+    batch = F.unix_millis(F.current_timestamp())
+    rows = marked.select(window, event, batch.alias("batch"), *inputs(keys, measures))
+    spread = rows.select("*", F.inline(_value_rows(logs, values, 0))).filter(used)
+    grouped = spread.groupBy("window", *keys, "kind", *names).agg(
+        *partial(measures, F.col("kind") == 0),
+        F.min("batch").alias("first_batch"),
+        F.max("batch").alias("last_batch"),
+        F.max("event_micros").alias("last_event"),
+    )
+    is_new = (F.col("first_batch") == F.col("last_batch")) & (F.col("first_batch") == batch)
+    return grouped.withColumn("is_new", is_new).drop("first_batch", "last_batch", *names)
+
+
+def merged_windows(
+    opened: DataFrame, parts: DataFrame, keys: Sequence[str] = KEYS, measures: Sequence[Measure] = MEASURES
+) -> DataFrame:
+    """The windows that were open with a batch of :func:`sightings` added.
+
+    ``opened`` has the columns of this result. ``changed`` tells the windows of the batch, ``seen``
+    the latest event time of the batches before, ``raised`` is carried along. Batch rows are summed before they are shuffled; windows
+    meet by grouping and not by a join, since keys may be NULL.
+    """
+    values = distinct(measures)
+    sums = [c for m in additive(measures) for c in ([f"{m.name}__sum", f"{m.name}__n"] if m.kind == "avg" else [m.name])]
+    fresh = parts.select(
+        "window",
+        *keys,
+        "kind",
+        *sums,
+        *[F.when((F.col("kind") == i) & F.col("is_new"), 1).otherwise(0).alias(m.name) for i, m in enumerate(values, 1)],
+        "last_event",
+        F.lit(None).cast("boolean").alias("raised"),
+        F.lit(True).alias("changed"),
+    ).drop("kind")
+    both = opened.select(*fresh.columns[:-1], F.lit(False).alias("changed")).unionByName(fresh)
+    # Sums of a changed window are those so far, and take the place of older ones.
+    newest = [F.coalesce(F.max(F.when(F.col("changed"), F.col(c))), F.max(c)).alias(c) for c in sums]
+    return both.groupBy("window", *keys).agg(
+        *newest,
+        *[F.sum(m.name).alias(m.name) for m in values],
+        F.max("last_event").alias("last_event"),
+        F.max("raised").alias("raised"),
+        F.max(F.when(~F.col("changed"), F.col("last_event"))).alias("seen"),
+        F.max("changed").alias("changed"),
+    )
+
+
 def log_metrics(
     logs: DataFrame,
     spec: WindowSpec = WindowSpec(),

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logweir.operators import alerts as A
 from logweir.operators import anomaly, records
+from logweir.operators.metrics import derive
 from logweir.schema import SIMPLE_LOG
 from logweir.settings import Thresholds, WindowSpec
 from logweir.streaming import metrics as M
@@ -51,8 +52,9 @@ def start_streams(
 
     ``alert_mode="append"`` alerts once, when a window is closed, and one query scans the
     source for metrics and alerts. ``"update"`` alerts while a window is open and again when
-    it changes; metrics are stored when it is closed, so they need a query and state of their
-    own. ``rejects`` stores unreadable records; ``publish`` gets metrics and alerts as records
+    it changes, and stores its metrics when it is closed; one query scans the source once, and
+    its batch function keeps the open windows. (With ``approximate`` the counts are sketches
+    that only Spark's state can hold, and metrics need a query of their own.) ``rejects`` stores unreadable records; ``publish`` gets metrics and alerts as records
     for the queue (append mode with metrics).
     """
     if publish is not None and not (alert_mode == "append" and store_metrics):
@@ -72,6 +74,21 @@ def start_streams(
                 counted, write, f"{checkpoint}/both", f"{name}both", "append", available_now=available_now
             )
         ]
+    elif alert_mode == "update" and not approximate:
+        parts = M.sightings(sinks.observe_logs(logs), spec)
+
+        def judged(measures: DataFrame) -> DataFrame:
+            return A.verdicts(anomaly.detect(derive(measures, spec, thresholds), thresholds, now))
+
+        def closed(measures: DataFrame) -> DataFrame:
+            return derive(measures, spec, thresholds)
+
+        write = sinks.open_windows_writer(output, judged, closed if store_metrics else None, spec)
+        writers = [
+            sinks.batch_sink(
+                parts, write, f"{checkpoint}/alerts", f"{name}alerts", "update", available_now=available_now
+            )
+        ]
     else:
         found = verdict_stream(logs, spec, thresholds, alert_mode, now, approximate)
         writers = [

@@ -14,10 +14,12 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 from logweir.operators import alerts as A
 from logweir.operators import latency as L
 from logweir.operators import records as R
+from logweir.operators.metrics import KEYS, MEASURES, distinct, finished
 from logweir.operators.quality import PARTITIONS, with_partitions
 from logweir.schema import ACTIONS, ALERTS, OPEN_ALERTS
 from logweir.settings import WindowSpec
 from logweir.sources import compaction
+from logweir.streaming.metrics import merged_windows
 
 # Trigger intervals.
 ALERT_TRIGGER = "30 seconds"
@@ -142,13 +144,14 @@ def alert_writer(
             stored = _stored(transitions(verdicts, opened), start, batch_id)
             latest = verdicts.agg(F.max(A.WINDOW_START).alias("latest"))
             latest = F.lit(latest.first()["latest"]).cast("timestamp")
-            left = opened.join(stored.select("alert_id"), "alert_id", "left_anti").drop("batch")
+            # By what was seen before this batch: its own rows may still change such a window.
+            closed = F.col(A.WINDOW_END) <= F.col("latest") - F.make_dt_interval(secs=F.lit(lateness))
+            left = opened.filter(~closed).join(stored.select("alert_id"), "alert_id", "left_anti").drop("batch")
             made = stored.filter("is_anomaly").select("alert_id", A.WINDOW_END, latest.alias("latest"))
             still = left.unionByName(made).withColumns(
                 {"latest": F.greatest("latest", latest), "batch": F.lit(batch_id).cast("bigint")}
             )
-            closed = F.col(A.WINDOW_END) <= F.col("latest") - F.make_dt_interval(secs=F.lit(lateness))
-            still.filter(~closed).hint("rebalance").write.mode("overwrite").parquet(_slot(batch, path, batch_id))
+            still.hint("rebalance").write.mode("overwrite").parquet(_slot(batch, path, batch_id))
         finally:
             verdicts.unpersist()
 
@@ -161,6 +164,83 @@ def alert_writer(
     return write
 
 
+#: Alerts of a batch whose windows are judged by its batch function, by (query id, batch), until
+#: the query's progress is heard; of each query the last KEPT_REPORTS are kept.
+reported: dict[tuple[str | None, int], dict[str, int]] = {}
+KEPT_REPORTS = 100
+
+
+def _report(query: str | None, batch_id: int, alerts: int) -> None:
+    reported[query, batch_id] = {"anomalies": alerts, "alerts": alerts}
+    reported.pop((query, batch_id - KEPT_REPORTS), None)
+
+
+def open_windows_writer(
+    path: str,
+    judge: Callable[[DataFrame], DataFrame],
+    close: Callable[[DataFrame], DataFrame] | None = None,
+    spec: WindowSpec = WindowSpec(),
+    act: Callable[[DataFrame], DataFrame] = A.actions,
+) -> Writer:
+    """A batch function for ``metrics.sightings``: alerts of open windows, metrics of closed ones.
+
+    The windows that are open, a row each with its sums so far, are kept beside the stores in two
+    places in turn. A batch adds its parts to what the batch before left, judges the
+    windows that changed (``judge``: measures to verdicts), stores the verdicts that raise,
+    change or clear an alert, and, with ``close`` (measures to metrics), stores a window's metrics
+    once, when it is closed: by the event times of the batches before, as Spark's watermark lets
+    no later row into it. A batch that is
+    run again reads the same place and replaces its own folders.
+    """
+    late = spec.watermark * 1_000_000
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        place = _slot(batch, f"{path}/windows", batch_id)
+        before = _slot(batch, f"{path}/windows", batch_id - 1)
+        schema = merged_windows(_no_windows(batch), batch).schema
+        if batch_id:
+            opened = spark.read.schema(schema.add("batch", "long")).parquet(before)
+            opened = opened.filter(F.col("batch") == batch_id - 1)
+        else:
+            opened = _no_windows(batch)
+        rows = merged_windows(opened, batch).persist()
+        try:
+            known = rows.agg(F.max("seen").alias("seen"), F.count_if("changed").alias("changed")).first()
+            named = rows.withColumns({A.WINDOW_START: F.col("window.start"), A.WINDOW_END: F.col("window.end")})
+            named = named.withColumn("__alert", A.alert_id(*[F.col(k) for k in KEYS]))
+            still, alerts = named, 0
+            if known["changed"]:
+                was = named.filter(F.col("changed") & F.col("raised")).select(F.col("__alert").alias("alert_id"))
+                judged = judge(rows.filter("changed").select(*finished(KEYS, MEASURES)))
+                made = transitions(judged, was).withColumn("written_at", F.current_timestamp())
+                stored = _store(made, f"{path}/alerts", batch_id, F.col(A.WINDOW_START))
+                raised = A.raised(stored)
+                _store(act(raised.drop("transition")), f"{path}/actions", batch_id)
+                alerts = raised.count()
+                # Whether the alert of a window holds now: told by what was stored for it.
+                holds = stored.select(F.col("alert_id").alias("__id"), F.col("is_anomaly").alias("__holds"))
+                still = named.join(holds, F.col("__alert") == F.col("__id"), "left")
+                still = still.withColumn("raised", F.coalesce("__holds", "raised"))
+            closed = F.lit(False) if known["seen"] is None else F.unix_micros("window.end") <= known["seen"] - late
+            if close is not None:
+                ended = close(rows.filter(closed).select(*finished(KEYS, MEASURES)))
+                _store(ended, f"{path}/metrics", batch_id)
+            left = still.filter(~closed).select(*rows.columns).withColumn("batch", F.lit(batch_id).cast("bigint"))
+            left.hint("rebalance").write.mode("overwrite").parquet(place)
+            _report(_query_id(batch), batch_id, alerts)
+        finally:
+            rows.unpersist()
+
+    return write
+
+
+def _no_windows(parts: DataFrame) -> DataFrame:
+    """No open windows, in the columns of :func:`metrics.merged_windows`."""
+    made = parts.withColumns({m.name: F.lit(0).cast("bigint") for m in distinct(MEASURES)})
+    return made.withColumn("raised", F.lit(None).cast("boolean")).limit(0)
+
+
 def record_writer(path: str) -> Writer:
     """A batch function for result records, a folder per topic as a file queue has."""
 
@@ -203,9 +283,17 @@ def latest_alerts(spark: SparkSession, path: str, since: Column | None = None) -
 
 def open_alerts(spark: SparkSession, path: str) -> DataFrame:
     """The alerts raised in windows that are still open, as the last batch of each run left them."""
-    rows = _read(spark, f"{path}/open", f"{OPEN_ALERTS}, run string, slot int")
+    kind = f"{OPEN_ALERTS}, run string, slot int"
+    rows = _read(spark, f"{path}/open", kind).select("run", "batch", "alert_id", A.WINDOW_END)
+    kind = "window struct<start: timestamp, end: timestamp>, raised boolean, batch bigint, run string, slot int, "
+    windows = _read(spark, f"{path}/windows/open", kind + ", ".join(f"{k} string" for k in KEYS))
+    names = {A.WINDOW_START: F.col("window.start"), A.WINDOW_END: F.col("window.end")}
+    named = windows.withColumns(names).withColumn("alert_id", A.alert_id(*[F.col(k) for k in KEYS]))
+    last = named.groupBy("run").agg(F.max("batch").alias("batch"))
+    held = named.join(last, ["run", "batch"], "left_semi").filter("raised")
     last = rows.groupBy("run").agg(F.max("batch").alias("batch"))
-    return rows.join(last, ["run", "batch"], "left_semi").select("run", "alert_id", A.WINDOW_END)
+    rows = rows.join(last, ["run", "batch"], "left_semi")
+    return rows.unionByName(held.select(*rows.columns)).drop("batch")
 
 
 def stored_actions(spark: SparkSession, path: str) -> DataFrame:
@@ -318,8 +406,9 @@ class CounterTable(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         p = event.progress
         seen = p.observedMetrics
-        if seen or p.numInputRows:
-            counts = [seen[group][name] if group in seen else None for group, name in COUNTERS]
+        told = reported.pop((str(p.id), p.batchId), {})
+        if seen or told or p.numInputRows:
+            counts = [seen[group][name] if group in seen else told.get(group) for group, name in COUNTERS]
             self.rows.append((p.name, str(p.runId), p.batchId, *counts, p.durationMs.get("triggerExecution")))
 
     def await_batches(self, last: dict[str, int], seconds: float = 30.0) -> None:

@@ -187,3 +187,53 @@ def test_draining_idle_and_failed_queries(spark, tmp_path):
     with pytest.raises(Exception, match="sink is down"):
         run.drain([bad], 60)
     assert not sinks.draining
+
+
+def test_open_windows_of_one_query(spark, tmp_path):
+    """The update pipeline in one scan: the same transitions, a batch that is lost after its
+    writes and done again, metrics of closed windows once, counters."""
+    folder, out, cp = (str(tmp_path / x) for x in ("q", "out", "cp"))
+    steps = [
+        sent(spark, 10, "FAILED", 2_000_000),
+        sent(spark, 900, "OK", 1, 20),
+        sent(spark, 900, "FAILED", 1, 920),
+        queue_of(spark, [(DAY + timedelta(hours=1), "calm", 1, "OK")]),
+    ]
+    plain = sinks.open_windows_writer
+    lost = []
+
+    def losing(*args, **options):
+        write = plain(*args, **options)
+
+        def once_lost(batch, batch_id):
+            write(batch, batch_id)
+            if batch_id == 2 and not lost:
+                lost.append(batch_id)
+                raise RuntimeError("lost before the commit")
+
+        return once_lost
+
+    held = []
+    sinks.open_windows_writer = losing
+    try:
+        for n, step in enumerate(steps):
+            add_file(folder, n, step)
+            for _ in range(2):
+                source = queue.file_stream(spark, folder)
+                started = run.start_streams(
+                    source, cp, out, alert_mode="update", available_now=True, name=f"o{n}-"
+                )
+                try:
+                    run.wait(started)
+                    break
+                except Exception as failure:
+                    assert "lost before the commit" in str(failure)
+            held.append((sinks.latest_alerts(spark, out).count(), sinks.open_alerts(spark, out).count()))
+    finally:
+        sinks.open_windows_writer = plain
+    assert len(lost) == 1
+    assert held == [(5, 5), (0, 0), (5, 5), (5, 0)]
+    assert kinds(sinks.stored_alerts(spark, out)) == [("clear", 5), ("raise", 10)]
+    stored = spark.read.parquet(f"{out}/metrics")
+    assert stored.count() == 5 == stored.select("window").distinct().count()
+    assert {(r.log_count, r.unique_ports, r.failed_connections) for r in stored.collect()} == {(1810, 1, 910)}
