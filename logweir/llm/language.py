@@ -9,8 +9,10 @@
 4. Every text is scored whole. A word's share of its tail class is (c + 1) / Z, with c its
    count and Z the class's tokens, words and 1 for any word not counted, as in the base score.
 
-Tasks hold a dictionary of the commonest words (at most ``DICTIONARY``). Rarer words of a text
-travel as rows to the counts table and back as sums, so no vocabulary has to fit anywhere.
+Texts are split into words twice, to count them and to write their ids and sums to a stored
+table, from which the network learns and scores. Tasks hold a dictionary of the commonest words
+(at most ``DICTIONARY`` of at most ``LONGEST`` bytes). Rarer and longer words of a text travel
+as rows to the counts table and back as sums, so no vocabulary has to fit anywhere.
 
 Defined results: a null text is an empty one and has only its end; a null id is not held out;
 repeated rows are scored each; without training texts the network gives all classes alike and
@@ -37,13 +39,17 @@ END = b"\n"
 HEAD = 2048
 TAIL = 32
 ENDING = 3
-DICTIONARY = 400_000
+#: Ids as stored.
+KIND = np.dtype("<i2")
+DICTIONARY, LONGEST = 400_000, 64
 ROUNDS = 3
 RATE = 0.01
 FOLDS, HELD_OUT = 7, 2
 #: Bytes of text that a task counts, and that it looks up at once; groups that sum weights.
 COUNTED_BYTES = 12 << 20
 HELD_BYTES = 4 << 20
+#: Bytes of ids that are scored at once.
+HELD_IDS = 2 << 20
 SUMS = 256
 #: Texts of more tokens wait for others as long, so that they step together; and how many wait.
 LONG, HELD_LONG = 1024, 1_500_000
@@ -79,8 +85,8 @@ def words_of(bodies: pa.Array) -> Words:
     return Words(coded.dictionary.cast(pa.binary()).to_pylist(), coded.indices.to_numpy(), text, len(bodies))
 
 
-def _parts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Batches of about ``size`` bytes of text."""
+def _parts(batches: Iterator[pa.RecordBatch], size: int, column: str = "body") -> Iterator[pa.RecordBatch]:
+    """Batches of about ``size`` bytes of the column."""
 
     def joined() -> Iterator[pa.RecordBatch]:
         return iter(pa.Table.from_batches(held).combine_chunks().to_batches())
@@ -88,7 +94,7 @@ def _parts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
     held, have = [], 0
     for batch in batches:
         start = 0
-        ends = np.cumsum(pc.binary_length(batch["body"]).to_numpy(zero_copy_only=False).astype(np.int64))
+        ends = np.cumsum(pc.binary_length(batch[column]).to_numpy(zero_copy_only=False).astype(np.int64))
         while start < len(batch):
             done = ends[start - 1] if start else 0
             stop = min(max(int(np.searchsorted(ends, done + size - have, side="right")), start + 1), len(batch))
@@ -160,6 +166,10 @@ class Lexicon:
         return [np.append(x, np.int32(0)) for x in each]
 
 
+def _short(word: str = "word") -> Column:
+    return F.octet_length(word) <= LONGEST
+
+
 def _ending(word: str = "word") -> Column:
     size = F.octet_length(word)
     return F.substring(F.col(word), F.greatest(size - (ENDING - 1), F.lit(1)), F.lit(ENDING))
@@ -175,7 +185,7 @@ def lexicon(counts: DataFrame) -> tuple[Lexicon, int]:
             least = row["n"] + 1
             break
         held += row["words"]
-    known = counts.where((F.col("n") >= least) | (F.col("word") == F.lit(END))).toArrow()
+    known = counts.where((F.col("n") >= least) & _short() | (F.col("word") == F.lit(END))).toArrow()
     rows = sorted(zip(known["word"].to_pylist(), known["n"].to_pylist(), strict=True), key=lambda r: (r[0] != END, -r[1], r[0]))
     if not rows:
         rows = [(END, 0)]
@@ -201,20 +211,22 @@ def lexicon(counts: DataFrame) -> tuple[Lexicon, int]:
     return made, least
 
 
-def learn(texts: DataFrame, known: Lexicon, shared: Broadcast, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
-    """Weights learnt on ``texts`` (body, round); ``shared`` is the broadcast of ``known``."""
-    head = known.vocabulary.head
+def _ids(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(b.as_buffer(), KIND).astype(np.int32) for b in column]
+
+
+def learn(texts: DataFrame, known: Lexicon, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """Weights learnt on ``texts`` (ids, round)."""
+    head, vocabulary = known.vocabulary.head, known.vocabulary
     start = np.concatenate([np.maximum(known.counts[:head], 1), known.class_sizes])
-    weights = recurrent.initial(known.vocabulary, start)
+    weights = recurrent.initial(vocabulary, start)
     for turn in range(rounds):
         rate = RATE / (1 + turn)
 
         def learnt(batches: Iterator[pa.RecordBatch], weights=weights, rate=rate) -> Iterator[pa.RecordBatch]:
-            own = shared.value
-            learner = recurrent.Learner(own.vocabulary, weights, rate)
-            for part in _parts(batches, HELD_BYTES):
-                found = words_of(part["body"])
-                learner.take(own.sequences(found, own.ids_of(found.distinct, own.slots(found.distinct))))
+            learner = recurrent.Learner(vocabulary, weights, rate)
+            for part in _parts(batches, HELD_IDS, "ids"):
+                learner.take(_ids(part["ids"]))
             learner.finish()
             if learner.learnt:
                 summed = (recurrent.flat(learner.weights) * np.float32(learner.learnt)).tobytes()
@@ -232,7 +244,7 @@ def learn(texts: DataFrame, known: Lexicon, shared: Broadcast, rounds: int = ROU
             if count:
                 yield pa.RecordBatch.from_pydict({"learnt": [count], "mean": [(total / count).astype(np.float32).tobytes()]})
 
-        parts = texts.where(F.col("round") == turn).select("body").mapInArrow(learnt, "slot long, learnt long, summed binary")
+        parts = texts.where(F.col("round") == turn).select("ids").mapInArrow(learnt, "slot long, learnt long, summed binary")
         # Each task of the second step adds up what a few of the first have learnt.
         sums = parts.repartition("slot").mapInArrow(added, "learnt long, mean binary").collect()
         if sums:
@@ -242,46 +254,24 @@ def learn(texts: DataFrame, known: Lexicon, shared: Broadcast, rounds: int = ROU
     return weights
 
 
-def scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    spark = docs.sparkSession
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        is_held_out().alias("held_out"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(rounds)).cast("int").alias("round"),
-        utf8("text").alias("body"),
-    )
-    training = rows.where("not held_out")
-    counts = materialize(word_counts(training.select("body")), "word-counts")
-    known, least = lexicon(counts)
-    shared = spark.sparkContext.broadcast(known)
-    weights = learn(training.select("body", "round"), known, shared, rounds)
-    learnt = spark.sparkContext.broadcast(weights)
-    n, v = known.n, known.v
-    log_base, log_z = np.log10(n + v + 1.0), np.log10(known.class_sizes)
+def coded(rows: DataFrame, shared: Broadcast) -> DataFrame:
+    """Each text's ids, and what counts say of its words; rare words with their times.
+
+    ``rows`` has row, doc_id, held_out, round and body; ``shared`` is the broadcast lexicon.
+    """
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, network = shared.value, learnt.value
+        own = shared.value
         head = own.vocabulary.head
-        log_count = np.log10(own.counts + 1.0)
-
+        log_count, log_z = np.log10(own.counts + 1.0), np.log10(own.class_sizes)
         end_log, end_seen = log_count[0], int(own.counts[0] > 0)
-
-        def scored(rows: pa.Table, texts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            score = recurrent.score(own.vocabulary, network, texts) / np.log(10)
-            at = names.index("score")
-            total = pa.array(rows["score"].to_numpy() + score)
-            yield from rows.set_column(at, "score", total).combine_chunks().to_batches()
-
-        waiting: list[pa.Table] = []
-        long_texts: list[np.ndarray] = []
         for part in _parts(batches, HELD_BYTES):
             found = words_of(part["body"])
             slots = own.slots(found.distinct)
             ids = own.ids_of(found.distinct, slots)
             inside = slots >= 0
             log = np.where(inside, log_count[slots], 0.0)
-            # A tail word's share of its class; the rarest words' counts are added below.
+            # A tail word's share of its class; the rarest words' counts are added later.
             share = np.where(ids >= head, log - log_z[np.maximum(ids - head, 0)], 0.0)
 
             def by_text(values: np.ndarray, found: Words = found) -> np.ndarray:
@@ -293,51 +283,89 @@ def scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             of, word = np.divmod(pairs, max(len(found.distinct), 1))
             cuts = np.searchsorted(of, np.arange(found.texts + 1)).astype(np.int32)
             rare = pa.array([found.distinct[w] for w in word.tolist()], pa.binary())
-            rows = pa.Table.from_arrays(
+            texts = [x.astype(KIND).tobytes() for x in own.sequences(found, ids)]
+            yield pa.RecordBatch.from_arrays(
                 [
-                    *(part[c] for c in ("row", "doc_id", "held_out")),
+                    *(part[c] for c in ("row", "doc_id", "held_out", "round")),
                     pa.array(found.lengths + 1),
                     pa.array(seen),
                     pa.array(by_text(log) + end_log),
                     pa.array(by_text(share)),
                     pa.ListArray.from_arrays(pa.array(cuts), rare),
                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(times)),
+                    pa.array(texts, pa.binary()),
                 ],
-                names=names,
+                names=[c.split()[0] for c in schema],
             )
-            texts = own.sequences(found, ids)
-            long = found.lengths >= LONG
-            yield from scored(rows.filter(pa.array(~long)), [t for t, x in zip(texts, long.tolist(), strict=True) if not x])
+
+    schema = (
+        "row long", "doc_id long", "held_out boolean", "round int", "n_tokens long", "seen long", "logs double",
+        "share double", "words array<binary>", "times array<long>", "ids binary",
+    )
+    return rows.mapInArrow(made, ", ".join(schema))
+
+
+def network_scores(rows: DataFrame, vocabulary: recurrent.Vocabulary, learnt: Broadcast) -> DataFrame:
+    """``rows`` with the network's log10 probability of their ``ids`` as ``network`` in their place."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = learnt.value
+
+        def scored(rows: pa.Table, texts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            score = recurrent.score(vocabulary, weights, texts) / np.log(10)
+            yield from rows.append_column("network", pa.array(score)).combine_chunks().to_batches()
+
+        waiting: list[pa.Table] = []
+        long_texts: list[np.ndarray] = []
+        for part in _parts(batches, HELD_IDS, "ids"):
+            texts = _ids(part["ids"])
+            rows = pa.Table.from_batches([part]).drop_columns("ids")
+            long = np.array([len(t) > LONG for t in texts], dtype=bool)
+            yield from scored(rows.filter(pa.array(~long)), [t for t in texts if len(t) <= LONG])
             waiting.append(rows.filter(pa.array(long)))
-            long_texts += [t for t, x in zip(texts, long.tolist(), strict=True) if x]
+            long_texts += [t for t in texts if len(t) > LONG]
             if sum(map(len, long_texts)) > HELD_LONG:
                 yield from scored(pa.concat_tables(waiting), long_texts)
                 waiting, long_texts = [], []
         if long_texts:
             yield from scored(pa.concat_tables(waiting), long_texts)
 
-    names = ["row", "doc_id", "held_out", "n_tokens", "seen", "logs", "score", "words", "times"]
-    schema = (
-        "row long, doc_id long, held_out boolean, n_tokens long, seen long, logs double, score double, "
-        "words array<binary>, times array<long>"
+    return rows.mapInArrow(made, rows.drop("ids").schema.add("network", "double"))
+
+
+def scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
+    spark = docs.sparkSession
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        is_held_out().alias("held_out"),
+        F.pmod(F.xxhash64("doc_id"), F.lit(rounds)).cast("int").alias("round"),
+        utf8("text").alias("body"),
     )
-    numbered = rows.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "held_out", "body")
-    local = materialize(numbered.mapInArrow(made, schema), "local-scores")
+    counts = materialize(word_counts(rows.where("not held_out").select("body")), "word-counts")
+    known, least = lexicon(counts)
+    shared = spark.sparkContext.broadcast(known)
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    local = materialize(coded(numbered.select("row", "doc_id", "held_out", "round", "body"), shared), "coded-texts")
+    learnt = spark.sparkContext.broadcast(learn(local.where("not held_out").select("ids", "round"), known, rounds))
     rare = local.select("row", F.explode(F.arrays_zip("words", "times")).alias("w"))
     rare = rare.select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
-    looked_up = rare.join(counts.where(F.col("n") < least), "word", "left")
+    looked_up = rare.join(counts.where((F.col("n") < least) | ~_short()), "word", "left")
     log_n = F.log10(F.coalesce("n", F.lit(0)) + 1.0)
     sums = looked_up.groupBy("row").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("seen_rare"),
         F.sum(F.col("times") * log_n).alias("logs_rare"),
     )
     logs_rare = F.coalesce("logs_rare", F.lit(0.0))
-    return local.join(sums, "row", "left").select(
+    whole = local.select("row", "doc_id", "held_out", "n_tokens", "seen", "logs", "share", "ids")
+    scored = network_scores(whole, known.vocabulary, learnt)
+    log_base = float(np.log10(known.n + known.v + 1.0))
+    return scored.join(sums, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("seen") + F.coalesce("seen_rare", F.lit(0))).alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("logs") + logs_rare - F.col("n_tokens") * F.lit(float(log_base))).alias("base_score"),
-        (F.col("score") + logs_rare).alias("score"),
+        F.lit(known.n).cast("long").alias("train_tokens"),
+        (F.col("logs") + logs_rare - F.col("n_tokens") * F.lit(log_base)).alias("base_score"),
+        (F.col("network") + F.col("share") + logs_rare).alias("score"),
     )

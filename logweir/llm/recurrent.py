@@ -28,7 +28,7 @@ WINDOW = 16
 #: Longest piece of a text that is learnt in one lane; scores never cut a text.
 PIECE = 1024
 #: Ids that a worker packs into lanes at once to learn.
-HELD_LEARN = 400_000
+HELD_LEARN = 1_200_000
 
 
 @dataclass(frozen=True)
@@ -74,10 +74,12 @@ def initial(vocabulary: Vocabulary, counts: np.ndarray, seed: int = 3) -> dict[s
 def lanes_of(texts: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(targets, inputs, text number, begin mark), each steps x lanes; -1 is padding.
 
-    Longest first, each text goes to the shortest lane; lanes end up sorted by length.
+    Longest first, each text goes to the shortest lane; lanes end up sorted by length. There are
+    no more lanes than the longest text fills, so that few steps are padding.
     """
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-    heap = [(0, lane) for lane in range(min(lanes, len(texts)))]
+    filled = -(-sum(map(len, texts)) // len(texts[order[0]]))
+    heap = [(0, lane) for lane in range(min(lanes, len(texts), filled))]
     held: list[list[int]] = [[] for _ in heap]
     for i in order:
         length, lane = heapq.heappop(heap)

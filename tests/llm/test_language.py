@@ -143,3 +143,23 @@ def test_long_texts_are_learnt_with_the_state_before_each_piece(network, monkeyp
 def test_the_network_tells_2048_words_apart(spark):
     counts = spark.createDataFrame([(f"w{i}".encode(), 1) for i in range(3000)], "word binary, n long")
     assert language.lexicon(counts)[0].vocabulary.head == 2048
+
+
+def test_words_of_megabytes_stay_out_of_the_dictionary(spark):
+    """Texts of one long word each, some of them the same, are counted and scored exactly."""
+    rows = [(i, f"{i % 7}" + "x" * 400_000) for i in range(30)] + [(100 + i, "a b c") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = language.word_counts(docs.where(~language.is_held_out()).select(language.utf8("text").alias("body")))
+    lexicon = language.lexicon(counts)[0]
+    assert max(map(len, lexicon.words)) <= language.LONGEST
+    train = [t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    times = {}
+    for t in train:
+        for w in [*t.split(), "\n"]:
+            times[w] = times.get(w, 0) + 1
+    n, v = sum(times.values()), len(times)
+    for r in language.scores(docs, rounds=1).collect():
+        tokens = [*dict(rows)[r["doc_id"]].split(), "\n"]
+        assert r["n_known"] == sum(t in times for t in tokens) and r["train_tokens"] == n
+        assert r["base_score"] == pytest.approx(sum(np.log10((times.get(t, 0) + 1) / (n + v + 1)) for t in tokens))
+        assert np.isfinite(r["score"]) and r["score"] < 0
