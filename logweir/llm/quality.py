@@ -6,8 +6,12 @@ never below zero. The share of good text among the unlabelled (the class prior)
 from the same two samples; labelled negatives are not used.
 
 Inputs are what a text looks like: shapes of its words, kinds of characters, repetition. They
-are taken from whole texts, in one pass. The two training samples are bounded (``POSITIVES``,
-``UNLABELLED``); they are the rows with the smallest hashes, so reruns agree.
+are taken from whole texts in one pass and stored, a few hundred bytes a row. The features'
+mean and spread and the masses of unlabelled text above a score's cuts, from which the prior
+is estimated, are counted by Spark over the stored features of all documents that are not
+held out. Only the gradient steps work on samples (``POSITIVES``, ``UNLABELLED`` rows); these are
+the rows with the smallest hashes, so reruns agree, and an id that very many rows share brings no
+more than the bound.
 
 Defined results: a null text is an empty one and gets a score like any other; without
 positives (under four) all scores are 0.5; repeated rows get the same score; an empty table gives no rows;
@@ -17,7 +21,7 @@ a null id counts as not held out, but is never learnt from.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from operator import eq
 
 import numpy as np
@@ -25,9 +29,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweir.llm.common import own_columns, utf8
+from logweir.llm.common import materialize, utf8
 
-#: Bounds of the training samples.
+#: Bounds of the samples of the gradient steps.
 POSITIVES = 6000
 UNLABELLED = 12000
 #: Buckets for word shapes.
@@ -124,10 +128,20 @@ def _softplus(g: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, g)
 
 
-def train(positives: np.ndarray, unlabelled: np.ndarray, prior: float | None, seed: int = 1) -> Scorer:
-    """Minimise the non-negative risk; without a prior, tell positives from unlabelled."""
-    both = np.concatenate([positives, unlabelled]).astype(float)
-    model = Scorer(both.mean(0), both.std(0) + 1e-3, seed)
+Moments = tuple[np.ndarray, np.ndarray]
+
+
+def train(
+    positives: np.ndarray, unlabelled: np.ndarray, prior: float | None, seed: int = 1, moments: Moments | None = None
+) -> Scorer:
+    """Minimise the non-negative risk; without a prior, tell positives from unlabelled.
+
+    ``moments`` are the features' mean and spread, by default those of the samples.
+    """
+    if moments is None:
+        both = np.concatenate([positives, unlabelled]).astype(float)
+        moments = both.mean(0), both.std(0)
+    model = Scorer(moments[0], moments[1] + 1e-3, seed)
     p, u = model.scaled(positives.astype(float)), model.scaled(unlabelled.astype(float))
     rng = np.random.default_rng(seed + 1)
     first, second = [np.zeros_like(w) for w in model.w], [np.zeros_like(w) for w in model.w]
@@ -155,28 +169,44 @@ def train(positives: np.ndarray, unlabelled: np.ndarray, prior: float | None, se
     return model
 
 
-def _ratio(model: Scorer, positives: np.ndarray, unlabelled: np.ndarray) -> float:
-    """The least ratio of the samples' masses above a cut; cuts lie in the positives' lower tail."""
-    p, u = np.sort(model.score(positives)), np.sort(model.score(unlabelled))
+#: Shares of the unlabelled rows, not trained on, that score at least as much as each cut.
+Above = Callable[[Scorer, np.ndarray], np.ndarray]
+
+
+def _ratio(model: Scorer, positives: np.ndarray, above: Above) -> float:
+    """The least ratio of the masses above a cut; cuts lie in the positives' lower tail."""
+    p = np.sort(model.score(positives))
     cuts = np.quantile(p, [0.0, 0.001, 0.002, 0.004, 0.008, 0.016, 0.03, 0.06, 0.12, 0.25, 0.5])
     above_p = 1 - np.searchsorted(p, cuts) / len(p)
-    above_u = 1 - np.searchsorted(u, cuts) / len(u)
-    return float(np.clip((above_u / above_p).min(), 0.02, 0.98))
+    return float(np.clip((above(model, cuts) / above_p).min(), 0.02, 0.98))
 
 
-def class_prior(positives: np.ndarray, unlabelled: np.ndarray, seed: int = 1) -> float:
+def class_prior(
+    positives: np.ndarray,
+    unlabelled: np.ndarray,
+    seed: int = 1,
+    above: Above | None = None,
+    moments: Moments | None = None,
+) -> float:
     """Share of positives among the unlabelled.
 
     Above any cut of any score, unlabelled text has at least the share's part of the positives'
     mass, so the ratio of the two masses bounds the share from above; it is tight where few
     bad texts lie above the cut. One half of each sample trains the scores, first those that
-    tell the samples apart, then those of the risk at the bound so far; the other half gives
-    the ratio.
+    tell the samples apart, then those of the risk at the bound so far. The ratio is that of the
+    positives' other half and of what ``above`` counts, by default the unlabelled sample's
+    other half; with ``above`` the whole unlabelled sample trains.
     """
-    trained, seen = (positives[::2], unlabelled[::2]), (positives[1::2], unlabelled[1::2])
-    prior = _ratio(train(*trained, None, seed), *seen)
+    trained, seen = (positives[::2], unlabelled), positives[1::2]
+    if above is None:
+        trained, rest = (positives[::2], unlabelled[::2]), unlabelled[1::2]
+
+        def above(model: Scorer, cuts: np.ndarray) -> np.ndarray:
+            return 1 - np.searchsorted(np.sort(model.score(rest)), cuts) / len(rest)
+
+    prior = _ratio(train(*trained, None, seed, moments), seen, above)
     for _ in range(ROUNDS):
-        prior = min(prior, _ratio(train(*trained, prior, seed), *seen))
+        prior = min(prior, _ratio(train(*trained, prior, seed, moments), seen, above))
     return prior
 
 
@@ -184,50 +214,98 @@ def fold(doc_id: str = "doc_id", folds: int = FOLDS) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds
 
 
-def _sample(df: DataFrame, rows: int, seed: int) -> DataFrame:
-    """The ``rows`` ids with the smallest hashes, as a table of known, bounded size."""
-    order = F.xxhash64("doc_id", F.lit(seed))
-    chosen = df.select("doc_id").distinct().orderBy(order, "doc_id").limit(rows).collect()
-    return df.sparkSession.createDataFrame([(r["doc_id"],) for r in chosen], "sampled long")
-
+def featured(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, x (the features' bytes) of every row; stored."""
 
-def _matrix(docs: DataFrame, chosen: DataFrame) -> np.ndarray:
-    def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [features(b.as_py()).tobytes() for b in batch["body"]]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "x": pa.array(rows, pa.binary())})
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], batch["held_out"], pa.array(rows, pa.binary())], names=["doc_id", "held_out", "x"]
+            )
 
-    # The sample's size has a bound, so texts need no shuffle to meet it.
-    rows = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("sampled")).select(
-        F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("body")
-    )
-    found = sorted(rows.mapInArrow(taken, "doc_id long, x binary").collect(), key=lambda r: (r["doc_id"], bytes(r["x"])))
-    width = STATS + SHAPES
-    return np.array([np.frombuffer(r["x"], dtype=np.float32) for r in found]).reshape(-1, width)
-
-
-def fit(docs: DataFrame, labels: DataFrame, seed: int = 1) -> Scorer | None:
-    """Learn from the positives and from all documents, neither held out."""
-    mine = (F.col("doc_id").isNotNull()) & (fold() != 0)
-    trusted = labels.where(mine & (F.col("quality") == 1))
-    p = _matrix(docs, _sample(trusted, POSITIVES, seed))
-    u = _matrix(docs, _sample(docs.where(mine), UNLABELLED, seed + 1))
-    if len(p) < 4 or len(u) < 4:
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    rows = docs.select(doc_id, F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), utf8("text").alias("body"))
+    return materialize(rows.mapInArrow(made, "doc_id long, held_out boolean, x binary"), "quality-features")
+
+
+def _array(found: Iterable[bytes]) -> np.ndarray:
+    return np.array([np.frombuffer(x, dtype=np.float32) for x in found]).reshape(-1, STATS + SHAPES)
+
+
+def _sample(rows: DataFrame, most: int, seed: int) -> np.ndarray:
+    """Features of the ``most`` rows with the smallest hashes."""
+    taken = rows.orderBy(F.xxhash64("doc_id", "x", F.lit(seed)), "doc_id", "x").limit(most).select("doc_id", "x")
+    return _array(bytes(r["x"]) for r in sorted(taken.collect(), key=lambda r: (r["doc_id"], bytes(r["x"]))))
+
+
+def moments_of(rows: DataFrame) -> Moments:
+    """Mean and spread of each feature over all rows."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, STATS + SHAPES))
+        n = 0
+        for batch in batches:
+            x = _array(b.as_py() for b in batch["x"]).astype(float)
+            total += x.sum(0), (x * x).sum(0)
+            n += len(x)
+        columns = {"k": np.arange(total.shape[1]), "s": total[0], "q": total[1], "n": np.full(total.shape[1], n)}
+        yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
+
+    sums = rows.select("x").mapInArrow(summed, "k long, s double, q double, n long")
+    found = sums.groupBy("k").agg(F.sum("s").alias("s"), F.sum("q").alias("q"), F.sum("n").alias("n")).orderBy("k").collect()
+    n = max(found[0]["n"], 1) if found else 1
+    mean, square = (np.array([r[c] for r in found]) / n for c in ("s", "q"))
+    # In single precision, in which the order of addition does not show.
+    return mean.astype(np.float32).astype(float), np.sqrt(np.maximum(square - mean**2, 0)).astype(np.float32).astype(float)
+
+
+def shares_above(rows: DataFrame, model: Scorer, cuts: np.ndarray) -> np.ndarray:
+    """The share of all rows that score at least as much as each cut."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above, n = np.zeros(len(cuts), np.int64), 0
+        for batch in batches:
+            score = np.sort(model.score(_array(b.as_py() for b in batch["x"])))
+            above += len(score) - np.searchsorted(score, cuts)
+            n += len(score)
+        columns = {"k": np.arange(len(cuts)), "above": above, "n": np.full(len(cuts), n)}
+        yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
+
+    sums = rows.select("x").mapInArrow(counted, "k long, above long, n long").groupBy("k")
+    found = sums.agg(F.sum("above").alias("above"), F.sum("n").alias("n")).orderBy("k").collect()
+    return np.array([r["above"] / max(r["n"], 1) for r in found])
+
+
+def fit(rows: DataFrame, labels: DataFrame, seed: int = 1) -> Scorer | None:
+    """Learn from the positives and from all documents, neither held out; ``rows`` are featured."""
+    mine = rows.where("doc_id is not null and not held_out")
+    good = labels.where(F.col("quality") == 1).select(F.col("doc_id").cast("long").alias("__good")).distinct()
+    p = _sample(mine.join(good, F.col("doc_id") == F.col("__good"), "left_semi"), POSITIVES, seed)
+    # One half of the rows trains the scores whose masses are counted in the other half.
+    half = F.pmod(F.xxhash64("doc_id", "x", F.lit(seed + 2)), F.lit(2))
+    u = [_sample(mine.where(half == k), UNLABELLED // 2, seed + 1) for k in (0, 1)]
+    if len(p) < 4 or not all(map(len, u)) or sum(map(len, u)) < 4:
         return None
-    return train(p, u, class_prior(p, u, seed), seed)
+    moments, counted = moments_of(mine), mine.where(half == 1)
 
+    def above(model: Scorer, cuts: np.ndarray) -> np.ndarray:
+        return shares_above(counted, model, cuts)
 
-def scored(docs: DataFrame, model: Scorer | None, kept: list[str]) -> DataFrame:
-    """The ``kept`` columns of every row with its ``score``."""
-    rows = docs.select(*kept, utf8("text").alias("__body"))
-    schema = rows.drop("__body").withColumn("score", F.lit(0.5)).schema
+    prior = class_prior(p, u[0], seed, above, moments)
+    return train(p, np.concatenate(u), prior, seed, moments)
+
+
+def _scored(rows: DataFrame, model: Scorer | None, kept: list[str], column: str, read) -> DataFrame:
+    """The ``kept`` columns of every row with its ``score``; ``read`` makes features of ``column``."""
+    schema = rows.select(*kept).withColumn("score", F.lit(0.5)).schema
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if model is None:
                 score = np.full(len(batch), 0.5)
             else:
-                score = model.score(np.array([features(b.as_py()) for b in batch["__body"]]).reshape(len(batch), -1))
+                score = model.score(_array(read(b.as_py()) for b in batch[column]))
             columns = [batch[c] for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(score, pa.float64())], names=[*kept, "score"])
 
@@ -236,18 +314,17 @@ def scored(docs: DataFrame, model: Scorer | None, kept: list[str]) -> DataFrame:
 
 def quality_scores(docs: DataFrame, labels: DataFrame, seed: int = 1) -> DataFrame:
     """doc_id, held_out, score, predicted of every row."""
-    found = scored(docs.select("doc_id", "text"), fit(docs, labels, seed), ["doc_id"])
-    held_out = F.coalesce(fold() == 0, F.lit(False))
-    return found.select(
-        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
-    )
+    rows = featured(docs.select("doc_id", "text"))
+    found = _scored(rows, fit(rows, labels, seed), ["doc_id", "held_out"], "x", bytes)
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, seed: int = 1) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts."""
-    model = fit(docs, labels, seed)
-    kept = own_columns(docs, ["score"])
-    if len(kept) == len(docs.columns):
-        return scored(docs, model, kept).where(F.col("score") >= THRESHOLD).drop("score")
-    clash = next(c for c in docs.columns if c.lower() == "score")
-    return keep_good(docs.withColumnRenamed(clash, "__own"), labels, seed).withColumnRenamed("__own", clash)
+    model = fit(featured(docs.select("doc_id", "text")), labels, seed)
+    # Names of their own, whatever the caller's columns are called.
+    names = [f"__{i}" for i in range(len(docs.columns))]
+    text = names[[c.lower() for c in docs.columns].index("text")]
+    own = docs.toDF(*names).withColumn("__body", utf8(text))
+    kept = _scored(own, model, names, "__body", lambda text: features(text).tobytes())
+    return kept.where(F.col("score") >= THRESHOLD).select(*names).toDF(*docs.columns)

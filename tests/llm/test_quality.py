@@ -81,3 +81,35 @@ def test_without_positives_or_rows(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [r["score"] for r in quality.quality_scores(docs, labels).collect()] == [0.5, 0.5]
     assert quality.quality_scores(docs.limit(0), labels).count() == 0
+
+
+def test_columns_named_as_the_operator_names_its_own(tables, spark):
+    docs, labels = tables
+    small = docs.limit(120)
+    names = ["sampled", "x", "held_out", "score", "body", "__good", "__body", "k", "n", "__0", "fold"]
+    wide = small.select("*", *[quality.F.lit(i).alias(n) for i, n in enumerate(names)])
+    plain = sorted(map(tuple, quality.quality_scores(small, labels).collect()))
+    assert sorted(map(tuple, quality.quality_scores(wide, labels).collect())) == plain
+    kept = quality.keep_good(wide, labels)
+    assert kept.columns == wide.columns
+    rows = kept.collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(r[0] for r in plain if r[3] == 1)
+    assert all([r[n] for n in names] == list(range(len(names))) for r in rows)
+
+
+def test_statistics_cover_all_rows(spark):
+    """Moments and masses of more rows than a sample holds; an id that a third of them share."""
+    rng = np.random.default_rng(5)
+    n = quality.UNLABELLED + 6000
+    x = rng.normal(2, 3, (n, quality.STATS + quality.SHAPES)).astype(np.float32)
+    data = [(7 if i % 3 == 0 else i, v.tobytes()) for i, v in enumerate(x)]
+    rows = spark.createDataFrame(data, "doc_id long, x binary").repartition(4)
+    mean, spread = quality.moments_of(rows)
+    assert mean == pytest.approx(x.mean(0), rel=1e-4) and spread == pytest.approx(x.std(0), rel=1e-4)
+    model = quality.Scorer(mean, spread, 3)
+    cuts = np.quantile(model.score(x), [0.1, 0.5, 0.99])
+    want = [(model.score(x) >= c).mean() for c in cuts]
+    assert quality.shares_above(rows, model, cuts) == pytest.approx(want)
+    assert len(quality._sample(rows.where("doc_id = 7"), 500, 1)) == 500
+    again = quality._sample(rows.repartition(7), 500, 1)
+    assert np.array_equal(quality._sample(rows, 500, 1), again)
