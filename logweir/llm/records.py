@@ -34,11 +34,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logweir.llm.common import materialize, utf8, work_folder
+from logweir.llm.common import materialize, pieces, utf8, work_folder
 
 END = 0
-#: A shard is read whole by one task.
-SHARD_RECORDS = 4096
+#: A shard is read whole by one task: it ends at these records, or these bytes and one record.
+SHARD_RECORDS, SHARD_BYTES = 4096, 16 << 20
 #: Words that stay known to a worker, and bytes of text that it encodes at once.
 KNOWN = 400_000
 HELD_BYTES = 4 << 20
@@ -219,31 +219,43 @@ def _strings(body: pa.Array) -> pa.Array:
         return pa.array([b.decode("utf-8", "replace") for b in body.to_pylist()], pa.string())
 
 
-def write_shards(docs: DataFrame, path: str, tokenizer: str, shard_records: int = SHARD_RECORDS) -> None:
-    """Write the documents' ids in ascending order of doc_id."""
+def write_shards(
+    docs: DataFrame, path: str, tokenizer: str, shard_records: int = SHARD_RECORDS, shard_bytes: int = SHARD_BYTES
+) -> None:
+    """Write the documents' ids in ascending order of doc_id; a row of the writer is a shard."""
 
     def framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         end = np.array([END], dtype=encode.kind)
 
-        def flush() -> pa.RecordBatch:
+        def row() -> pa.RecordBatch:
+            # Without the last line feed, which the writer adds.
+            return pa.RecordBatch.from_pydict({"value": pa.array([b"".join(shard)[:-1]], pa.binary())})
+
+        def flush() -> Iterator[pa.RecordBatch]:
             rows = pa.Table.from_batches(held).combine_chunks()
             texts = _strings(rows["body"].combine_chunks())
-            # Without the line feed, which the writer adds.
-            out = [
-                frame(d, ids.tobytes() + end.tobytes(), encode.wide)[:-1]
-                for d, ids in zip(rows["doc_id"].to_pylist(), encode(texts), strict=True)
-            ]
-            return pa.RecordBatch.from_pydict({"value": pa.array(out, pa.binary())})
+            nonlocal size
+            for d, ids in zip(rows["doc_id"].to_pylist(), encode(texts), strict=True):
+                shard.append(frame(d, ids.tobytes() + end.tobytes(), encode.wide))
+                size += len(shard[-1])
+                if len(shard) >= shard_records or size >= shard_bytes:
+                    yield row()
+                    shard.clear()
+                    size = 0
 
         held: list[pa.RecordBatch] = []
-        for batch in batches:
+        shard: list[bytes] = []
+        size = 0
+        for batch in pieces(batches, "body", HELD_BYTES):
             held.append(batch)
             if sum(b.nbytes for b in held) >= HELD_BYTES:
-                yield flush()
+                yield from flush()
                 held = []
-        if sum(map(len, held)):
-            yield flush()
+        if held:
+            yield from flush()
+        if shard:
+            yield row()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("body"))
     # The digest splits the range of an id that very many rows have.
@@ -252,7 +264,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, shard_records: int
     (
         ordered.mapInArrow(framed, "value binary")
         .select(F.col("value").cast("string").alias("value"))
-        .write.option("maxRecordsPerFile", shard_records)
+        .write.option("maxRecordsPerFile", 1)
         .text(path)
     )
 

@@ -108,5 +108,16 @@ def test_records_come_back_in_order(spark, encoder, tmp_path):
         assert (doc_id, len(ids)) == (r["doc_id"], r["n_tokens"])
 
 
+def test_shards_are_bounded_in_bytes(spark, encoder, tmp_path):
+    data = [(k, "word " * (20_000 if k % 5 == 0 else 3)) for k in range(40)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(2)
+    records.write_shards(docs, str(tmp_path / "s"), tokenizer_path(), shard_bytes=100_000)
+    sizes = [f.stat().st_size for f in (tmp_path / "s").glob("part-*")]
+    one = max(len(records.frame(0, x.tobytes(), False)) for x in encoder(pa.array([t for _, t in data])))
+    assert len(sizes) >= 3 and max(sizes) < 100_000 + one + 64
+    found = records.read_shards(spark, str(tmp_path / "s")).orderBy("shard", "position").collect()
+    assert sorted(r["doc_id"] for r in found) == list(range(40))
+
+
 def test_empty_table(spark):
     assert records.token_records(spark.createDataFrame([], "doc_id long, text string"), tokenizer_path()).count() == 0
