@@ -16,7 +16,7 @@ an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -72,30 +72,34 @@ def majority(hashes: list[list[int]]) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """doc_id, fp: the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, width: int = SHINGLE, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The columns ``carry`` (longs) and fp: the fingerprint as a signed long."""
+    names = list(carry)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict(
-                {"doc_id": pa.array(ids, pa.int64()), "fp": pa.array(majority(hashes).view(np.int64))}
-            )
+            own = pa.Table.from_batches(taken).combine_chunks()
+            columns = [own[c].combine_chunks() for c in names]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(majority(hashes).view(np.int64))], names=[*names, "fp"])
 
-        ids, hashes, held = [], [], 0
+        taken, hashes, held = [], [], 0
         for batch in batches:
-            for doc_id, body in zip(batch["doc_id"].to_pylist(), batch["body"], strict=True):
+            done = 0
+            for i, body in enumerate(batch["body"], 1):
                 found = shingle_hashes(body.as_py(), width)
-                ids.append(doc_id)
                 hashes.append(found)
                 held += len(found) + 1
+                if held > HELD_SHINGLES or i == len(batch):
+                    taken.append(batch.select(names).slice(done, i - done))
+                    done = i
                 if held > HELD_SHINGLES:
                     yield flush()
-                    ids, hashes, held = [], [], 0
-        if ids:
+                    taken, hashes, held = [], [], 0
+        if hashes:
             yield flush()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("body"))
-    return rows.mapInArrow(made, "doc_id long, fp long")
+    rows = docs.select(*[F.col(c).cast("long").alias(c) for c in names], utf8("text").alias("body"))
+    return rows.mapInArrow(made, ", ".join(f"{c} long" for c in [*names, "fp"]))
 
 
 def block_masks(blocks: int) -> list[int]:
@@ -230,10 +234,23 @@ def near_copies(docs: DataFrame, width: int = SHINGLE, distance: int = DISTANCE,
 
 
 def drop_near_copies(docs: DataFrame, width: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One row of each component: its smallest id; rows with a null id stay."""
-    found = near_copies(docs.select("doc_id", "text"), width, distance)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    first = Window.partitionBy("__kept").orderBy(F.xxhash64("text"), "text")
-    chosen = docs.join(materialize(kept, "kept-ids"), F.col("doc_id") == F.col("__kept"))
-    chosen = chosen.withColumn("__row", F.row_number().over(first)).where("__row = 1")
+    """One row of each group of linked texts; rows with a null id stay.
+
+    Texts are linked, not ids: unlike texts under one id are in groups of their own. Of a group
+    the row with the smallest id stays, of several texts of that id one by a digest, and of rows
+    that are the same text one.
+    """
+    doc_id, digest = F.col("doc_id").cast("long"), F.xxhash64(utf8("text"))
+    known = docs.where("doc_id is not null")
+    rows = known.select(doc_id.alias("doc_id"), "text", digest.alias("__digest"))
+    marked = materialize(fingerprints(rows, width, ("doc_id", "__digest")), "fingerprints")
+    classes = marked.select("fp", F.col("fp").alias("node")).distinct()
+    linked = components(links(materialize(classes, "fingerprint-classes"), distance))
+    of_row = marked.join(linked, F.col("fp") == F.col("node"), "left")
+    of_row = of_row.withColumn("component", F.coalesce("component", "fp"))
+    first = of_row.groupBy("component").agg(F.min(F.struct("doc_id", "__digest")).alias("first"))
+    kept = materialize(first.select(F.col("first.doc_id").alias("__kept"), F.col("first.__digest").alias("__same")), "kept-texts")
+    chosen = known.join(kept, (doc_id == F.col("__kept")) & (digest == F.col("__same")))
+    order = Window.partitionBy("__kept", "__same").orderBy("text")
+    chosen = chosen.withColumn("__row", F.row_number().over(order)).where("__row = 1")
     return chosen.select(*docs.columns).union(docs.where("doc_id is null"))

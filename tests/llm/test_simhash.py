@@ -75,6 +75,22 @@ def test_one_of_each_component_stays(spark):
     assert sorted((r["doc_id"] for r in found.collect()), key=str) == want
 
 
+def test_unlike_texts_of_one_id_all_stay(spark):
+    """A third of all rows share an id; their texts are copies of three unlike ones."""
+    words = [[f"w{k}x{i}" for i in range(60)] for k in range(90)]
+    texts = [" ".join(w) for w in words]
+    near = " ".join(words[80][:-1])
+    data = [(5, texts[k % 3], k) for k in range(40)] + [(100 + k, texts[k], 0) for k in range(3, 80)]
+    data += [(300, texts[80], 0), (299, near, 0), (299, texts[81], 0), (None, texts[0], 0), (6, texts[0], 0), (7, None, 0), (8, "", 0)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, node int").repartition(5)
+    found = simhash.drop_near_copies(docs, distance=12)
+    assert found.columns == docs.columns
+    rows = sorted(((r["doc_id"], r["text"]) for r in found.collect()), key=str)
+    want = [(5, texts[k]) for k in range(3)] + [(100 + k, texts[k]) for k in range(3, 80)]
+    want += [(299, near), (299, texts[81]), (None, texts[0]), (7, None)]
+    assert rows == sorted(want, key=str)
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(0, i) for i in range(1, 80)] + [(7, 7)]
     found = components(spark.createDataFrame(links, "a long, b long")).collect()
