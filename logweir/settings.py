@@ -81,14 +81,14 @@ def configure(
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach: under ``spark.checkpoint.dir``, else
-    under the checkpoint folder of the context, else under the warehouse."""
-    base = (
-        spark.conf.get("spark.checkpoint.dir", None)
-        or spark.sparkContext.getCheckpointDir()
-        or spark.conf.get("spark.sql.warehouse.dir", None)
-    )
+    under the checkpoint folder of the context, else under the warehouse. On a cluster the
+    warehouse is taken only if it is no folder of the driver's own machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        base = spark.conf.get("spark.sql.warehouse.dir", None)
+        local = base and base.split(":")[0] in ("file", base)
+        if not base or local and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -1,6 +1,7 @@
 """Stores of many small files before, during and after their compaction."""
 
 import os
+import shutil
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
@@ -27,15 +28,20 @@ def live_files(spark, path):
     return found.select(compaction.FILE).distinct().count()
 
 
-@pytest.fixture
-def small(spark, tmp_path):
-    """Three hours in five appends; the last hour is still open."""
-    path = str(tmp_path / "store")
+@pytest.fixture(scope="module")
+def written(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("written") / "store")
     for n in range(5):
         store.write_logs(logs(spark, range(30 * n, 30 * n + 30)), path)
     return path
 
 
+@pytest.fixture
+def small(written, tmp_path):
+    """Three hours in five appends; the last hour is still open."""
+    return shutil.copytree(written, str(tmp_path / "store"))
+
+
 BEFORE = DAY + timedelta(hours=2)
 
 
