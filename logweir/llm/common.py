@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -30,7 +32,9 @@ def send_package(spark: SparkSession) -> None:
     if context.applicationId in _sent:
         return
     package = Path(__file__).resolve().parent.parent
-    path = Path(tempfile.mkdtemp(prefix="logweir-")) / "logweir-package.zip"
+    folder = tempfile.mkdtemp(prefix="logweir-")
+    atexit.register(shutil.rmtree, folder, True)  # Spark hands it out until the application ends
+    path = Path(folder) / "logweir-package.zip"
     with zipfile.ZipFile(path, "w") as archive:
         for file in sorted(package.rglob("*.py")):
             archive.write(file, file.relative_to(package.parent))
