@@ -235,7 +235,12 @@ def _array(found: Iterable[bytes]) -> np.ndarray:
 
 def _sample(rows: DataFrame, most: int, seed: int) -> np.ndarray:
     """Features of the ``most`` rows with the smallest hashes."""
-    taken = rows.orderBy(F.xxhash64("doc_id", "x", F.lit(seed)), "doc_id", "x").limit(most).select("doc_id", "x")
+    drawn = F.xxhash64("doc_id", "x", F.lit(seed))
+    total = rows.count()
+    if total > 2 * most:
+        # Twice as many rows as are wanted have such hashes: the others stay in their tasks.
+        rows = rows.where(drawn < F.lit(int(2**64 * (2 * most / total)) - 2**63))
+    taken = rows.orderBy(drawn, "doc_id", "x").limit(most).select("doc_id", "x")
     return _array(bytes(r["x"]) for r in sorted(taken.collect(), key=lambda r: (r["doc_id"], bytes(r["x"]))))
 
 
