@@ -94,7 +94,14 @@ def _open_before(batch: DataFrame, path: str, batch_id: int) -> DataFrame:
     spark = batch.sparkSession
     if batch_id == 0:
         return spark.createDataFrame([], OPEN_ALERTS)
-    return _read(spark, _slot(batch, path, batch_id - 1), OPEN_ALERTS).filter(F.col("batch") == batch_id - 1)
+    rows = _read(spark, _slot(batch, path, batch_id - 1), OPEN_ALERTS).filter(F.col("batch") == batch_id - 1)
+    return rows.filter(F.col("alert_id").isNotNull())
+
+
+def _marked(rows: DataFrame, batch_id: int) -> DataFrame:
+    """Rows a batch leaves, and one with nothing but its number: none may be open."""
+    number = F.lit(batch_id).cast("bigint").alias("batch")
+    return rows.withColumn("batch", number).unionByName(rows.sparkSession.range(1).select(number), allowMissingColumns=True)
 
 
 def transitions(verdicts: DataFrame, opened: DataFrame) -> DataFrame:
@@ -148,10 +155,8 @@ def alert_writer(
             closed = F.col(A.WINDOW_END) <= F.col("latest") - F.make_dt_interval(secs=F.lit(lateness))
             left = opened.filter(~closed).join(stored.select("alert_id"), "alert_id", "left_anti").drop("batch")
             made = stored.filter("is_anomaly").select("alert_id", A.WINDOW_END, latest.alias("latest"))
-            still = left.unionByName(made).withColumns(
-                {"latest": F.greatest("latest", latest), "batch": F.lit(batch_id).cast("bigint")}
-            )
-            still.hint("rebalance").write.mode("overwrite").parquet(_slot(batch, path, batch_id))
+            still = left.unionByName(made).withColumn("latest", F.greatest("latest", latest))
+            _marked(still, batch_id).hint("rebalance").write.mode("overwrite").parquet(_slot(batch, path, batch_id))
         finally:
             verdicts.unpersist()
 
@@ -201,7 +206,7 @@ def open_windows_writer(
         schema = merged_windows(_no_windows(batch), batch).schema
         if batch_id:
             opened = spark.read.schema(schema.add("batch", "long")).parquet(before)
-            opened = opened.filter(F.col("batch") == batch_id - 1)
+            opened = opened.filter((F.col("batch") == batch_id - 1) & F.col("window").isNotNull())
         else:
             opened = _no_windows(batch)
         rows = merged_windows(opened, batch).persist()
@@ -226,8 +231,8 @@ def open_windows_writer(
             if close is not None:
                 ended = close(rows.filter(closed).select(*finished(KEYS, MEASURES)))
                 _store(ended, f"{path}/metrics", batch_id)
-            left = still.filter(~closed).select(*rows.columns).withColumn("batch", F.lit(batch_id).cast("bigint"))
-            left.hint("rebalance").write.mode("overwrite").parquet(place)
+            left = still.filter(~closed).select(*rows.columns)
+            _marked(left, batch_id).hint("rebalance").write.mode("overwrite").parquet(place)
             _report(_query_id(batch), batch_id, alerts)
         finally:
             rows.unpersist()
@@ -292,7 +297,7 @@ def open_alerts(spark: SparkSession, path: str) -> DataFrame:
     last = named.groupBy("run").agg(F.max("batch").alias("batch"))
     held = named.join(last, ["run", "batch"], "left_semi").filter("raised")
     last = rows.groupBy("run").agg(F.max("batch").alias("batch"))
-    rows = rows.join(last, ["run", "batch"], "left_semi")
+    rows = rows.join(last, ["run", "batch"], "left_semi").filter(F.col("alert_id").isNotNull())
     return rows.unionByName(held.select(*rows.columns)).drop("batch")
 
 
