@@ -8,8 +8,8 @@ Where suffixes are taken. Every window of ``LENGTH`` bytes has an anchor: among
 equal anchors, so two documents share a window only if they share its anchor. The windows of
 one anchor follow each other; with their bytes they are the anchor's context.
 
-1. Documents are dealt into groups by a hash of their id. Exact copies of a text with a
-   smaller id are known from digests and take no further part.
+1. Documents are dealt into groups by a hash of their id and text. Exact copies of a text with
+   a smaller id are known from digests and take no further part.
 2. Each group sends each of its anchors once, as 40 bits of its hash, to buckets; a bucket
    returns to the groups those that several groups have.
 3. For these, and those that several of its own documents have, a group sends contexts, equal
@@ -51,6 +51,8 @@ BUCKET_BYTES = 8 << 20
 PART_BYTES = 16 << 20
 CHUNK_BYTES = 1 << 16
 HOT = 256
+#: Parts into which the rows of one text are dealt to meet its first id.
+SALTS = 32
 
 _BYTE = np.random.default_rng(50).integers(0, 1 << 64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
@@ -441,11 +443,17 @@ class Plan:
         self.length, self.anchor, self.hot = length, anchor, hot
 
         def number(doc_id, digest):
-            return F.pmod(F.xxhash64(doc_id, F.when(doc_id.isNull(), digest)), F.lit(groups)).cast("long")
+            return F.pmod(F.xxhash64(doc_id, digest), F.lit(groups)).cast("long")
 
         self.docs = id_and_body.withColumn("g", number(F.col("doc_id"), digest)).repartition(self.parts, "g")
-        first = texts.where("doc_id is not null").groupBy(F.col("digest").alias("of")).agg(F.min("doc_id").alias("first"))
-        copies = texts.join(materialize(first, "first-copies"), F.col("digest") == F.col("of")).where("doc_id > first")
+        # Of texts that several rows have, the smallest id; once for each salt, so that the rows
+        # of one text meet it in SALTS tasks.
+        of = texts.where("doc_id is not null").groupBy(F.col("digest").alias("of"))
+        first = of.agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
+        first = materialize(first.withColumn("own", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), "first-copies")
+        salted = texts.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+        met = salted.join(first, (F.col("digest") == F.col("of")) & (F.col("salt") == F.col("own")))
+        copies = met.where("doc_id > first").select("doc_id", "digest")
         self.copies = materialize(
             copies.distinct().select(
                 number(F.col("doc_id"), F.col("digest")).alias("g"),

@@ -61,6 +61,18 @@ def test_spans_of_all_windows(spark, hot, group, bucket):
     assert sorted(map(tuple, found.collect()), key=str) == brute(rows)
 
 
+def test_hot_ids_and_texts(spark):
+    """A third of all rows under one id, a third with one text; rows keep their meaning."""
+    rng = random.Random(8)
+    own = ["".join(rng.choice("abcde ") for _ in range(120)) for _ in range(60)]
+    rows = [(7, own[k % 20], "x") for k in range(60)] + [(1000 + k, own[20], "x") for k in range(60)]
+    rows += [(100 + k, own[k] + own[(k + 1) % 60][:70], "x") for k in range(60)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    for group in (4 << 20, 2000):
+        found = repeats.removal_digests(docs, group_bytes=group)
+        assert sorted(map(tuple, found.collect()), key=str) == brute(rows)
+
+
 def test_documents_of_the_tables(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     want = brute([tuple(r) for r in docs.select("doc_id", "text").collect()])
