@@ -12,27 +12,29 @@ state row per distinct value, spread over all state partitions:
   overall. What passes is counted together with the other measures in one
   aggregation. A deduplication has no map-side step, hence the salt. The result is
   complete in itself, for any sink.
-* sightings (update mode, for a sink that keeps the open windows, see
-  ``sinks.open_windows_writer``): one aggregation by window, key and value, which
-  combines on the map side. A value is new in the batch that holds all its rows
-  so far; the sink adds the new ones to the window's count. One scan and one state
-  store.
-
-Panes, which the batch form uses, are no option here: a late log must still count
-in those of its five windows that are open, but its pane may be closed.
+* panes (update mode, for a sink that keeps the open ones, see
+  ``sinks.open_windows_writer``): a batch adds its logs to panes, one row per pane, key and
+  value, and windows are made of panes. A log makes one row a value in place of one for
+  each of its windows, and no state store is needed. The sink knows which windows are closed,
+  so a late log counts in those of its windows that are open, though they share a pane.
+
+The other two forms use no panes: Spark's state could not tell the windows of a pane apart.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import gcd
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logweir.functions.network import FAILED
 from logweir.operators.metrics import (
     KEYS,
     MEASURES,
+    MICROS,
     SIMPLE_KEYS,
     SIMPLE_MEASURES,
     SIMPLE_SPEC,
@@ -129,69 +131,85 @@ def window_metrics(
     return grouped.select(*finished(keys, measures))
 
 
-def sightings(
+def _single(measures: Sequence[Measure], only: Column) -> list[Column]:
+    """What ``partial`` gives for one row, for ``merged`` to add up."""
+    out = []
+    for m in additive(measures):
+        if m.kind == "failed":
+            value = F.when(F.col(m.column) == FAILED, 1).otherwise(0).cast("bigint")
+        else:
+            value = F.lit(1).cast("bigint") if m.column is None else F.col(m.column)
+        value = F.when(only, value)
+        if m.kind == "avg":
+            counted = F.when(value.isNotNull(), 1).otherwise(0).cast("bigint")
+            out += [value.alias(f"{m.name}__sum"), counted.alias(f"{m.name}__n")]
+        else:
+            out.append(value.alias(m.name))
+    return out
+
+
+def merged_panes(
+    opened: DataFrame | None,
     logs: DataFrame,
     spec: WindowSpec = WindowSpec(),
     keys: Sequence[str] = KEYS,
     measures: Sequence[Measure] = MEASURES,
 ) -> DataFrame:
-    """Changed windows in parts: one row (``kind`` 0) with the sums so far, and one for each
-    value of the i-th distinct count (``kind`` i) with whether it ``is_new`` in its window.
+    """The panes that were open with a batch of logs added.
 
-    Batches are told apart by their time, which Spark records with the batch: a batch that is run
-    again finds the same values new. ``last_event`` is the latest event time of the part.
+    ``opened`` has the columns of this result. A pane and key has a row with its sums (``kind`` 0)
+    and one for each value of the i-th distinct count (``kind`` i). ``last_event`` is the
+    latest event time of a row; ``changed`` tells the rows of the batch. Logs are combined before
+    they are shuffled.
     """
-    window = F.window("timestamp", f"{spec.duration} seconds", f"{spec.slide} seconds").alias("window")
     values = distinct(measures)
     names = [f"value{i}" for i in range(1, len(values) + 1)]
     used = reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in names], F.col("kind") == 0)
-    event = F.unix_micros("timestamp").alias("event_micros")
-    marked = logs.withWatermark("timestamp", f"{spec.watermark} seconds")
-    batch = F.unix_millis(F.current_timestamp())
-    rows = marked.select(window, event, batch.alias("batch"), *inputs(keys, measures))
+    event, width = F.unix_micros("timestamp"), gcd(spec.duration, spec.slide) * MICROS
+    pane = (event - F.pmod(event, F.lit(width))).alias("pane")
+    rows = logs.filter(F.col("timestamp").isNotNull()).select(pane, event.alias("last_event"), *inputs(keys, measures))
     spread = rows.select("*", F.inline(_value_rows(logs, values, 0))).filter(used)
-    grouped = spread.groupBy("window", *keys, "kind", *names).agg(
-        *partial(measures, F.col("kind") == 0),
-        F.min("batch").alias("first_batch"),
-        F.max("batch").alias("last_batch"),
-        F.max("event_micros").alias("last_event"),
+    grouping = ["pane", *keys, "kind", *names]
+    parts = spread.select(*grouping, *_single(measures, F.col("kind") == 0), "last_event", F.lit(True).alias("changed"))
+    if opened is not None:
+        parts = parts.unionByName(opened.withColumn("changed", F.lit(False)))
+    return parts.groupBy(*grouping).agg(
+        *merged(measures), F.max("last_event").alias("last_event"), F.max("changed").alias("changed")
     )
-    is_new = (F.col("first_batch") == F.col("last_batch")) & (F.col("first_batch") == batch)
-    return grouped.withColumn("is_new", is_new).drop("first_batch", "last_batch", *names)
 
 
-def merged_windows(
-    opened: DataFrame, parts: DataFrame, keys: Sequence[str] = KEYS, measures: Sequence[Measure] = MEASURES
+def pane_windows(
+    panes: DataFrame,
+    spec: WindowSpec = WindowSpec(),
+    keys: Sequence[str] = KEYS,
+    measures: Sequence[Measure] = MEASURES,
+    after: int | None = None,
 ) -> DataFrame:
-    """The windows that were open with a batch of :func:`sightings` added.
+    """The windows of :func:`merged_panes` that end ``after`` a time (microseconds), and whether
+    they ``changed``.
 
-    ``opened`` has the columns of this result. ``changed`` tells the windows of the batch, ``seen``
-    the latest event time of the batches before, ``raised`` is carried along. Batch rows are summed before they are shuffled; windows
-    meet by grouping and not by a join, since keys may be NULL.
+    A value's pane stands for the windows that no earlier pane of the value lies in, so each
+    window meets a value once, and what is shuffled by window is counted before.
     """
     values = distinct(measures)
-    sums = [c for m in additive(measures) for c in ([f"{m.name}__sum", f"{m.name}__n"] if m.kind == "avg" else [m.name])]
-    fresh = parts.select(
-        "window",
-        *keys,
-        "kind",
-        *sums,
-        *[F.when((F.col("kind") == i) & F.col("is_new"), 1).otherwise(0).alias(m.name) for i, m in enumerate(values, 1)],
-        "last_event",
-        F.lit(None).cast("boolean").alias("raised"),
-        F.lit(True).alias("changed"),
-    ).drop("kind")
-    both = opened.select(*fresh.columns[:-1], F.lit(False).alias("changed")).unionByName(fresh)
-    # Sums of a changed window are those so far, and take the place of older ones.
-    newest = [F.coalesce(F.max(F.when(F.col("changed"), F.col(c))), F.max(c)).alias(c) for c in sums]
-    return both.groupBy("window", *keys).agg(
-        *newest,
-        *[F.sum(m.name).alias(m.name) for m in values],
-        F.max("last_event").alias("last_event"),
-        F.max("raised").alias("raised"),
-        F.max(F.when(~F.col("changed"), F.col("last_event"))).alias("seen"),
+    duration, slide = spec.duration * MICROS, spec.slide * MICROS
+    width = gcd(spec.duration, spec.slide) * MICROS
+    of_value = Window.partitionBy(*keys, "kind", *[f"value{i}" for i in range(1, len(values) + 1)]).orderBy("pane")
+    before = F.when(F.col("kind") > 0, F.lag("pane").over(of_value))
+    least = F.greatest(F.col("pane") + (width - duration), before + 1)
+    first = least + F.pmod(-least, F.lit(slide))
+    last = F.col("pane") - F.pmod(F.col("pane"), F.lit(slide))
+    placed = panes.filter(F.col("pane").isNotNull()).withColumns({"first": first, "last": last}).filter("first <= last")
+    spread = placed.withColumn("start", F.explode(F.sequence("first", "last", F.lit(slide))))
+    if after is not None:
+        spread = spread.filter(F.col("start") + duration > after)
+    grouped = spread.groupBy("start", *keys).agg(
+        *merged(measures),
+        *[F.count_if(F.col("kind") == i).alias(m.name) for i, m in enumerate(values, 1)],
         F.max("changed").alias("changed"),
     )
+    bounds = [F.timestamp_micros(F.col("start") + n).alias(edge) for n, edge in ((0, "start"), (duration, "end"))]
+    return grouped.withColumn("window", F.struct(*bounds)).drop("start")
 
 
 def log_metrics(

@@ -236,3 +236,22 @@ def test_open_windows_of_one_query(spark, tmp_path):
     stored = spark.read.parquet(f"{out}/metrics")
     assert stored.count() == 5 == stored.select("window").distinct().count()
     assert {(r.log_count, r.unique_ports, r.failed_connections) for r in stored.collect()} == {(1810, 1, 910)}
+
+
+def test_open_windows_keep_panes_and_not_windows(spark, tmp_path):
+    """What a batch leaves has one row for a value in a pane, not one for each of its windows; a
+    late log counts in those windows of its pane that are open."""
+    folder, out, cp = (str(tmp_path / x) for x in ("q", "out", "cp"))
+    minutes = [(0, 1), (20, 1)], [(0.5, 2), (21, 2), (16.5, 2)], [(60, 1)]
+    for n, step in enumerate(minutes):
+        add_file(folder, n, queue_of(spark, [(DAY + timedelta(minutes=m), "a", port, "OK") for m, port in step]))
+        source = queue.file_stream(spark, folder)
+        run.wait(run.start_streams(source, cp, out, alert_mode="update", available_now=True, name=f"k{n}-"))
+        if n == 0:  # the log of 00:20, its sums and its port and, if any, its destination
+            panes = spark.read.parquet(f"{out}/panes").filter("pane is not null")
+            assert {r["n"] for r in panes.groupBy("kind").agg(F.count("*").alias("n")).collect()} == {1}
+    start = (F.unix_seconds("window.start") - int(DAY.timestamp())) / 60
+    stored = spark.read.parquet(f"{out}/metrics").select(start.cast("int"), "log_count", "unique_ports")
+    assert sorted(map(tuple, stored.collect())) == [
+        *[(m, 1, 1) for m in range(-4, 1)], (14, 1, 1), (15, 1, 1), *[(m, 2, 2) for m in range(16, 21)], (21, 1, 1)
+    ]
