@@ -8,7 +8,7 @@ order of addition.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +40,8 @@ FEW_TREES, FEW_SAMPLE = 5, 64
 SILENT_HOURS = (2, 3, 4)
 # Files in which the streams replay the queue, and every which event comes late.
 REPLAYS, LATE_EVERY, LATE_EVENT = 4, 50, 7
+# Logs of a batch at most, about; the pieces that it is put together of, and its files.
+BATCH_LOGS, PIECES, BATCH_FILES = 500_000, 8, 16
 PARTITIONS = 6
 DIGITS = 9
 
@@ -450,21 +452,53 @@ def replays(spark: SparkSession, sf: str, folder: str, late: bool = False) -> It
     """The queue as a file stream that grows: each step adds files in time order.
 
     With ``late`` some events come with the last step, whatever their time. The steps are runs
-    of their own, so the queries that read the stream stop and start again between them.
+    of their own, so the queries that read the stream stop and start again between them. A step
+    is read in batches of about ``BATCH_LOGS`` in time order, however large the table is, so
+    that state and hash tables hold a batch and the open windows. In this order no log is late
+    for what the batches of its own step have seen.
     """
-    sent = materialize(queue(raw_logs(spark, sf)).drop("headers"), "queue")
     last = S.table(spark, sf, "events").agg(F.max("event_id")).first()[0] or 0
     part = F.expr(f"event_id * {REPLAYS} div {last + 1}")
     if late:
         part = F.when(F.col("event_id") % LATE_EVERY == LATE_EVENT, REPLAYS - 1).otherwise(part)
-    known = 0
-    for n in range(REPLAYS):
-        step = sent.filter(part == n).drop("event_id").withColumn("value", F.col("value").cast("string"))
-        step.write.mode("append").parquet(folder)
-        files = len(file_queue.file_batch(spark, folder).inputFiles())
-        # The files of a step are a batch.
-        yield file_queue.file_stream(spark, folder, max(files - known, 1))
-        known = files
+    part = part.cast("int").alias("step")
+    count = raw_logs(spark, sf).count()
+    # Pieces in time order, written once; each batch is some of them that follow one another.
+    pieces = max(-(-count * PIECES // BATCH_LOGS), 1)
+    logs = raw_logs(spark, sf).select("*", part).filter(F.col("step").between(0, REPLAYS - 1))
+    sent = queue(logs.repartitionByRange(pieces, "step", "event_id")).drop("headers")
+    sent = sent.withColumn("value", F.col("value").cast("string")).select("*", part).drop("event_id")
+    dealt, path = sent.withColumn("piece", F.spark_partition_id()), work_folder(spark, "queue")
+    dealt.write.partitionBy("step", "piece").parquet(path)
+    dealt = spark.read.schema(dealt.schema).parquet(path)
+    sizes: dict[int, list[tuple[int, int]]] = {n: [] for n in range(REPLAYS)}
+    for row in dealt.groupBy("step", "piece").count().orderBy("step", "piece").collect():
+        sizes[row["step"]].append((row["piece"], row["count"]))
+    # Spark takes files in the order in which they were written, so many a batch.
+    files, known = min(max(count * BATCH_FILES // BATCH_LOGS, 1), BATCH_FILES), 0
+    for n, found in sizes.items():
+        batches = balanced(found, BATCH_LOGS)
+        for first, end in batches:
+            rows = dealt.filter((F.col("step") == n) & F.col("piece").between(first, end)).drop("step", "piece")
+            rows.repartition(files).write.mode("append").parquet(folder)
+            now_known = len(file_queue.file_batch(spark, folder).inputFiles())
+            # A batch in fewer files must be the last of its run, or files of the next would fill it.
+            if (first, end) == batches[-1] or now_known - known != files:
+                yield file_queue.file_stream(spark, folder, files)
+            known = now_known
+
+
+def balanced(sizes: Sequence[tuple[int, int]], most: int) -> list[tuple[int, int]]:
+    """(first, last) number of successive pieces with about as many rows, at least one pair;
+    ``sizes`` are (number, rows)."""
+    total = sum(rows for _, rows in sizes)
+    parts, before = -(-total // most), 0
+    found: dict[int, tuple[int, int]] = {}
+    for number, rows in sizes:
+        at = (2 * before + rows) * parts // (2 * total)
+        found[at] = (found.get(at, (number, 0))[0], number)
+        before += rows
+    return [*found.values()] or [(0, 0)]
 
 
 #: Columns whose last bits depend on the order of addition.

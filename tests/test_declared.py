@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logweir.operators import forest, lookup, outliers, quality
+from logweir.plans import queries as Q
 from logweir.settings import Thresholds
 from logweir.sources import store
 
@@ -332,3 +333,37 @@ def test_path_length_by_hand():
     depth = forest._path_length(np.array([[1.0], [9.0]]), nodes)
     assert depth[0] == 1.0
     assert depth[1] == pytest.approx(1 + 2 * (np.log(2) + forest.EULER) - 4 / 3)
+
+
+def test_replays_read_a_step_in_bounded_batches(spark, tmp_path, monkeypatch):
+    """Batches do not grow with the table, and late logs are lost as with one batch a step."""
+    sf = str(tmp_path / "sf")
+    rows = [(None if i == 5 else i, i % 40, "view") for i in range(8000) for _ in range(1 + (i % 800 == 0))]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, event_type string")
+    events.write.parquet(f"{sf}/events.parquet")
+
+    def read():
+        seen = []
+        plain = Q.run.wait
+
+        def watched(queries, *args):
+            plain(queries, *args)
+            seen.extend(p["numInputRows"] for q in queries for p in q.recentProgress if p["numInputRows"])
+
+        monkeypatch.setattr(Q.run, "wait", watched)
+        rows = sorted(map(str, Q.stream_late(spark, sf).collect()))
+        monkeypatch.setattr(Q.run, "wait", plain)
+        return seen, rows
+
+    seen, whole = read()
+    assert len(seen) == Q.REPLAYS and sum(seen) == 7925  # every 97th has no source
+    monkeypatch.setattr(Q, "BATCH_LOGS", 900)
+    seen, parts = read()
+    assert sum(seen) == 7925 and max(seen) < 1800 and len(seen) >= 8
+    assert parts == whole and len(whole) > 10
+
+
+def test_balanced_pieces():
+    assert Q.balanced([], 10) == [(0, 0)]
+    assert Q.balanced([(3, 5), (4, 5), (5, 5), (6, 5)], 10) == [(3, 4), (5, 6)]
+    assert Q.balanced([(0, 90), (1, 1), (2, 1)], 10) == [(0, 0), (1, 2)]
